@@ -1 +1,294 @@
-"""Queries."""
+"""Streaming queries (ST): each runs until its input is drained and returns the table it fed.
+
+The whole log is the input, as several files, so a run takes several micro-batches.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tideline.operators import classify as C
+from tideline.operators import envelope as E
+from tideline.operators import graph as G
+from tideline.operators import metrics as M
+from tideline.operators import verify as V
+from tideline.operators.apply import apply_changes, progress
+from tideline.plans import flow
+from tideline.plans.catalog_graph import CUSTOMER_PROPS, graph_sql
+from tideline.plans.catalog_state import _RATE, changes, metric_samples
+from tideline.plans.feeds import CUSTOMERS, CUSTOMERS_SPEC, ORDERS, ORDERS_SPEC, Lake, metric_sql, order_sql, pruned, shop_sql, wire_sql
+from tideline.plans.registry import query
+from tideline.sources.logs import read_log
+from tideline.spec import FlowSpec
+from tideline.streaming import run
+from tideline.streaming.mirror import MirrorTable, batch_rows
+
+POS = ("partition", "offset")
+
+
+def order_stream(lake: Lake, files: int = 6, per_batch: int = 2) -> DataFrame:
+    return read_log(lake.spark, lake.raw_files(files), topics=[ORDERS], streaming=True, max_files_per_trigger=per_batch)
+
+
+def feed(table: MirrorTable) -> run.OnBatch:
+    return lambda batch, batch_id: table.write_batch(flow.flat_changes(batch, ORDERS_SPEC, POS), batch_id)
+
+
+@query("st01_continuous_apply", order_sql("SELECT id, customer_id, amount, status FROM mirror"))
+def continuous_apply(lake: Lake) -> DataFrame:
+    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    run.drain(order_stream(lake), feed(table), lake.scratch("checkpoint"))
+    return table.read(lake.spark)
+
+
+@query(
+    "st02_resolved_frontier",
+    wire_sql("""
+, f AS (SELECT min(m) AS frontier FROM (SELECT id % 4 AS p, max(CASE WHEN kind = 9 THEN ts_ms END) AS m FROM wire GROUP BY 1))
+SELECT op, ts_ms <= frontier AS released, count(*) AS n FROM ch, f GROUP BY 1, 2""".lstrip("\n")),
+)
+def resolved_frontier(lake: Lake) -> DataFrame:
+    """Rows above the frontier stay in the log and out of the released view."""
+    kept = lake.scratch("log")
+    run.drain(order_stream(lake), run.per_batch_folder(kept), lake.scratch("checkpoint"))
+    raw = run.read_batches(lake.spark, kept).drop("batch_id")
+    data = C.classify(raw, ORDERS_SPEC)[0].select("topic", "op", "ts_ms")
+    marks = run.frontier(raw)
+    done = run.released(data, marks).groupBy("op").agg(F.count("*").alias("n")).withColumn("released", F.lit(True))
+    held = data.join(marks, "topic").filter(~F.coalesce(F.col("ts_ms") <= F.col("frontier"), F.lit(False)))
+    waiting = held.groupBy("op").agg(F.count("*").alias("n")).withColumn("released", F.lit(False))
+    return done.unionByName(waiting)
+
+
+@query(
+    "st03_heartbeat_progress",
+    wire_sql("""
+SELECT CAST(id % 4 AS INTEGER) AS "partition", max(ts_ms) AS frontier, count(*) AS heartbeats FROM wire WHERE kind = 9 GROUP BY 1"""),
+)
+def heartbeat_progress(lake: Lake) -> DataFrame:
+    kept = lake.scratch("progress")
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        control = batch.filter(F.col("key").isNull())
+        marks = progress(control)
+        beats = control.filter(F.try_variant_get(F.try_parse_json("value"), "$.resolved", "bigint").isNotNull())
+        seen = beats.groupBy("topic", "partition").agg(F.count("*").alias("heartbeats"))
+        run.per_batch_folder(kept)(marks.join(seen, ["topic", "partition"]), batch_id)
+
+    run.drain(order_stream(lake), on_batch, lake.scratch("checkpoint"))
+    rows = run.read_batches(lake.spark, kept)
+    return rows.groupBy("partition").agg(F.max("frontier").alias("frontier"), F.sum("heartbeats").alias("heartbeats"))
+
+
+@query(
+    "st04_restart_resumes",
+    wire_sql("SELECT 'first' AS run, count(*) AS input_rows FROM wire UNION ALL SELECT 'second', 0"),
+)
+def restart_resumes(lake: Lake) -> DataFrame:
+    """The same query started again on its checkpoint reads nothing it has read before."""
+    seen, checkpoint = lake.scratch("seen"), lake.scratch("checkpoint")
+    keep = run.per_batch_folder(seen)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        keep(batch.agg(F.count("*").alias("n")), batch_id)
+
+    run.drain(order_stream(lake), on_batch, checkpoint)
+    last = run.read_batches(lake.spark, seen).agg(F.max("batch_id")).head()[0]
+    run.drain(order_stream(lake), on_batch, checkpoint)
+    rows = run.read_batches(lake.spark, seen)
+    first, second = F.col("batch_id") <= last, F.col("batch_id") > last
+    both = rows.agg(
+        F.coalesce(F.sum(F.when(first, F.col("n"))), F.lit(0)).alias("a"), F.coalesce(F.sum(F.when(second, F.col("n"))), F.lit(0)).alias("b")
+    )
+    pair = F.array(
+        F.struct(F.lit("first").alias("run"), F.col("a").alias("input_rows")), F.struct(F.lit("second").alias("run"), F.col("b").alias("input_rows"))
+    )
+    return both.select(F.inline(pair))
+
+
+@query("st05_effectively_once", order_sql("SELECT id, customer_id, amount, status FROM mirror"))
+def effectively_once(lake: Lake) -> DataFrame:
+    """Every batch is delivered twice, and once more as a later batch after a compaction."""
+    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    write = feed(table)
+    run.drain(order_stream(lake), run.tee([write, write]), lake.scratch("checkpoint"))
+    table.compact(lake.spark)
+    run.drain(order_stream(lake, per_batch=6), lambda b, i: write(b, i + 1000), lake.scratch("checkpoint"))
+    return table.read(lake.spark)
+
+
+@query("st06_commit_interval", order_sql("SELECT count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM mirror"))
+def commit_interval(lake: Lake) -> DataFrame:
+    """A continuous run that commits at an interval, stopped once the log is consumed."""
+    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    running = run.start(order_stream(lake, per_batch=3), feed(table), lake.scratch("checkpoint"), every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return table.read(lake.spark).agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(18,2)").alias("amount"))
+
+
+@query("st07_order_within_partition", order_sql("SELECT id, customer_id, amount, status FROM mirror"))
+def order_within_partition(lake: Lake) -> DataFrame:
+    """Files that hold each key's events in no useful order still end in the same state."""
+    path = lake.scratch("mixed")
+    lake.order_raw().repartition(5, F.xxhash64("value", "offset")).write.parquet(path)
+    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    stream = read_log(lake.spark, path, streaming=True, max_files_per_trigger=1)
+    run.drain(stream, feed(table), lake.scratch("checkpoint"))
+    return table.read(lake.spark)
+
+
+@query("st08_late_parent", graph_sql("SELECT id, name, email, tier, placeholder FROM cnode"))
+def late_parent(lake: Lake) -> DataFrame:
+    """Orders are streamed before any customer; their customers start as bare nodes."""
+    root = lake.scratch("graph")
+    for topic in (ORDERS, CUSTOMERS):
+        spec = ORDERS_SPEC if topic == ORDERS else CUSTOMERS_SPEC
+        pos = ("topic", "partition", "offset", "ts_ms")
+        stream = read_log(lake.spark, lake.raw_files(), topics=[topic], streaming=True, max_files_per_trigger=3)
+        keep = run.per_batch_folder(f"{root}/{topic}")
+        run.drain(stream, lambda b, i, keep=keep, spec=spec, pos=pos: keep(flow.flat_changes(b, spec, pos), i), lake.scratch("checkpoint"))
+    refs = G.references(run.read_batches(lake.spark, f"{root}/{ORDERS}"), "customer_id")
+    people = run.read_batches(lake.spark, f"{root}/{CUSTOMERS}")
+    return G.nodes_with_placeholders(people, refs, CUSTOMER_PROPS)
+
+
+@query(
+    "st09_hop_throughput",
+    metric_sql(_RATE + """
+SELECT replace(name, '_total', '') AS name, date_trunc('minute', ts) AS window_start, CAST(sum(increase) AS DECIMAL(18,2)) AS increase,
+  CAST(CAST(sum(increase) AS DECIMAL(18,2)) AS DOUBLE) / 60.0 AS per_second FROM i GROUP BY 1, 2"""),
+)
+def hop_throughput(lake: Lake) -> DataFrame:
+    rates = M.hop_rates(metric_samples(lake))
+    return rates.select(
+        "name", F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("increase").cast("decimal(18,2)").alias("increase"), "per_second"
+    )
+
+
+@query(
+    "st10_lag",
+    wire_sql("SELECT 'shop.public.orders' AS topic, max(id % 1000) AS ms_behind_source FROM wire WHERE op IS NOT NULL"),
+)
+def source_lag(lake: Lake) -> DataFrame:
+    """Per batch: how far the newest handled event was behind; the report keeps the worst batch."""
+    kept = lake.scratch("lag")
+    keep = run.per_batch_folder(kept)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = E.parse_envelope(batch).filter(C.has_op()).withColumn("seen_ms", F.unix_millis("ts"))
+        keep(M.lag(rows, ["topic"], "ts_ms", "seen_ms"), batch_id)
+
+    run.drain(order_stream(lake), on_batch, lake.scratch("checkpoint"))
+    return run.read_batches(lake.spark, kept).groupBy("topic").agg(F.max("ms_behind_source").alias("ms_behind_source"))
+
+
+@query(
+    "st11_running_counters",
+    wire_sql("""
+SELECT 'shop.public.orders' AS topic, count(*) AS total, count(*) FILTER (WHERE op = 'c') AS creates, count(*) FILTER (WHERE op = 'u') AS updates,
+  count(*) FILTER (WHERE op = 'd') AS deletes FROM wire WHERE op IS NOT NULL"""),
+)
+def running_counters(lake: Lake) -> DataFrame:
+    """A stateful aggregate in complete mode; its table is rewritten by every batch."""
+    kept = lake.scratch("counters")
+    counted = M.op_counters(E.parse_envelope(order_stream(lake)).filter(C.has_op()), ["topic"])
+    run.drain(counted, run.rewrite_folder(kept), lake.scratch("checkpoint"), mode="complete")
+    return lake.spark.read.parquet(kept)
+
+
+@query(
+    "st12_snapshot_flags",
+    metric_sql("""
+SELECT event_id, CASE WHEN value = 1 THEN 'yes' ELSE 'no' END AS running, CASE WHEN value = 1 THEN 'yes' ELSE 'no (resumed/streaming)' END AS completed
+FROM metric WHERE name = 'capture_metrics_SnapshotRunning'"""),
+)
+def snapshot_flags(lake: Lake) -> DataFrame:
+    flags = metric_samples(lake).filter((F.col("name") == "capture_metrics_SnapshotRunning") & (F.col("labels")["context"] == "snapshot"))
+    return flags.select(
+        "event_id",
+        M.flag_label(F.col("value"), M.SNAPSHOT_RUNNING).alias("running"),
+        M.flag_label(F.col("value"), M.SNAPSHOT_COMPLETED).alias("completed"),
+    )
+
+
+@query(
+    "st13_schema_change",
+    "SELECT event_id, event_type = 'view' AS lacked_field, CASE WHEN event_type NOT IN ('view', 'click') THEN 'high' END AS priority FROM events",
+)
+def schema_change(lake: Lake) -> DataFrame:
+    """Events with and without a new field pass through one running stream; old rows hold null in it."""
+    from tideline.plans.feeds import WIDE_SPEC
+
+    path = lake.scratch("wide")
+    late = F.get_json_object("value", "$.after.priority").isNotNull()
+    lake.wide_raw().repartitionByRange(4, late, "offset").write.parquet(path)
+    spec = pruned(WIDE_SPEC, "priority")
+    kept = lake.scratch("evolved")
+    keep = run.per_batch_folder(kept)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = E.decode(E.parse_envelope(batch), spec)
+        keep(rows.select("id.event_id", E.is_absent("after", "priority").alias("lacked_field"), "after.priority"), batch_id)
+
+    run.drain(read_log(lake.spark, path, streaming=True, max_files_per_trigger=1), on_batch, lake.scratch("checkpoint"))
+    return run.read_batches(lake.spark, kept).drop("batch_id")
+
+
+@query(
+    "st14_drain_and_compare",
+    shop_sql("""
+SELECT 'orders' AS table_name, count(*) || '|' || CAST(CAST(sum(amount) AS DECIMAL(18,2)) AS VARCHAR) AS source,
+  count(*) || '|' || CAST(CAST(sum(amount) AS DECIMAL(18,2)) AS VARCHAR) AS target, true AS equal FROM mirror"""),
+)
+def drain_and_compare(lake: Lake) -> DataFrame:
+    declared = FlowSpec(topics=(ORDERS,), tables={"orders": ORDERS_SPEC}, table_template="${source.table}")
+    stream = read_log(lake.spark, lake.raw_files(), streaming=True, max_files_per_trigger=2)
+    running, tables = flow.run_stream(stream, declared, lake.scratch("flow"))
+    running.awaitTermination()
+    expected = apply_changes(None, changes(lake), ["id"], ["offset"])
+    return V.parity({"orders": expected}, {"orders": tables["orders"].read(lake.spark)}, "amount")
+
+
+@query("st15_redelivery_dedup", order_sql("SELECT op, count(*) AS n FROM (SELECT DISTINCT seq, op FROM ch) GROUP BY op"))
+def redelivery_dedup(lake: Lake) -> DataFrame:
+    """The log arrives year by year. Within a year files come in any order, so the delay is longer
+    than a year: no row can be late, and state older than that is dropped."""
+    path, kept = lake.scratch("yearly"), lake.scratch("unique")
+    raw = lake.order_raw()
+    first, last = lake.table("orders").agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).head()
+    for year in range(first, last + 2):
+        raw.filter(F.year("ts") == year).write.mode("append").parquet(path)
+    stream = read_log(lake.spark, path, streaming=True, max_files_per_trigger=4)
+    run.drain(run.without_redelivery(stream, "ts", "400 days"), run.per_batch_folder(kept), lake.scratch("checkpoint"))
+    data = C.classify(run.read_batches(lake.spark, kept).drop("batch_id"), ORDERS_SPEC)[0]
+    return data.groupBy("op").agg(F.count("*").alias("n"))
+
+
+@query(
+    "st01_many_tables",
+    shop_sql("SELECT 'orders' AS table_name, count(*) AS n FROM mirror UNION ALL SELECT 'customers', count(*) FROM cmirror"),
+)
+def many_tables(lake: Lake) -> DataFrame:
+    """One stream feeding two mirrors, each batch decoded once per table and cached between them."""
+    specs = {"orders": ORDERS_SPEC, "customers": CUSTOMERS_SPEC}
+    declared = FlowSpec(topics=(ORDERS, CUSTOMERS), tables=specs, table_template="${source.table}")
+    stream = read_log(lake.spark, lake.raw_files(), streaming=True, max_files_per_trigger=3)
+    running, tables = flow.run_stream(stream, declared, lake.scratch("flow"))
+    running.awaitTermination()
+    return V.table_counts({n: t.read(lake.spark) for n, t in tables.items()})
+
+
+@query(
+    "st01_batch_rows",
+    wire_sql("""
+SELECT count(*) AS n FROM (SELECT DISTINCT id FROM ch)"""),
+)
+def distinct_keys_written(lake: Lake) -> DataFrame:
+    """A whole log in one batch writes one row per key."""
+    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    run.drain(order_stream(lake, per_batch=100), feed(table), lake.scratch("checkpoint"))
+    return batch_rows(table, lake.spark).agg(F.sum("n").alias("n"))

@@ -44,7 +44,11 @@ def released(changes: DataFrame, marks: DataFrame, event_ms: str = "ts_ms") -> D
 
 
 def without_redelivery(stream: DataFrame, event_time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """Drop repeats of a log position; state is kept only for ``delay`` behind the newest event."""
+    """Drop repeats of a log position; state is kept only for ``delay`` behind the newest event.
+
+    Spark also discards rows that arrive later than ``delay``, so it must exceed the disorder of the
+    input. Where that is unknown, store the log as it comes and deduplicate it when reading.
+    """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
 
 
