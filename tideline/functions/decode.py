@@ -35,21 +35,22 @@ def decimal_from_bytes(encoded: Column, type_: str, scale: int = 0) -> Column:
     """Two's-complement big-endian bytes in base64, as an exact decimal (up to 16 bytes).
 
     The digits are sign-extended to 32 hex characters and summed from four 32-bit words, so the
-    work stays in generated JVM code for any width a Spark decimal can hold.
+    work stays in generated JVM code for any width a Spark decimal can hold. Negative values are
+    summed from their inverted words, which keeps every intermediate within 38 digits.
     """
     digits = F.hex(F.try_to_binary(encoded, F.lit("base64")))
     negative = F.substring(digits, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F")
-    wide = F.lpad(digits, 32, F.lit("0"))
-    wide = F.when(negative, F.lpad(digits, 32, F.lit("F"))).otherwise(wide)
+    wide = F.lpad(digits, 32, F.when(negative, F.lit("F")).otherwise(F.lit("0")))
+    base = F.lit(2**32).cast("decimal(10,0)")
 
     def word(index: int) -> Column:
-        return F.conv(F.substring(wide, 1 + 8 * index, 8), 16, 10).cast("decimal(38,0)")
+        plain = F.conv(F.substring(wide, 1 + 8 * index, 8), 16, 10).cast("decimal(38,0)")
+        return F.when(negative, F.lit(2**32 - 1).cast("decimal(38,0)") - plain).otherwise(plain)
 
-    base = F.lit(4294967296).cast("decimal(10,0)")
-    high = word(0) - F.when(negative, base).otherwise(F.lit(0).cast("decimal(10,0)"))
-    total = high.cast("decimal(38,0)")
+    total = word(0).cast("decimal(38,0)")
     for index in (1, 2, 3):
         total = F.try_add(F.try_multiply(total, base), word(index)).cast("decimal(38,0)")
+    total = F.when(negative, F.try_subtract(F.lit(-1).cast("decimal(1,0)"), total)).otherwise(total).cast("decimal(38,0)")
     usable = (F.length(digits) > 0) & (F.length(digits) <= 32)
     return F.when(usable, _rescale(total, scale).try_cast(type_))
 
@@ -58,7 +59,7 @@ def _rescale(total: Column, scale: int) -> Column:
     """Move the decimal point in text: decimal division would round wide values."""
     if not scale:
         return total
-    text = F.abs(total).cast("string")
+    text = F.regexp_replace(total.cast("string"), "^-", "")
     padded = F.lpad(text, scale + 1, F.lit("0"))
     padded = F.when(F.length(text) > scale, text).otherwise(padded)
     cut = F.length(padded) - F.lit(scale)

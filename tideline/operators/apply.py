@@ -185,5 +185,7 @@ def running_balance(
 
 def progress(raw: DataFrame) -> DataFrame:
     """Resume position and resolved frontier of every (topic, partition)."""
-    resolved = F.try_variant_get(F.try_parse_json("value"), "$.resolved", "string").try_cast("bigint")
+    mark = F.try_variant_get(F.try_parse_json("value"), "$.resolved", "string").try_cast("bigint")
+    # Data rows far outnumber marks: only values that mention one are parsed.
+    resolved = F.when(F.contains(F.col("value"), F.lit('"resolved"')), mark)
     return raw.groupBy("topic", "partition").agg(F.max("offset").alias("max_offset"), F.max(resolved).alias("frontier"))

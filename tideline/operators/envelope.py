@@ -17,13 +17,14 @@ from tideline.functions.names import parse_topic
 from tideline.functions.values import once
 from tideline.spec import Col, TableSpec
 
-_HEAD = "struct<op:string,ts_ms:string,source:struct<schema:string,table:string>>"
+def unwrap(doc: Column) -> Column:
+    """Body of a parsed document, for both the ``{schema, payload}`` and the bare encoding."""
+    return F.coalesce(F.try_variant_get(doc, "$.payload", "variant"), doc)
 
 
 def unwrap_payload(text: Column) -> Column:
-    """JSON text -> variant of the bare body, for both ``{schema, payload}`` and bare encodings."""
-    doc = F.try_parse_json(text)
-    return F.coalesce(F.try_variant_get(doc, "$.payload", "variant"), doc)
+    """JSON text -> variant of the bare body."""
+    return unwrap(F.try_parse_json(text))
 
 
 def parse_envelope(raw: DataFrame) -> DataFrame:
@@ -32,14 +33,14 @@ def parse_envelope(raw: DataFrame) -> DataFrame:
     Names come from the topic first; ``source`` fields may be missing on older feeds.
     """
     where = parse_topic(F.col("topic"))
-    parsed = once(raw, event=unwrap_payload(F.col("value")))
-    return once(parsed, _head=F.try_variant_get("event", "$", _HEAD)).select(
+    parsed = once(raw.withColumn("_doc", F.try_parse_json("value")), event=unwrap(F.col("_doc")))
+    return parsed.select(
         *raw.columns,
         "event",
-        F.col("_head.op").alias("op"),
-        F.col("_head.ts_ms").try_cast("bigint").alias("ts_ms"),
-        F.coalesce(where["schema"], F.col("_head.source.schema")).alias("schema_name"),
-        F.coalesce(where["table"], F.col("_head.source.table")).alias("table_name"),
+        F.try_variant_get("event", "$.op", "string").alias("op"),
+        F.try_variant_get("event", "$.ts_ms", "string").try_cast("bigint").alias("ts_ms"),
+        F.coalesce(where["schema"], F.try_variant_get("event", "$.source.schema", "string")).alias("schema_name"),
+        F.coalesce(where["table"], F.try_variant_get("event", "$.source.table", "string")).alias("table_name"),
     )
 
 
@@ -57,34 +58,33 @@ def _typed_field(value: Column, col: Col) -> Column:
     return decode_column(value, col)
 
 
+def _key_text(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Adds ``_k``, the record key's fields as text; the key may be wrapped like the value."""
+    shape = _text_struct([spec.column(k) for k in spec.keys])
+    return df.withColumn("_kdoc", F.try_parse_json("key")).withColumn(
+        "_k", F.try_variant_get(unwrap(F.col("_kdoc")), "$", shape)
+    )
+
+
 def parse_key(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Adds ``key_fields``: the record key (single or composite) as a struct of typed columns."""
     cols = [spec.column(k) for k in spec.keys]
-    text = F.try_variant_get(unwrap_payload(F.col("key")), "$", _text_struct(cols))
-    return df.withColumn("key_fields", _typed(text, cols))
-
-
-def _texts(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Adds the key, after and before fields as text: ``_k``, ``_a``, ``_b``."""
-    keys = [spec.column(k) for k in spec.keys]
-    return df.withColumns(
-        {
-            "_k": F.try_variant_get(unwrap_payload(F.col("key")), "$", _text_struct(keys)),
-            "_a": F.try_variant_get("event", "$.after", _text_struct(spec.columns)),
-            "_b": F.try_variant_get("event", "$.before", _text_struct(spec.columns)),
-        }
-    )
+    return _key_text(df, spec).withColumn("key_fields", _typed(F.col("_k"), cols)).drop("_kdoc", "_k")
 
 
 def _found_key(spec: TableSpec) -> Column:
     """Each key column from the record key, else the after image, else the before image."""
     parts = []
     for k in spec.keys:
-        text = F.coalesce(*[F.col(f"{side}.{k}") for side in ("_k", "_a", "_b")])
-        parts.append(_typed_field(text, spec.column(k)).alias(k))
+        images = [F.try_variant_get("event", f"$.{side}.{k}", "string") for side in ("after", "before")]
+        parts.append(_typed_field(F.coalesce(F.col(f"_k.{k}"), *images), spec.column(k)).alias(k))
     return F.struct(*parts)
 
 
+def _after_text(df: DataFrame, spec: TableSpec) -> DataFrame:
+    return df.withColumn("_a", F.try_variant_get("event", "$.after", _text_struct(spec.columns)))
+
+
 def _image(side: str, spec: TableSpec) -> Column:
     return F.when(F.col(side).isNotNull(), _typed(F.col(side), spec.columns))
 
@@ -94,7 +94,7 @@ def resolve_key(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     A key value that does not decode to its declared type stays NULL; it is not coerced.
     """
-    return _texts(df, spec).withColumn("id", _found_key(spec)).drop("_k", "_a", "_b")
+    return _key_text(df, spec).withColumn("id", _found_key(spec)).drop("_kdoc", "_k")
 
 
 def is_absent(side: str, column: str) -> Column:
@@ -121,9 +121,11 @@ def decode(parsed: DataFrame, spec: TableSpec, before: bool = False) -> DataFram
     ``bad_columns`` lists, comma-separated, after-image fields that could not be used.
     """
     made = {"id": _found_key(spec), "after": _image("_a", spec), "bad_columns": _bad_columns(spec)}
+    rows = _after_text(_key_text(parsed, spec), spec)
     if before:
+        rows = rows.withColumn("_b", F.try_variant_get("event", "$.before", _text_struct(spec.columns)))
         made["before"] = _image("_b", spec)
-    return once(_texts(parsed, spec), **made).drop("_k", "_a", "_b")
+    return once(rows, **made).drop("_kdoc", "_k", "_a", "_b")
 
 
 def apply_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:

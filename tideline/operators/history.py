@@ -11,8 +11,13 @@ from tideline.spec import TableSpec
 
 
 def append_history(flat: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """One row per event, appended; ``partition_by`` names columns such as the event date."""
-    flat.write.mode("append").partitionBy(*partition_by).parquet(path)
+    """One row per event, appended; ``partition_by`` names columns such as the event date.
+
+    Rows are rebalanced by those columns first: few files per folder, and a folder with much of the
+    data is written by several tasks.
+    """
+    rows = flat.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else flat
+    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

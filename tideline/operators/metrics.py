@@ -108,6 +108,20 @@ def _template(line: Column, pattern: str, text: str) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def _required_text(pattern: str) -> str:
+    """Literal text every match contains, or empty where that cannot be told simply."""
+    if re.search(r"[|?*{\\]", pattern):
+        return ""
+    return max(re.split(r"[.()\[\]+^$]", pattern), key=len)
+
+
+def _matches(line: Column, rule: MetricRule) -> Column:
+    """Regex test behind a plain substring test, which settles most lines cheaply."""
+    text = _required_text(rule.pattern)
+    hit = line.rlike(rule.pattern)
+    return line.contains(text) & hit if text else hit
+
+
 def _sample(line: Column, rule: MetricRule) -> Column:
     pairs = [x for k, v in rule.labels.items() for x in (F.lit(k), _template(line, rule.pattern, v))]
     labels = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
@@ -119,7 +133,7 @@ def _sample(line: Column, rule: MetricRule) -> Column:
 def extract_metrics(lines: DataFrame, line: str, rules: Sequence[MetricRule]) -> DataFrame:
     """Text lines -> ``(name, labels, value)`` beside the other columns; lines no rule matches are dropped."""
     text = F.col(line)
-    found = F.coalesce(*[F.when(text.rlike(r.pattern), _sample(text, r)) for r in rules])
+    found = F.coalesce(*[F.when(_matches(text, r), _sample(text, r)) for r in rules])
     kept = [c for c in lines.columns if c != line]
     return once(lines, _m=found).filter("_m IS NOT NULL").select(*kept, "_m.name", "_m.labels", "_m.value")
 
@@ -138,21 +152,23 @@ def counter_increase(
     ordered inside one task, and the last sample of the chunk before is carried over from a
     pre-aggregated chunk table, so a series with a large share of the samples is spread out.
     A series has one sample per instant: a repeated one keeps the larger value.
+
+    Samples are shuffled once, by (series, chunk); every later step but the small carry table keeps
+    that partitioning.
     """
-    once = samples.groupBy(*series, ts).agg(F.max(value).alias(value))
-    rows = once.withColumn("_chunk", F.window(F.col(ts), chunk)["start"])
-    lasts = rows.groupBy(*series, "_chunk").agg(F.max_by(value, ts).alias("_end"))
+    group = [*series, "_chunk"]
+    placed = samples.withColumn("_chunk", F.window(F.col(ts), chunk)["start"]).repartition(*group)
+    rows = placed.groupBy(*group, ts).agg(F.max(value).alias(value))
+    lasts = placed.groupBy(*group).agg(F.max_by(value, F.struct(ts, value)).alias("_end"))
     carry = lasts.withColumn("_carry", F.lag("_end").over(Window.partitionBy(*series).orderBy("_chunk"))).drop("_end")
-    inside = Window.partitionBy(*series, "_chunk").orderBy(ts)
-    prev = F.coalesce(F.lag(value).over(inside), F.col("_carry"))
+    before = F.lag(value).over(Window.partitionBy(*group).orderBy(ts))
+    change = F.when(F.col(value) >= F.col("_prev"), F.col(value) - F.col("_prev")).otherwise(F.col(value))
     return (
-        rows.join(carry, [*series, "_chunk"])
-        .withColumn("_prev", prev)
-        .withColumn(
-            "increase",
-            F.when(F.col("_prev").isNotNull(), F.when(F.col(value) >= F.col("_prev"), F.col(value) - F.col("_prev")).otherwise(F.col(value))),
-        )
-        .drop("_chunk", "_carry", "_prev")
+        rows.withColumn("_inside", before)
+        .join(carry, group)
+        .withColumn("_prev", F.coalesce("_inside", "_carry"))
+        .withColumn("increase", F.when(F.col("_prev").isNotNull(), change))
+        .drop("_chunk", "_carry", "_inside", "_prev")
     )
 
 

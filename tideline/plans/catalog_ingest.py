@@ -118,7 +118,7 @@ SELECT 'r' AS op, strftime(o_orderdate, '%Y_%m') AS month, count(*) AS n,
 def partitioned_snapshot(lake: Lake) -> DataFrame:
     path = lake.scratch("months")
     months = lake.partition_topics().withColumn("month", F.date_format("created_at", "yyyy_MM"))
-    months.repartition("month", F.pmod("id", F.lit(4))).write.partitionBy("month").parquet(path)
+    months.hint("rebalance", F.col("month")).write.partitionBy("month").parquet(path)
     rows = logs.snapshot(logs.read_table(lake.spark, path))
     return rows.groupBy("op", "month").agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(18,2)").alias("amount"))
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tideline.functions.names import table_name
 from tideline.operators import route
@@ -14,6 +15,7 @@ from tideline.operators.classify import classify
 from tideline.sources.logs import subscribe
 from tideline.spec import FlowSpec, Step, TableSpec
 from tideline.streaming import run
+from tideline.streaming.mirror import MirrorTable, mirrors
 
 # Transforms a flow may name in its configuration.
 TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
@@ -89,17 +91,18 @@ def run_batch(raw: DataFrame, flow: FlowSpec, pos: Sequence[str] = ("partition",
     return out
 
 
-def run_stream(stream: DataFrame, flow: FlowSpec, root: str, pos: Sequence[str] = ("partition", "offset"), every: str | None = None):
+def run_stream(
+    stream: DataFrame, flow: FlowSpec, root: str, every: str | None = None
+) -> tuple[StreamingQuery, dict[str, MirrorTable]]:
     """The same flow on a stream, feeding mirror tables under ``root``.
 
     Returns the started query and the mirror tables; with ``every`` unset it drains and stops.
     """
-    from tideline.streaming.mirror import mirrors
-
-    tables = mirrors(root, {n: s.keys for n, s in flow.tables.items()}, pos)
+    pos = {"partition": "int", "offset": "bigint"}
+    tables = mirrors(root, flow.tables, pos)
 
     def handler(name: str) -> run.OnBatch:
-        return lambda rows, batch_id: tables[name].write_batch(flat_changes(rows, flow.tables[name], pos), batch_id)
+        return lambda rows, batch_id: tables[name].write_batch(flat_changes(rows, flow.tables[name], tuple(pos)), batch_id)
 
     hooks = [run.each_table({n: handler(n) for n in flow.tables}, "target")]
     if flow.on_batch:
