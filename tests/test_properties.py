@@ -120,12 +120,26 @@ def test_counter_increase_over_chunks_and_restarts(spark):
             want[(s, t)] = value[s] - last[s] if value[s] >= last[s] else value[s]
         last[s] = value[s]
     df = spark.createDataFrame(samples, "s string, sec long, value long").select("s", F.timestamp_seconds("sec").alias("ts"), "value")
-    for chunk in ("1 minute", "1 hour", "30 days"):
-        got = M.counter_increase(df, ["s"], chunk=chunk).filter("increase IS NOT NULL")
+    for seconds in (60, 3600, 30 * 86400):
+        got = M.counter_increase(df, ["s"], chunk_seconds=seconds).filter("increase IS NOT NULL")
         found = {(r.s, (r.sec - 1_700_000_000) // 97): r.increase for r in got.select("s", F.unix_seconds("ts").alias("sec"), "increase").collect()}
         assert found == want
 
 
+def test_counter_series_with_a_null_label(spark):
+    df = spark.createDataFrame([("a", None, 10, 1.0), ("a", None, 4000, 4.0), ("a", "0", 20, 7.0)], "c string, task string, sec long, value double")
+    got = M.counter_increase(df.withColumn("ts", F.timestamp_seconds("sec")).drop("sec"), ["c", "task"])
+    assert rows(got, "task", "value", "increase") == sorted([("0", 7.0, None), (None, 1.0, None), (None, 4.0, 3.0)], key=repr)
+
+
+def test_counter_samples_are_shuffled_once(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("s"), F.timestamp_seconds("id").alias("ts"), F.col("id").alias("value"))
+    got = M.counter_increase(df, ["s"], chunk_seconds=10)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("Range (0, 100") == 1, plan
+
+
 def merged_graph(people, orders):
     """The graph by replaying every event in order, one at a time."""
     nodes, placed = {}, set()

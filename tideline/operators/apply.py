@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.functions.names import parse_topic
+from tideline.functions.names import parse_topic, quote
 from tideline.spec import TableSpec
 
 
@@ -43,20 +43,40 @@ def upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame
     return delete(target, rows, keys).unionByName(rows, allowMissingColumns=True)
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write to shared storage and read back: computed once, safe against lost executors, and of a
+    size the planner knows, so it broadcasts a small side from the start instead of first shuffling
+    the large one."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def apply_reduced(
+    target: DataFrame | None, latest: DataFrame, keys: Sequence[str], pos: Sequence[str], op: str = "op"
+) -> DataFrame:
+    """Replace and remove rows of ``target`` by changes that hold each key once."""
+    live = latest.filter(F.col(op) != "d").drop(op, *[p for p in pos if p not in keys])
+    if target is None:
+        return live
+    return delete(target, latest, keys).unionByName(live, allowMissingColumns=True)
+
+
 def apply_changes(
-    target: DataFrame | None, changes: DataFrame, keys: Sequence[str], pos: Sequence[str], op: str = "op"
+    target: DataFrame | None,
+    changes: DataFrame,
+    keys: Sequence[str],
+    pos: Sequence[str],
+    op: str = "op",
+    staging: str | None = None,
 ) -> DataFrame:
     """Mirror: reduce to the last event per key, then replace and remove.
 
-    Only the changes are shuffled to be reduced. The target meets them in one anti-join, which Spark
-    runs without moving the target while the reduced keys stay under its broadcast threshold.
+    Only the changes are shuffled to be reduced. The target meets them in one anti-join, which moves
+    nothing of the target while the reduced keys are below Spark's broadcast threshold. With a large
+    target give ``staging``, a path for the reduced changes: see ``stage``.
     """
     latest = reduce_latest(changes, keys, pos)
-    live = latest.filter(F.col(op) != "d").drop(op, *[p for p in pos if p not in keys])
-    if target is None:
-        return live
-    kept = delete(target, latest, keys)
-    return kept.unionByName(live, allowMissingColumns=True)
+    return apply_reduced(target, stage(latest, staging) if staging else latest, keys, pos, op)
 
 
 def merge_state(base: DataFrame, newer: DataFrame, keys: Sequence[str], pos: Sequence[str]) -> DataFrame:
@@ -105,18 +125,14 @@ def parse_signals(signals: DataFrame) -> DataFrame:
 
 
 def resnapshot(signals: DataFrame, registry: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-    """Signals joined to a registry of readers: ``op='r'`` rows for each table that was asked for.
+    """Signals looked up in a registry of readers: ``op='r'`` rows for each table that was asked for.
 
-    The signal side holds at most one row per registered table, so it may be broadcast; when a table
-    was not asked for its side is empty and adaptive execution skips the read.
+    The names asked for are fetched first (at most one per registered table), so that tables nobody
+    asked for are not read at all.
     """
-    asked = parse_signals(signals).select(F.concat_ws(".", "schema_name", "table_name").alias("_asked")).distinct()
-    out = {}
-    for name, read in registry.items():
-        wanted = F.broadcast(asked.filter(F.col("_asked") == name))
-        rows = read().withColumn("_asked", F.lit(name)).join(wanted, "_asked", "left_semi").drop("_asked")
-        out[name] = rows.withColumn("op", F.lit("r"))
-    return out
+    full = F.concat_ws(".", "schema_name", "table_name").alias("name")
+    asked = parse_signals(signals).select(full).filter(F.col("name").isin(*registry)).distinct()
+    return {r.name: registry[r.name]().withColumn("op", F.lit("r")) for r in asked.collect()}
 
 
 def drop_overtaken(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str], inside: Column) -> DataFrame:
@@ -167,17 +183,23 @@ def running_balance(
 
     ``pos`` is an integer offset that does not repeat within a key. The log is cut into offset
     chunks: each (key, chunk) group holds at most ``chunk`` rows, so an account with a large share
-    of the log is spread over many tasks. Chunk totals are pre-aggregated and prefixed separately.
+    of the log is spread over many tasks. Rows are shuffled once, by (key, chunk); chunk totals are
+    pre-aggregated from the key and amount columns alone and prefixed separately.
     """
     total = "decimal(38,2)"
-    rows = changes.withColumn("_chunk", F.floor(F.col(pos) / F.lit(chunk)))
-    totals = rows.groupBy(key, "_chunk").agg(F.sum(amount).cast(total).alias("_sum"))
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(key, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0).cast(total)).alias("_carry"))
-    inside = Window.partitionBy(key, "_chunk").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    group = ["_key", "_chunk"]
+    rows = changes.select(
+        *changes.columns,
+        F.struct(key).alias("_key"),
+        F.coalesce(F.expr(f"{quote(pos)} div {chunk}"), F.lit(-1)).alias("_chunk"),
+    )
+    totals = rows.groupBy(*group).agg(F.sum(amount).cast(total).alias("_sum"))
+    earlier = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*group, F.coalesce(F.sum("_sum").over(earlier), F.lit(0).cast(total)).alias("_carry"))
+    inside = Window.partitionBy(*group).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     return (
         rows.withColumn("_part", F.sum(amount).over(inside))
-        .join(carried, [key, "_chunk"])
+        .join(carried, group)
         .withColumn(out, (F.col("_part") + F.col("_carry")).cast("decimal(18,2)"))
         .select(*changes.columns, out)
     )

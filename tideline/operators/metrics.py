@@ -144,31 +144,40 @@ def without_total(name: Column) -> Column:
 
 
 def counter_increase(
-    samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value", chunk: str = "1 hour"
+    samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value", chunk_seconds: int = 3600
 ) -> DataFrame:
     """Adds ``increase`` since the series' previous sample; a drop is a restart, so it counts in full.
 
     The first sample of a series has no increase. Each series is cut into time chunks: only a chunk is
     ordered inside one task, and the last sample of the chunk before is carried over from a
     pre-aggregated chunk table, so a series with a large share of the samples is spread out.
-    A series has one sample per instant: a repeated one keeps the larger value.
+    A series has one sample per instant: a repeated one keeps the larger value. Samples without a
+    time are left out, as they have no place in the order.
 
-    Samples are shuffled once, by (series, chunk); every later step but the small carry table keeps
-    that partitioning.
+    Samples are shuffled once, by (series, chunk), and both branches read that shuffle. The series is
+    held as one struct, so a label that is null identifies a series like any other value.
     """
-    group = [*series, "_chunk"]
-    placed = samples.withColumn("_chunk", F.window(F.col(ts), chunk)["start"]).repartition(*group)
+    group = ["_series", "_chunk"]
+    placed = (
+        samples.filter(F.col(ts).isNotNull())
+        .select(
+            F.struct(*series).alias("_series"),
+            F.coalesce(F.floor(F.unix_seconds(F.col(ts)) / F.lit(chunk_seconds)), F.lit(-1)).alias("_chunk"),
+            ts,
+            value,
+        )
+        .repartition(*group)
+    )
     rows = placed.groupBy(*group, ts).agg(F.max(value).alias(value))
     lasts = placed.groupBy(*group).agg(F.max_by(value, F.struct(ts, value)).alias("_end"))
-    carry = lasts.withColumn("_carry", F.lag("_end").over(Window.partitionBy(*series).orderBy("_chunk"))).drop("_end")
+    carry = lasts.withColumn("_carry", F.lag("_end").over(Window.partitionBy("_series").orderBy("_chunk"))).drop("_end")
     before = F.lag(value).over(Window.partitionBy(*group).orderBy(ts))
     change = F.when(F.col(value) >= F.col("_prev"), F.col(value) - F.col("_prev")).otherwise(F.col(value))
     return (
         rows.withColumn("_inside", before)
         .join(carry, group)
         .withColumn("_prev", F.coalesce("_inside", "_carry"))
-        .withColumn("increase", F.when(F.col("_prev").isNotNull(), change))
-        .drop("_chunk", "_carry", "_inside", "_prev")
+        .select("_series.*", ts, value, F.when(F.col("_prev").isNotNull(), change).alias("increase"))
     )
 
 

@@ -117,7 +117,7 @@ def apply_onto_target(lake: Lake) -> DataFrame:
         F.lit(0).cast("decimal(12,2)").alias("amount"),
         F.lit("kept").alias("status"),
     )
-    return A.apply_changes(source_rows(lake).unionByName(others), changes(lake), ["id"], POS)
+    return A.apply_changes(source_rows(lake).unionByName(others), changes(lake), ["id"], POS, staging=lake.scratch("reduced"))
 
 
 @query(

@@ -22,7 +22,7 @@ from tideline.plans.registry import query
 from tideline.sources.logs import read_log
 from tideline.spec import FlowSpec
 from tideline.streaming import run
-from tideline.streaming.mirror import MirrorTable, batch_rows
+from tideline.streaming.mirror import MirrorTable, mirrors
 
 POS = ("partition", "offset")
 
@@ -31,13 +31,17 @@ def order_stream(lake: Lake, files: int = 6, per_batch: int = 2) -> DataFrame:
     return read_log(lake.spark, lake.raw_files(files), topics=[ORDERS], streaming=True, max_files_per_trigger=per_batch)
 
 
+def order_mirror(lake: Lake) -> MirrorTable:
+    return mirrors(lake.scratch("mirror"), {"orders": ORDERS_SPEC}, {"partition": "int", "offset": "bigint"})["orders"]
+
+
 def feed(table: MirrorTable) -> run.OnBatch:
     return lambda batch, batch_id: table.write_batch(flow.flat_changes(batch, ORDERS_SPEC, POS), batch_id)
 
 
 @query("st01_continuous_apply", order_sql("SELECT id, customer_id, amount, status FROM mirror"))
 def continuous_apply(lake: Lake) -> DataFrame:
-    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    table = order_mirror(lake)
     run.drain(order_stream(lake), feed(table), lake.scratch("checkpoint"))
     return table.read(lake.spark)
 
@@ -110,7 +114,7 @@ def restart_resumes(lake: Lake) -> DataFrame:
 @query("st05_effectively_once", order_sql("SELECT id, customer_id, amount, status FROM mirror"))
 def effectively_once(lake: Lake) -> DataFrame:
     """Every batch is delivered twice, and once more as a later batch after a compaction."""
-    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    table = order_mirror(lake)
     write = feed(table)
     run.drain(order_stream(lake), run.tee([write, write]), lake.scratch("checkpoint"))
     table.compact(lake.spark)
@@ -121,7 +125,7 @@ def effectively_once(lake: Lake) -> DataFrame:
 @query("st06_commit_interval", order_sql("SELECT count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM mirror"))
 def commit_interval(lake: Lake) -> DataFrame:
     """A continuous run that commits at an interval, stopped once the log is consumed."""
-    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    table = order_mirror(lake)
     running = run.start(order_stream(lake, per_batch=3), feed(table), lake.scratch("checkpoint"), every="1 second")
     try:
         running.processAllAvailable()
@@ -135,7 +139,7 @@ def order_within_partition(lake: Lake) -> DataFrame:
     """Files that hold each key's events in no useful order still end in the same state."""
     path = lake.scratch("mixed")
     lake.order_raw().repartition(5, F.xxhash64("value", "offset")).write.parquet(path)
-    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    table = order_mirror(lake)
     stream = read_log(lake.spark, path, streaming=True, max_files_per_trigger=1)
     run.drain(stream, feed(table), lake.scratch("checkpoint"))
     return table.read(lake.spark)
@@ -289,6 +293,6 @@ SELECT count(*) AS n FROM (SELECT DISTINCT id FROM ch)"""),
 )
 def distinct_keys_written(lake: Lake) -> DataFrame:
     """A whole log in one batch writes one row per key."""
-    table = MirrorTable(lake.scratch("mirror"), ("id",), POS)
+    table = order_mirror(lake)
     run.drain(order_stream(lake, per_batch=100), feed(table), lake.scratch("checkpoint"))
-    return batch_rows(table, lake.spark).agg(F.sum("n").alias("n"))
+    return table.changes(lake.spark).agg(F.count("*").alias("n"))
