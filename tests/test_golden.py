@@ -237,6 +237,24 @@ def test_metric_rules(spark):
     }
 
 
+def test_rows_route_to_none_one_or_several_tables(spark):
+    df = spark.createDataFrame([("shop.public.orders",), ("shop.public.customers",), ("other.shop.public.orders",)], "_topic string")
+    parts = R.route(df, "_topic", {"orders": r"shop\.public\.orders", "all": r"shop\..*", "none": "x"})
+    assert {n: p.count() for n, p in parts.items()} == {"orders": 1, "all": 2, "none": 0}
+
+
+def test_requested_key_fields_narrow_to_the_table():
+    assert R.key_columns(NARROW, ["id", "created_at"]) == ["id"]
+    assert R.key_columns(NARROW) == ["id"]
+    with pytest.raises(ValueError):
+        R.key_columns(NARROW, ["sku"])
+
+
+def test_required_text_guards_only_safe_patterns():
+    assert M._required_text("kafka.connect<type=a, connector=(.+)><>status: (.+)") == "connect<type=a, connector="
+    assert M._required_text("ab*c") == "" and M._required_text("a|b") == ""
+
+
 def test_kafka_options_and_jdbc_split():
     assert logs.kafka_options("h:1", topics=["a", "b"])["subscribe"] == "a,b"
     assert logs.kafka_options("h:1", topics_regex="a.*")["subscribePattern"] == "a.*"

@@ -272,6 +272,25 @@ def redelivery_dedup(lake: Lake) -> DataFrame:
     return data.groupBy("op").agg(F.count("*").alias("n"))
 
 
+@query(
+    "f05_stream_goes_on",
+    wire_sql("""
+SELECT 'applied' AS part, '' AS reason, count(*) AS n FROM mirror
+UNION ALL SELECT 'quarantine', CASE kind WHEN 6 THEN 'unparsable' WHEN 7 THEN 'no_key' WHEN 8 THEN 'unknown_op' ELSE 'bad_value:amount' END, count(*)
+FROM wire WHERE kind IN (6, 7, 8, 10, 12) GROUP BY 2"""),
+)
+def stream_goes_on(lake: Lake) -> DataFrame:
+    """Bad events end up in quarantine with a reason; the rest of their batch is applied."""
+    declared = FlowSpec(topics=(ORDERS,), tables={"orders": ORDERS_SPEC}, table_template="${source.table}")
+    root = lake.scratch("flow")
+    stream = read_log(lake.spark, lake.raw_files(), streaming=True, max_files_per_trigger=3)
+    running, tables = flow.run_stream(stream, declared, root)
+    running.awaitTermination()
+    applied = tables["orders"].read(lake.spark).agg(F.count("*").alias("n")).select(F.lit("applied").alias("part"), F.lit("").alias("reason"), "n")
+    bad = run.read_batches(lake.spark, flow.quarantine_path(root, "orders")).groupBy("reason").agg(F.count("*").alias("n"))
+    return applied.unionByName(bad.select(F.lit("quarantine").alias("part"), "reason", "n"))
+
+
 @query(
     "st01_many_tables",
     shop_sql("SELECT 'orders' AS table_name, count(*) AS n FROM mirror UNION ALL SELECT 'customers', count(*) FROM cmirror"),

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tideline.functions.names import table_name
 from tideline.operators import route
 from tideline.operators.apply import apply_changes
-from tideline.operators.classify import classify
+from tideline.operators.classify import classify, drop_tombstones, with_disposition
 from tideline.sources.logs import subscribe
 from tideline.spec import FlowSpec, Step, TableSpec
 from tideline.streaming import run
@@ -23,7 +23,7 @@ TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
     "merge_partitions": route.merge_partitions,
     "stamp_topic": route.stamp_topic,
     "with_table": route.with_table,
-    "drop_tombstones": lambda df: df.filter(F.col("value").isNotNull() & (F.trim("value") != "")),
+    "drop_tombstones": drop_tombstones,
 }
 
 
@@ -67,9 +67,7 @@ def prepared(raw: DataFrame, flow: FlowSpec) -> DataFrame:
     return rows if "target" in rows.columns else rows.withColumn("target", table_name(F.col("topic"), flow.table_template))
 
 
-def flat_changes(rows: DataFrame, spec: TableSpec, pos: Sequence[str] = ("partition", "offset")) -> DataFrame:
-    """Raw rows of one table -> flat changes ready to apply: key, values, ``op``, positions."""
-    data, _, _ = classify(rows, spec)
+def _flat(data: DataFrame, spec: TableSpec, pos: Sequence[str]) -> DataFrame:
     values = [n for n in spec.names if n not in spec.keys]
     return data.select(
         *[F.col("id")[k].alias(k) for k in spec.keys],
@@ -79,6 +77,11 @@ def flat_changes(rows: DataFrame, spec: TableSpec, pos: Sequence[str] = ("partit
     )
 
 
+def flat_changes(rows: DataFrame, spec: TableSpec, pos: Sequence[str] = ("partition", "offset")) -> DataFrame:
+    """Raw rows of one table -> flat changes ready to apply: key, values, ``op``, positions."""
+    return _flat(classify(rows, spec)[0], spec, pos)
+
+
 def run_batch(raw: DataFrame, flow: FlowSpec, pos: Sequence[str] = ("partition", "offset")) -> dict[str, DataFrame]:
     """Mirror of every declared table from a whole log."""
     rows = prepared(raw, flow)
@@ -96,16 +99,33 @@ def run_stream(
 ) -> tuple[StreamingQuery, dict[str, MirrorTable]]:
     """The same flow on a stream, feeding mirror tables under ``root``.
 
-    Returns the started query and the mirror tables; with ``every`` unset it drains and stops.
+    Events that cannot be used go to ``root/_quarantine/<table>`` with their reason, and the stream
+    goes on. Returns the started query and the mirror tables; with ``every`` unset it drains and stops.
     """
     pos = {"partition": "int", "offset": "bigint"}
     tables = mirrors(root, flow.tables, pos)
 
     def handler(name: str) -> run.OnBatch:
-        return lambda rows, batch_id: tables[name].write_batch(flat_changes(rows, flow.tables[name], tuple(pos)), batch_id)
+        spec, keep = flow.tables[name], run.per_batch_folder(quarantine_path(root, name))
+
+        def on_batch(rows: DataFrame, batch_id: int) -> None:
+            decoded = with_disposition(rows, spec).persist()
+            try:
+                data = decoded.filter(F.col("disposition").isin("upsert", "delete"))
+                tables[name].write_batch(_flat(data, spec, tuple(pos)), batch_id)
+                bad = decoded.filter(F.col("disposition") == "quarantine")
+                keep(bad.select("topic", "partition", "offset", "key", "value", "reason"), batch_id)
+            finally:
+                decoded.unpersist()
+
+        return on_batch
 
     hooks = [run.each_table({n: handler(n) for n in flow.tables}, "target")]
     if flow.on_batch:
         hooks.append(flow.on_batch)
     query = run.start(prepared(stream, flow), run.tee(hooks), f"{root}/_checkpoint", every)
     return query, tables
+
+
+def quarantine_path(root: str, table: str) -> str:
+    return f"{root}/_quarantine/{table}"

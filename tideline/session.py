@@ -18,6 +18,8 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
         # Split a hot key's join even where that costs one more shuffle afterwards.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Building a plan is quicker without a captured stack per expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
 
 
