@@ -255,6 +255,18 @@ def test_required_text_guards_only_safe_patterns():
     assert M._required_text("ab*c") == "" and M._required_text("a|b") == ""
 
 
+def test_number_series(spark):
+    assert rows(logs.series(spark, 1, 4)) == [(1,), (2,), (3,), (4,)]
+    df = spark.createDataFrame([("a", 2), ("b", 0)], "n string, k long")
+    assert rows(logs.series_per_row(df, F.lit(1).cast("bigint"), F.col("k")), "n", "i") == [("a", 1), ("a", 2)]
+
+
+def test_missing_names(spark):
+    found = spark.createDataFrame([("a",)] * 5 + [("b",)], "t string")
+    expected = spark.createDataFrame([("a",), ("c",), ("c",)], "t string")
+    assert rows(V.missing_names(found, expected, "t")) == [("c",)]
+
+
 def test_kafka_options_and_jdbc_split():
     assert logs.kafka_options("h:1", topics=["a", "b"])["subscribe"] == "a,b"
     assert logs.kafka_options("h:1", topics_regex="a.*")["subscribePattern"] == "a.*"

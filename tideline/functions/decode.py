@@ -123,4 +123,4 @@ def decode_column(value: Column, col: Col) -> Column:
         return value.try_cast(col.type)
     if col.wire == "array":
         return F.from_json(value, col.type)
-    raise ValueError(f"unknown wire form {col.wire!r}")
+    raise ValueError(f"unknown wire form {col.wire!r}, known are {', '.join(WIRE_FORMS)}")

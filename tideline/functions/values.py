@@ -36,7 +36,3 @@ def month_range(month: Column) -> Column:
     """Half-open [first day, first day of next month) for a date inside the month."""
     start = F.trunc(month, "month")
     return F.struct(start.alias("lower"), F.add_months(start, 1).alias("upper"))
-
-
-def json_keys(text: Column) -> Column:
-    return F.json_object_keys(text)

@@ -79,8 +79,8 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
 
 
 def missing_names(found: DataFrame, expected: DataFrame, name: str) -> DataFrame:
-    """Expected names that were not found."""
-    return expected.join(found.select(name), name, "left_anti").distinct()
+    """Expected names that were not found; found names are made distinct before they are shuffled."""
+    return expected.select(name).distinct().join(found.select(name).distinct(), name, "left_anti")
 
 
 def partition_distribution(df: DataFrame, part: str) -> DataFrame:

@@ -24,7 +24,6 @@ from tideline.plans.feeds import (
     shop_sql,
 )
 from tideline.plans.registry import query
-from tideline.sources import logs
 
 POS = ["offset"]
 

@@ -118,70 +118,63 @@ class Lake:
     # orders ---------------------------------------------------------------------------------
 
     def _orders(self) -> DataFrame:
-        urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        leaving = (F.col("o_orderstatus") == "P") & F.col("o_orderpriority").isin("1-URGENT", "5-LOW")
-        amount = F.col("o_totalprice").cast("decimal(12,2)")
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_custkey").alias("c0"),
-            amount.alias("a0"),
-            F.col("o_orderstatus").alias("s0"),
-            F.col("o_orderpriority").alias("priority"),
-            F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("base_ms"),
-            urgent.alias("shipped"),
-            (amount > 300000).alias("moved"),
-            leaving.alias("removed"),
-            (leaving & (amount > 250000)).alias("reopened"),
-            (urgent & (F.col("o_orderstatus") == "F")).alias("redelivered"),
+        leaving = "o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '5-LOW')"
+        urgent = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+        amount = "CAST(o_totalprice AS DECIMAL(12,2))"
+        return self.table("orders").selectExpr(
+            "o_orderkey AS id",
+            "o_custkey AS c0",
+            f"{amount} AS a0",
+            "o_orderstatus AS s0",
+            "o_orderpriority AS priority",
+            "unix_millis(CAST(o_orderdate AS TIMESTAMP)) AS base_ms",
+            f"{urgent} AS shipped",
+            f"{amount} > 300000 AS moved",
+            f"{leaving} AS removed",
+            f"{leaving} AND {amount} > 250000 AS reopened",
+            f"{urgent} AND o_orderstatus = 'F' AS redelivered",
         )
 
     def _order_events(self, wire: bool) -> DataFrame:
-        def image(customer: Column, amount: Column, status: Column) -> Column:
-            return F.struct(customer.alias("customer_id"), amount.cast("decimal(12,2)").alias("amount"), status.alias("status"))
-
-        nothing = F.lit(None).cast("struct<customer_id:bigint,amount:decimal(12,2),status:string>")
-        first = image(F.col("c0"), F.col("a0"), F.col("s0"))
-        shipped = image(F.col("c0"), F.col("a0") + 10, F.lit("shipped"))
-        second = F.when(F.col("shipped"), shipped).otherwise(first)
-        moved = image(F.col("c0") + 1, second["amount"], second["status"])
-        third = F.when(F.col("moved"), moved).otherwise(second)
-        reopened = image(F.col("c0"), F.col("a0"), F.lit("reopened"))
-
-        def event(kind: int, op: Column, days: int, before: Column, after: Column) -> Column:
-            return F.struct(
-                F.lit(kind).alias("kind"),
-                op.alias("op"),
-                (F.col("base_ms") + days * DAY_MS).alias("ts_ms"),
-                before.alias("before"),
-                after.alias("after"),
-            )
-
-        update = event(1, F.lit("u"), 1, first, shipped)
+        def image(customer: str, amount: str, status: str) -> str:
+            return f"named_struct('customer_id', {customer}, 'amount', CAST({amount} AS DECIMAL(12,2)), 'status', {status})"
+
+        def event(when: str, kind: int, op: str, days: int, before: str, after: str) -> str:
+            at = f"base_ms + {days * DAY_MS}"
+            made = f"named_struct('kind', {kind}, 'op', {op}, 'ts_ms', {at}, 'before', {before}, 'after', {after})"
+            return f"CASE WHEN {when} THEN {made} END"
+
+        none = "CAST(NULL AS STRUCT<customer_id: BIGINT, amount: DECIMAL(12,2), status: STRING>)"
+        no_op = "CAST(NULL AS STRING)"
+        now_amount, now_status = "IF(shipped, a0 + 10, a0)", "IF(shipped, 'shipped', s0)"
+        first = image("c0", "a0", "s0")
+        shipped = image("c0", "a0 + 10", "'shipped'")
+        second = image("c0", now_amount, now_status)
+        moved = image("c0 + 1", now_amount, now_status)
+        third = image("IF(moved, c0 + 1, c0)", now_amount, now_status)
         events = [
-            (F.lit(True), event(0, F.when(F.col("s0") == "F", "r").otherwise("c"), 0, nothing, first)),
-            (F.col("shipped"), update),
-            (F.col("moved"), event(2, F.lit("u"), 2, second, moved)),
-            (F.col("removed"), event(3, F.lit("d"), 3, third, nothing)),
-            (F.col("reopened"), event(5, F.lit("c"), 4, nothing, reopened)),
-            (F.col("redelivered"), update),
+            event("true", 0, "IF(s0 = 'F', 'r', 'c')", 0, none, first),
+            event("shipped", 1, "'u'", 1, first, shipped),
+            event("moved", 2, "'u'", 2, second, moved),
+            event("removed", 3, "'d'", 3, third, none),
+            event("reopened", 5, "'c'", 4, none, image("c0", "a0", "'reopened'")),
+            event("redelivered", 1, "'u'", 1, first, shipped),
         ]
         if wire:
-            no_op = F.lit(None).cast("string")
             events += [
-                (F.col("removed"), event(4, no_op, 3, nothing, nothing)),
-                (F.col("reopened"), event(6, F.lit("u"), 5, nothing, nothing)),
-                (F.col("redelivered"), event(7, F.lit("u"), 5, nothing, first)),
-                (F.col("moved") & (F.col("s0") == "F"), event(8, F.lit("t"), 5, nothing, first)),
-                (F.col("s0") == "O", event(9, no_op, 0, nothing, nothing)),
-                (F.col("shipped") & (F.col("s0") == "O"), event(10, F.lit("u"), 5, first, first)),
-                (F.col("moved") & (F.col("s0") == "O"), event(11, F.lit("u"), 5, first, nothing)),
-                (F.col("moved") & (F.col("s0") == "P"), event(12, F.lit("u"), 5, first, first)),
+                event("removed", 4, no_op, 3, none, none),
+                event("reopened", 6, "'u'", 5, none, none),
+                event("redelivered", 7, "'u'", 5, none, first),
+                event("moved AND s0 = 'F'", 8, "'t'", 5, none, first),
+                event("s0 = 'O'", 9, no_op, 0, none, none),
+                event("shipped AND s0 = 'O'", 10, "'u'", 5, first, first),
+                event("moved AND s0 = 'O'", 11, "'u'", 5, first, none),
+                event("moved AND s0 = 'P'", 12, "'u'", 5, first, first),
             ]
         return (
-            _events(self._orders(), events)
-            .withColumn("topic", F.lit(ORDERS))
-            .withColumn("partition", F.pmod("id", F.lit(PARTITIONS)).cast("int"))
-            .withColumn("offset", F.col("id") * 20 + F.col("kind"))
+            self._orders()
+            .selectExpr("id", "c0", "s0", "priority", f"inline(array_compact(array({', '.join(events)})))")
+            .selectExpr("*", f"'{ORDERS}' AS topic", f"CAST(pmod(id, {PARTITIONS}) AS INT) AS partition", "id * 20 + kind AS offset")
         )
 
     def order_changes(self) -> DataFrame:
