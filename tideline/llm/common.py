@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,3 +85,39 @@ def keep_rows(df: DataFrame, inputs: list[str], start: Callable[[], Callable[...
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+class Vocabulary:
+    """Numbers for words as a task meets them, and what has been worked out for each word.
+
+    ``trim`` forgets everything once there are more than ``most`` words, so memory stays bounded; call it between batches.
+    """
+
+    def __init__(self, most: int = 400_000):
+        self.most, self.words, self.done = most, [], None
+        self.number = _Numbers(self.words)
+
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def scored(self, score: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
+        """``score`` of all words so far, one row each; only new words are worked out."""
+        have = 0 if self.done is None else len(self.done)
+        if self.done is None or have < len(self.words):
+            new = score(self.words[have:])
+            self.done = new if self.done is None else np.concatenate([self.done, new])
+        return self.done
+
+    def trim(self) -> None:
+        if len(self.words) > self.most:
+            self.__init__(self.most)
+
+
+class _Numbers(dict):
+    def __init__(self, words: list[bytes]):
+        self.words = words
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self.words)
+        self.words.append(word)
+        return n

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, secret_scan, sharding, simhash
+from tideline.llm import decontaminate, language_id, quality, secret_scan, sharding, simhash, span_dedup
 from tideline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,26 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+@_query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held = language_id.held_out("doc_id", 3, 1)
+    model = language_id.learn(docs.where(~held))
+    return language_id.identify(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
+
+
+@_query("op6_span_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = span_dedup.dedup_spans(documents(spark, folder))
+    return found.select("doc_id", "n_sentences", "n_removed", "first_docs", F.sha2("text", 256).alias("text_sha256"), "text")
+
+
+@_query("op7_quality")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judge(documents(spark, folder))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log10_prob", "symbols")
+
+
 @_query("op8_shards")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(documents(spark, folder), 40)
