@@ -121,3 +121,17 @@ class _Numbers(dict):
         self[word] = n = len(self.words)
         self.words.append(word)
         return n
+
+
+def split_hot(rows: DataFrame, keys: list[str], member: list[str], most: int, sizes: DataFrame) -> DataFrame:
+    """``rows`` with ``c`` and ``d``: the pair of chunks of a hot bucket in which a row is looked at.
+
+    ``sizes`` (keys, bucket_n) needs to list buckets of more than ``most`` rows only. Such a bucket is cut into chunks by a hash of
+    ``member``; every two chunks, and each with itself, meet under one (keys, c, d), so that each pair of
+    rows meets and no (keys, c, d) has much more than twice ``most`` rows. Other buckets have the one chunk pair (0, 0).
+    """
+    counted = rows.join(sizes.select(*keys, "bucket_n"), keys, "left")
+    chunks = F.coalesce(F.ceil(F.col("bucket_n") / most).cast("int"), F.lit(1))
+    own = F.pmod(F.xxhash64(*member), chunks).cast("int")
+    spread = counted.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    return spread.withColumns({"c": F.least("own", "other"), "d": F.greatest("own", "other")}).drop("bucket_n", "own", "other")

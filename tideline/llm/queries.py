@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, language_id, quality, secret_scan, sharding, simhash, span_dedup
+from tideline.llm import decontaminate, language_id, line_dedup, quality, secret_scan, sharding, simhash, span_dedup
 from tideline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+@_query("op4_line_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(documents(spark, folder))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"), F.array_join("removed", ",").alias("removed_lines"), F.sha2("text", 256).alias("text_sha256"))
+
+
 @_query("op5_language_id")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)

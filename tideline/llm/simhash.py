@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, pick, stored, with_columns
+from tideline.llm.common import as_bytes, pick, split_hot, stored, with_columns
 from tideline.llm.components import components
 
 BITS = 64
@@ -310,12 +310,11 @@ def near_links(prints: DataFrame, *, radius: int = 3, most_rows: int = 50_000) -
 
     rows = prints.select("bits").mapInArrow(emit, "part int, key bigint, bits bigint, probe boolean")
     # A bucket without an index row, or with a single row, has no candidates.
-    sizes = rows.groupBy("part", "key").agg(F.count("*").alias("n"), F.bool_or(~F.col("probe")).alias("indexed")).where("n > 1 AND indexed")
-    live = rows.join(sizes.select("part", "key", "n"), ["part", "key"])
-    chunks = F.ceil(F.col("n") / most_rows).cast("int")
-    own = F.pmod(F.xxhash64("bits"), chunks).cast("int")
-    cut = live.select("part", "key", "bits", own.alias("own"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
-    cut = cut.select("part", "key", F.least("own", "other").alias("c"), F.greatest("own", "other").alias("d"), "bits")
+    counted = rows.groupBy("part", "key").agg(F.count("*").alias("n"), F.bool_or(~F.col("probe")).alias("indexed"))
+    sizes = stored(counted.where("n > 1 AND indexed"), "buckets")
+    live = rows.drop("probe").join(sizes.select("part", "key"), ["part", "key"])
+    hot = sizes.where(F.col("n") > most_rows).select("part", "key", F.col("n").alias("bucket_n"))
+    cut = split_hot(live, ["part", "key"], ["bits"], most_rows, hot).select("part", "key", "c", "d", "bits")
     placed = cut.repartition("part", "key", "c", "d").sortWithinPartitions("part", "key", "c", "d")
     return placed.mapInArrow(_search(radius), "a bigint, b bigint")
 
