@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, language_id, line_dedup, packing, quality, secret_scan, sharding, simhash, span_dedup
+from tideline.llm import decontaminate, language_id, line_dedup, lm_score, packing, quality, secret_scan, sharding, simhash, span_dedup
 from tideline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(documents(spark, folder), 40)
 
 
+@_query("op9_lm_score")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(documents(spark, folder), language_id.held_out("doc_id", 5, 1))
+
+
 @_query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder))
