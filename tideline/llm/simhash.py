@@ -21,8 +21,8 @@ Two fingerprints link if they differ in at most ``radius`` bits. The search is e
 
 The number of partitions follows from the number of different fingerprints, so that keys keep being selective.
 Documents with equal fingerprints are one fingerprint from the first shuffle on. Null texts have no words; rows with
-a null id are no documents and are left out; rows that repeat an id link to each other by that id's smallest fingerprint chain only if
-their fingerprints link. An empty table gives no rows.
+a null id are no documents and are left out. Rows that repeat an id are judged one by one, each by its own text. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -338,7 +338,10 @@ def near_duplicates(docs: DataFrame, *, radius: int = 3, width: int = 3, id_col:
 
 
 def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One document of each class, the one with the smallest id, with all its columns; rows without an id stay."""
+    """One document of each class, the one with the smallest id, with all its columns.
+
+    Rows without an id stay; rows that repeat an id stay or go together.
+    """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
