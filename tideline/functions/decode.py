@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,7 +30,16 @@ _EPOCH_DAY = "1970-01-01"
 
 
 def decimal_from_text(text: Column, type_: str) -> Column:
-    return text.try_cast(type_)
+    """The number exactly as written; NULL where the type would have to round it or cannot hold it.
+
+    Trailing zeros are no surplus digits. A number with an exponent is compared with a wider one.
+    """
+    found = re.search(r",\s*([0-9]+)", type_)
+    scale = int(found.group(1)) if found else 0
+    kept = text.try_cast(type_)
+    surplus = F.length(F.regexp_extract(text, r"[.]([0-9]*?)0*\s*$", 1)) > scale
+    wider = text.try_cast(f"decimal(38,{min(38, scale + 10)})")
+    return F.when(F.regexp_like(text, F.lit("[eE]")), F.when(kept == wider, kept)).when(~surplus, kept)
 
 
 def decimal_from_bytes(encoded: Column, type_: str, scale: int = 0) -> Column:

@@ -97,15 +97,22 @@ def dedup(changes: DataFrame, ids: Sequence[str] = ("topic", "partition", "offse
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, unique: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add rows whose unique key the target lacks; among new rows with the same key the first by ``order`` wins."""
+    """Add rows whose unique key the target lacks; among new rows with the same key the first by ``order`` wins.
+
+    A key with a NULL part equals no other, so such rows are all added.
+    """
     rest = [c for c in rows.columns if c not in unique]
+    whole = F.lit(True)
+    for c in unique:
+        whole = whole & F.col(quote(c)).isNotNull()
     first = (
-        rows.groupBy(*unique)
+        rows.filter(whole)
+        .groupBy(*unique)
         .agg(F.min_by(F.struct(*rest), position(order)).alias("_first"))
         .select(*unique, *[F.col(f"_first.{c}").alias(c) for c in rest])
     )
     fresh = first.join(target.select(*unique), list(unique), "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return target.unionByName(fresh.select(*target.columns)).unionByName(rows.filter(~whole).select(*target.columns))
 
 
 def delete_top_k(df: DataFrame, predicate: Column, order: Sequence[Column], k: int, keys: Sequence[str]) -> DataFrame:
@@ -157,12 +164,13 @@ def conditional_update(df: DataFrame, predicate: Column, sets: Mapping[str, Colu
 def transfer(balances: DataFrame, transfers: DataFrame) -> DataFrame:
     """Apply ``(payer, payee, amount)`` rows to ``(id, balance)``; the total stays the same.
 
-    Each transfer becomes two signed entries that are summed per account before the join.
+    Each transfer becomes two signed entries that are summed per account before the join. An account
+    that ``balances`` lacks starts at zero and is part of the result, so no money gets lost.
     """
     net = signed_entries(transfers).groupBy("id").agg(F.sum("delta").alias("_net"))
     type_ = balances.schema["balance"].dataType
-    return balances.join(net, "id", "left").select(
-        "id", (F.col("balance") + F.coalesce(F.col("_net"), F.lit(0))).cast(type_).alias("balance")
+    return balances.join(net, "id", "full").select(
+        "id", (F.coalesce(F.col("balance"), F.lit(0)) + F.coalesce(F.col("_net"), F.lit(0))).cast(type_).alias("balance")
     )
 
 
@@ -206,8 +214,14 @@ def running_balance(
 
 
 def progress(raw: DataFrame) -> DataFrame:
-    """Resume position and resolved frontier of every (topic, partition)."""
-    mark = F.try_variant_get(F.try_parse_json("value"), "$.resolved", "string").try_cast("bigint")
+    """Resume position and resolved frontier of every (topic, partition).
+
+    A mark may stand bare or inside ``payload``, as an integer or in the decimal text form of a logical clock, of
+    which the whole part is the time.
+    """
+    body = F.try_parse_json("value")
+    text = F.coalesce(F.try_variant_get(body, "$.resolved", "string"), F.try_variant_get(body, "$.payload.resolved", "string"))
+    mark = F.substring_index(text, ".", 1).try_cast("bigint")
     # Data rows far outnumber marks: only values that mention one are parsed.
     resolved = F.when(F.contains(F.col("value"), F.lit('"resolved"')), mark)
     return raw.groupBy("topic", "partition").agg(F.max("offset").alias("max_offset"), F.max(resolved).alias("frontier"))

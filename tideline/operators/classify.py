@@ -18,7 +18,7 @@ DELETE_OP = "d"
 
 def is_tombstone(value: str | Column = "value") -> Column:
     col = F.col(value) if isinstance(value, str) else value
-    return col.isNull() | (F.trim(col) == "")
+    return col.isNull() | (F.btrim(col, F.lit(" \t\n\r\f\v")) == "")
 
 
 def drop_tombstones(raw: DataFrame) -> DataFrame:

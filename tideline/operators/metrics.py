@@ -77,13 +77,9 @@ CAPTURE_RULES = (
     ),
 )
 
-# The four hops of the data flow, in order.
-HOPS = {
-    "kafka_connect_source_record_poll": "1. source -> connector (poll)",
-    "kafka_connect_source_record_write": "2. connector -> log (write)",
-    "kafka_connect_sink_record_read": "3. log -> sink (read)",
-    "kafka_connect_sink_record_send": "4. sink -> target (send)",
-}
+# Sides and verbs of the record counters, in the order a record passes them.
+HOP_COUNTERS = (("source", "poll"), ("source", "write"), ("sink", "read"), ("sink", "send"))
+HOPS = {f"kafka_connect_{side}_record_{verb}": f"{side} {verb}" for side, verb in HOP_COUNTERS}
 
 # Labels of the snapshot flags.
 SNAPSHOT_RUNNING = {0: "no", 1: "yes"}
@@ -109,10 +105,31 @@ def _template(line: Column, pattern: str, text: str) -> Column:
 
 
 def _required_text(pattern: str) -> str:
-    """Literal text every match contains, or empty where that cannot be told simply."""
-    if re.search(r"[|?*{\\]", pattern):
+    """Literal text every match contains, or empty where that cannot be told simply.
+
+    Only plain characters outside groups and character classes count, and none that a quantifier may drop.
+    """
+    if "\\" in pattern or "(?" in pattern:
         return ""
-    return max(re.split(r"[.()\[\]+^$]", pattern), key=len)
+    runs, depth, at = [""], 0, 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "[":  # a class: one character of several, up to its closing bracket
+            at = pattern.find("]", at + (3 if pattern[at + 1 : at + 2] == "^" else 2))
+            if at < 0:
+                return ""
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            return ""
+        optional = pattern[at + 1 : at + 2] in tuple("*?{")
+        if depth or c in ".()[]^$+*?{}|" or optional:
+            if c == "{":
+                at = pattern.find("}", at)
+            runs.append("")
+        else:
+            runs[-1] += c
+        at += 1
+    return max(runs, key=len)
 
 
 def _matches(line: Column, rule: MetricRule) -> Column:
@@ -181,16 +198,41 @@ def counter_increase(
     )
 
 
-def windowed_rate(increases: DataFrame, by: Sequence[str], ts: str = "ts", width: str = "1 minute", seconds: int = 60) -> DataFrame:
-    """Per window and group: summed increase and records per second."""
+def windowed_rate(increases: DataFrame, by: Sequence[str], ts: str = "ts", width: str = "1 minute") -> DataFrame:
+    """Per tumbling window and group: summed increase and records per second of the window's own length."""
     total = F.sum("increase")
+    window = F.window(F.col(ts), width)
     return (
         increases.filter("increase IS NOT NULL")
-        .groupBy(*by, F.window(F.col(ts), width)["start"].alias("window_start"))
-        .agg(total.alias("increase"), (total.cast("double") / F.lit(float(seconds))).alias("per_second"))
+        .groupBy(*by, window.alias("_window"))
+        .agg(total.alias("increase"))
+        .select(
+            *by,
+            F.col("_window.start").alias("window_start"),
+            "increase",
+            (F.col("increase").cast("double") / ((F.unix_micros("_window.end") - F.unix_micros("_window.start")) / 1e6)).alias("per_second"),
+        )
     )
 
 
+def trailing_rate(increases: DataFrame, by: Sequence[str], ts: str = "ts", seconds: int = 60, chunk_seconds: int = 3600) -> DataFrame:
+    """At each instant of a group: increase and records per second of the ``seconds`` up to and including it.
+
+    A group is cut into time chunks, and rows of the last ``seconds`` of a chunk are also given to the next one, where
+    they only count for others. No group is ordered whole inside one task.
+    """
+    if seconds > chunk_seconds:
+        raise ValueError("the trailing span must fit into a chunk")
+    micros, span, chunk = F.unix_micros(F.col(ts)), seconds * 1_000_000, chunk_seconds * 1_000_000
+    own = F.floor(micros / F.lit(chunk))
+    last = F.floor((micros + F.lit(span - 1)) / F.lit(chunk))
+    instants = increases.filter(F.col("increase").isNotNull() & F.col(ts).isNotNull()).groupBy(*by, ts).agg(F.sum("increase").alias("_step"))
+    placed = instants.select(*by, ts, "_step", micros.alias("_us"), own.alias("_own"), F.explode(F.sequence(own, last)).alias("_chunk"))
+    before = Window.partitionBy(*by, "_chunk").orderBy("_us").rangeBetween(1 - span, 0)
+    total = placed.withColumn("increase", F.sum("_step").over(before)).filter("_own = _chunk")
+    return total.select(*by, ts, "increase", (F.col("increase").cast("double") / F.lit(float(seconds))).alias("per_second"))
+
+
 def hop_rates(samples: DataFrame, ts: str = "ts") -> DataFrame:
     """Records per second at each hop, all connectors and tasks summed."""
     series = samples.select(

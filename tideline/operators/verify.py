@@ -31,8 +31,8 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def joined_counts(counts: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The counts in the given table order as one ``a|b|c`` text (one value per named table)."""
-    values = [F.max(F.when(F.col("table_name") == t, F.col("n"))).cast("string") for t in order]
+    """The counts in the given table order as one ``a|b|c`` text; a table that is missing shows as ``?``."""
+    values = [F.coalesce(F.max(F.when(F.col("table_name") == t, F.col("n"))).cast("string"), F.lit("?")) for t in order]
     return counts.agg(F.concat_ws("|", *values).alias("fingerprint"))
 
 

@@ -175,33 +175,14 @@ def series(lake: Lake) -> DataFrame:
 @query(
     "s13_grid",
     """
-SELECT s_suppkey AS source_id, ((y * 12 + m + d) % 5) + 1 AS cust_idx,
-  make_date(y, m, least(d * 7, 28)) + INTERVAL 10 HOURS AS created_at,
-  'ORD-' || strftime(make_date(y, m, 1), '%Y%m') || '-' || lpad(CAST(d AS VARCHAR), 3, '0') AS order_number,
-  (['new', 'pending', 'confirmed', 'shipped', 'delivered'])[(d % 5) + 1] AS status,
-  (['us-east', 'us-west', 'eu-west', 'eu-central', 'apac'])[(m % 5) + 1] AS region
-FROM supplier, (SELECT CAST(unnest(generate_series(2023, 2026)) AS INTEGER) AS y) ys,
-  (SELECT CAST(unnest(generate_series(1, 12)) AS INTEGER) AS m) ms, (SELECT CAST(unnest(generate_series(1, 4)) AS INTEGER) AS d) ds""",
+SELECT p_partkey, layer, box, p_partkey || '/' || layer || '/' || box AS label
+FROM (SELECT p_partkey, unnest(generate_series(1, p_size % 4 + 1)) AS layer FROM part), (SELECT unnest(generate_series(1, 2)) AS box)""",
 )
 def grid(lake: Lake) -> DataFrame:
-    from tideline.functions.values import pick
-
-    # The status and region lists the generated rows cycle through.
-    statuses = ["new", "pending", "confirmed", "shipped", "delivered"]
-    regions = ["us-east", "us-west", "eu-west", "eu-central", "apac"]
-    axes = {"y": (F.lit(2023), F.lit(2026)), "m": (F.lit(1), F.lit(12)), "d": (F.lit(1), F.lit(4))}
-    rows = logs.grid(lake.table("supplier").select(F.col("s_suppkey").alias("source_id")), axes)
-    day = F.make_date("y", "m", F.least(F.col("d") * 7, F.lit(28)))
-    created = day.cast("timestamp_ntz") + F.expr("INTERVAL 10 HOURS")
-    number = F.concat(F.lit("ORD-"), F.date_format(day, "yyyyMM"), F.lit("-"), F.lpad(F.col("d").cast("string"), 3, F.lit("0")))
-    return rows.select(
-        "source_id",
-        (F.pmod(F.col("y") * 12 + F.col("m") + F.col("d"), F.lit(5)) + 1).alias("cust_idx"),
-        created.alias("created_at"),
-        number.alias("order_number"),
-        pick(statuses, F.col("d") % 5 + 1).alias("status"),
-        pick(regions, F.col("m") % 5 + 1).alias("region"),
-    )
+    """The boxes of every part: as many layers as its size asks for, two boxes on each."""
+    axes = {"layer": (F.lit(1).cast("bigint"), (F.col("p_size") % 4 + 1).cast("bigint")), "box": (F.lit(1).cast("bigint"), F.lit(2).cast("bigint"))}
+    rows = logs.grid(lake.table("part").select("p_partkey", "p_size"), axes)
+    return rows.select("p_partkey", "layer", "box", F.concat_ws("/", "p_partkey", "layer", "box").alias("label"))
 
 
 @query(
@@ -420,16 +401,15 @@ def f_has_field(lake: Lake) -> DataFrame:
     "f11_severe_lines",
     """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ERROR task user' || user_id || ' ' ||
-  CASE WHEN json_extract_string(props, '$.k')::INT < 50 THEN 'errors.tolerance set' ELSE 'write failed' END AS line
+  CASE WHEN json_extract_string(props, '$.k')::INT < 50 THEN 'a retry follows' ELSE 'write failed' END AS line
 FROM events WHERE event_type = 'error' AND json_extract_string(props, '$.k')::INT >= 50 ORDER BY ts DESC, event_id DESC LIMIT 5""",
 )
 def f_severe(lake: Lake) -> DataFrame:
     level = F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO")
-    text = F.when(F.get_json_object("props", "$.k").cast("int") < 50, "errors.tolerance set").otherwise("write failed")
+    text = F.when(F.get_json_object("props", "$.k").cast("int") < 50, "a retry follows").otherwise("write failed")
     line = F.concat(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" "), level, F.lit(" task user"), F.col("user_id").cast("string"), F.lit(" "), text
     )
     rows = lake.table("events").select("event_id", "ts", line.alias("line"))
-    # What marks an error line, and the harmless mentions of errors.
-    found = C.severe_lines(rows, "line", r"^[0-9]{4}-.*ERROR", r"errors\.|error_code|config_mismatch", ["ts", "event_id"], 5)
+    found = C.severe_lines(rows, "line", r" ERROR ", r"retry follows|ignored", ["ts", "event_id"], 5)
     return found.select("event_id", "line")

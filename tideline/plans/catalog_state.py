@@ -161,7 +161,8 @@ def latest_view(lake: Lake) -> DataFrame:
     "a08_insert_if_absent",
     """
 SELECT c_custkey AS id, c_name AS name, lower(c_name) || '@example.com' AS email FROM customer
-UNION ALL SELECT min(1000000 + s_suppkey), min_by(s_name, s_suppkey), 'nation' || s_nationkey || '@example.com' FROM supplier GROUP BY s_nationkey""",
+UNION ALL SELECT min(1000000 + s_suppkey), min_by(s_name, s_suppkey), 'nation' || s_nationkey || '@example.com' FROM supplier WHERE s_suppkey % 3 > 0 GROUP BY s_nationkey
+UNION ALL SELECT 1000000 + s_suppkey, s_name, NULL FROM supplier WHERE s_suppkey % 3 = 0""",
 )
 def insert_if_absent(lake: Lake) -> DataFrame:
     target = lake.table("customer").select(
@@ -170,7 +171,7 @@ def insert_if_absent(lake: Lake) -> DataFrame:
     by_nation = lake.table("supplier").select(
         (F.lit(1000000) + F.col("s_suppkey")).alias("id"),
         F.col("s_name").alias("name"),
-        F.concat(F.lit("nation"), F.col("s_nationkey").cast("string"), F.lit("@example.com")).alias("email"),
+        F.when(F.col("s_suppkey") % 3 > 0, F.concat(F.lit("nation"), F.col("s_nationkey").cast("string"), F.lit("@example.com"))).alias("email"),
     )
     known = target.withColumn("name", F.lit("ignored"))
     return A.insert_if_absent(target, by_nation.unionByName(known), ["email"], ["id"])
@@ -311,7 +312,7 @@ SELECT id, seq AS "offset", CAST(sum(delta) OVER (PARTITION BY id ORDER BY seq R
 )
 def running_balance(lake: Lake) -> DataFrame:
     entries = A.signed_entries(lake.transfers())
-    return A.running_balance(entries, "id", "delta", "offset", chunk=100_000).select("id", "offset", "balance")
+    return A.running_balance(entries, "id", "delta", "offset", chunk=5_000).select("id", "offset", "balance")
 
 
 @query(
@@ -435,18 +436,18 @@ def metric_samples(lake: Lake) -> DataFrame:
 
 @query(
     "w02_trailing_rate",
-    metric_sql(_RATE + """
-SELECT connector, date_trunc('minute', ts) AS window_start, CAST(sum(increase) AS DECIMAL(18,2)) AS increase,
-  CAST(CAST(sum(increase) AS DECIMAL(18,2)) AS DOUBLE) / 60.0 AS per_second FROM i GROUP BY 1, 2"""),
+    metric_sql(_RATE + """,
+steps_ AS (SELECT connector, ts, sum(increase) AS step FROM i WHERE increase IS NOT NULL GROUP BY 1, 2),
+trailing_ AS (SELECT connector, ts, CAST(sum(step) OVER (PARTITION BY connector ORDER BY ts
+  RANGE BETWEEN INTERVAL 59999999 MICROSECONDS PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS increase FROM steps_)
+SELECT connector, ts, increase, CAST(increase AS DOUBLE) / 60.0 AS per_second FROM trailing_"""),
 )
 def trailing_rate(lake: Lake) -> DataFrame:
     series = metric_samples(lake).filter(F.col("name").endswith("_total")).select(
         "name", F.col("labels")["connector"].alias("connector"), F.col("labels")["task"].alias("task"), "ts", "value"
     )
-    rates = M.windowed_rate(M.counter_increase(series, ["name", "connector", "task"]), ["connector"])
-    return rates.select(
-        "connector", F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("increase").cast("decimal(18,2)").alias("increase"), "per_second"
-    )
+    rates = M.trailing_rate(M.counter_increase(series, ["name", "connector", "task"]), ["connector"])
+    return rates.select("connector", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("increase").cast("decimal(18,2)").alias("increase"), "per_second")
 
 
 @query("o01_order_by", order_sql("SELECT id, status FROM mirror ORDER BY id"))
@@ -502,10 +503,10 @@ def difference(lake: Lake) -> DataFrame:
 # X: scalar functions -----------------------------------------------------------------------------
 
 
-@query("x01_concat", "SELECT 'CW-' || o_custkey || '-' || o_orderkey AS order_number FROM orders")
+@query("x01_concat", "SELECT o_orderpriority || ' / ' || o_custkey || ' / ' || o_orderkey AS label FROM orders")
 def concat(lake: Lake) -> DataFrame:
-    number = F.concat(F.lit("CW-"), F.col("o_custkey").cast("string"), F.lit("-"), F.col("o_orderkey").cast("string"))
-    return lake.table("orders").select(number.alias("order_number"))
+    label = F.concat("o_orderpriority", F.lit(" / "), F.col("o_custkey").cast("string"), F.lit(" / "), F.col("o_orderkey").cast("string"))
+    return lake.table("orders").select(label.alias("label"))
 
 
 @query(
@@ -562,22 +563,21 @@ def arithmetic(lake: Lake) -> DataFrame:
 
 @query(
     "x06_array_subscript",
-    "SELECT o_orderkey AS id, (['new', 'pending', 'confirmed', 'shipped', 'delivered'])[(o_custkey % 5) + 1] AS status FROM orders",
+    "SELECT o_orderkey AS id, (['URGENT', 'HIGH', 'MEDIUM', 'LOW'])[CAST(left(o_orderpriority, 1) AS INTEGER)] AS word FROM orders",
 )
 def array_subscript(lake: Lake) -> DataFrame:
-    # Order states by position.
-    states = ["new", "pending", "confirmed", "shipped", "delivered"]
-    return lake.table("orders").select(F.col("o_orderkey").alias("id"), pick(states, F.col("o_custkey") % 5 + 1).alias("status"))
+    words = ["URGENT", "HIGH", "MEDIUM", "LOW"]  # by the digit a priority begins with; there is no fifth
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), pick(words, F.substring("o_orderpriority", 1, 1).cast("int")).alias("word"))
 
 
 @query(
     "x07_casts",
     """
-SELECT l_orderkey AS id, CAST(CAST(l_linenumber AS DECIMAL(12,2)) * CAST(3.5 AS DECIMAL(3,1)) AS DECIMAL(12,2)) AS amount, CAST(l_partkey AS VARCHAR) AS part_text, count(*) AS n
+SELECT l_orderkey AS id, CAST(CAST(l_linenumber AS DECIMAL(12,2)) * CAST(1.25 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS amount, CAST(l_partkey AS VARCHAR) AS part_text, count(*) AS n
 FROM lineitem GROUP BY 1, 2, 3""",
 )
 def casts(lake: Lake) -> DataFrame:
-    amount = (F.col("l_linenumber").cast("decimal(12,2)") * F.lit("3.5").cast("decimal(3,1)")).cast("decimal(12,2)")
+    amount = (F.col("l_linenumber").cast("decimal(12,2)") * F.lit("1.25").cast("decimal(3,2)")).cast("decimal(12,2)")
     return (
         lake.table("lineitem")
         .groupBy(F.col("l_orderkey").alias("id"), amount.alias("amount"), F.col("l_partkey").cast("string").alias("part_text"))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tideline.functions.names import table_name
+from tideline.functions.names import quote, table_name
 from tideline.operators import route
 from tideline.operators.apply import apply_changes
-from tideline.operators.classify import classify, drop_tombstones, with_disposition
+from tideline.operators.classify import classify, drop_tombstones, is_tombstone, with_disposition
 from tideline.sources.logs import subscribe
 from tideline.spec import FlowSpec, Step, TableSpec
 from tideline.streaming import run
@@ -27,18 +27,50 @@ TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+# Transforms that work out columns of a row and keep every row.
+COLUMN_STEPS = (route.rename_topics, route.merge_partitions, route.stamp_topic, route.with_table)
+
+
 def chain(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
-    """Apply steps in order. A step with a predicate touches only the rows that satisfy it."""
+    """Apply steps in order. A step with a predicate touches only the rows that satisfy it.
+
+    The predicate is evaluated per row, so gated steps read the input once however many there are. Only a
+    step of unknown kind, which may add or drop rows, splits the input in two.
+    """
     for step in steps:
         if step.predicate is None:
             df = df.transform(step.fn, **step.params)
             continue
         hit = F.coalesce(step.predicate, F.lit(False))
-        inside = df.filter(hit).transform(step.fn, **step.params)
-        df = inside.unionByName(df.filter(~hit), allowMissingColumns=True)
+        if step.fn is drop_tombstones:
+            df = df.filter(~hit | ~is_tombstone())
+        elif step.fn in COLUMN_STEPS:
+            held = df.withColumns({"_hit": hit, "_old": F.struct(*[F.col(quote(c)) for c in df.columns])})
+            done = held.transform(step.fn, **step.params)
+            kept = {c: F.col("_old")[c] for c in df.columns}
+            df = done.select(
+                *[F.when(F.col("_hit"), F.col(quote(c))).otherwise(kept.get(c, F.lit(None))).alias(c) for c in done.columns if c not in ("_hit", "_old")]
+            )
+        else:
+            inside = df.filter(hit).transform(step.fn, **step.params)
+            df = inside.unionByName(df.filter(~hit), allowMissingColumns=True)
     return df
 
 
+# Types of the columns that can order events. Offsets of different topics cannot be compared, so the event time leads there.
+POSITION_TYPES = {"ts_ms": "bigint", "topic": "string", "partition": "int", "offset": "bigint"}
+WITHIN_A_TOPIC = ("partition", "offset")
+ACROSS_TOPICS = ("ts_ms", "topic", "partition", "offset")
+
+
+def order_of(flow: FlowSpec) -> tuple[str, ...]:
+    """What orders the events of a key: as declared, else by event time where a step may bring several topics into one table."""
+    if flow.pos:
+        return tuple(flow.pos)
+    merges = any(s.fn in (route.merge_partitions, route.rename_topics, route.with_table) for s in flow.transforms)
+    return ACROSS_TOPICS if merges else WITHIN_A_TOPIC
+
+
 def from_config(config: Mapping, tables: Mapping[str, TableSpec]) -> FlowSpec:
     """A flow from a plain dict, e.g. ``{"topics.regex": .., "transforms": ["a"], "a.type": "rename", ..}``.
 
@@ -57,6 +89,7 @@ def from_config(config: Mapping, tables: Mapping[str, TableSpec]) -> FlowSpec:
         transforms=steps,
         tables=tables,
         table_template=config.get("table.name", "${topic}"),
+        pos=config.get("order"),
     )
 
 
@@ -82,9 +115,10 @@ def flat_changes(rows: DataFrame, spec: TableSpec, pos: Sequence[str] = ("partit
     return _flat(classify(rows, spec)[0], spec, pos)
 
 
-def run_batch(raw: DataFrame, flow: FlowSpec, pos: Sequence[str] = ("partition", "offset")) -> dict[str, DataFrame]:
+def run_batch(raw: DataFrame, flow: FlowSpec, pos: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Mirror of every declared table from a whole log."""
     rows = prepared(raw, flow)
+    pos = pos or order_of(flow)
     out = {}
     for name, spec in flow.tables.items():
         changes = flat_changes(rows.filter(F.col("target") == name), spec, pos)
@@ -100,9 +134,10 @@ def run_stream(
     """The same flow on a stream, feeding mirror tables under ``root``.
 
     Events that cannot be used go to ``root/_quarantine/<table>`` with their reason, and the stream
-    goes on. Returns the started query and the mirror tables; with ``every`` unset it drains and stops.
+    goes on. Those of a table that is not declared, or whose table cannot be told, go to
+    ``root/_quarantine/_unknown_table``. Returns the started query and the mirror tables; with ``every`` unset it drains and stops.
     """
-    pos = {"partition": "int", "offset": "bigint"}
+    pos = {c: POSITION_TYPES[c] for c in order_of(flow)}
     tables = mirrors(root, flow.tables, pos)
 
     def handler(name: str) -> run.OnBatch:
@@ -120,12 +155,29 @@ def run_stream(
 
         return on_batch
 
-    hooks = [run.each_table({n: handler(n) for n in flow.tables}, "target")]
+    keep_unknown = run.per_batch_folder(quarantine_path(root, UNKNOWN_TABLE))
+
+    def undeclared(rows: DataFrame, batch_id: int) -> None:
+        known = F.coalesce(F.col("target").isin(*flow.tables), F.lit(False))
+        lost = rows.filter(~known & ~is_tombstone()).withColumn("reason", F.lit("unknown_table"))
+        keep_unknown(lost.select("topic", "partition", "offset", "key", "value", "reason"), batch_id)
+
+    hooks = [run.each_table({n: handler(n) for n in flow.tables}, "target", undeclared)]
     if flow.on_batch:
         hooks.append(flow.on_batch)
     query = run.start(prepared(stream, flow), run.tee(hooks), f"{root}/_checkpoint", every)
     return query, tables
 
 
+UNKNOWN_TABLE = "_unknown_table"
+
+
+def unknown_rows(raw: DataFrame, flow: FlowSpec) -> DataFrame:
+    """Rows of a log that ``run_batch`` has no declared table for, with a reason."""
+    rows = prepared(raw, flow)
+    known = F.coalesce(F.col("target").isin(*flow.tables), F.lit(False))
+    return rows.filter(~known & ~is_tombstone()).withColumn("reason", F.lit("unknown_table"))
+
+
 def quarantine_path(root: str, table: str) -> str:
     return f"{root}/_quarantine/{table}"

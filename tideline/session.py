@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,16 +31,10 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Where that is unset, scratch goes to the session's warehouse, which is shared by its own purpose.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tideline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -95,12 +95,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 1000, writers: int | None = None) -> None:
-    """Set-based batch write: each task sends its rows in statements of ``batch_size`` rows.
+    """Set-based batch append: each task sends its rows in statements of ``batch_size`` rows.
 
-    Upserts go to a staging table first and are merged by one statement of the target's own dialect,
-    which keeps a retried task from applying a row twice.
+    A retried task appends again, so ``table`` should be a staging table that is merged by key afterwards. ``writers``
+    bounds the connections without drawing the work before it into as few tasks.
     """
-    rows = df.coalesce(writers) if writers else df
+    rows = df.repartition(writers) if writers else df
     rows.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch_size).options(
         **properties
     ).mode("append").save()

@@ -96,5 +96,6 @@ class FlowSpec:
     transforms: Sequence[Step] = ()
     tables: Mapping[str, TableSpec] = field(default_factory=dict)
     table_template: str = "${topic}"
+    pos: Sequence[str] | None = None  # columns that order the events of a key; see ``plans.flow.order_of``
     sinks: Sequence[Callable[[str, DataFrame], None]] = ()
     on_batch: Callable[[DataFrame, int], None] | None = None

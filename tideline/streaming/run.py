@@ -20,11 +20,9 @@ def start(stream: DataFrame, on_batch: OnBatch, checkpoint: str, every: str | No
     return writer.start()
 
 
-def drain(stream: DataFrame, on_batch: OnBatch, checkpoint: str, mode: str = "append") -> int:
-    """Process all input there is, then stop. Returns the number of input rows of this run."""
-    query = start(stream, on_batch, checkpoint, None, mode)
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+def drain(stream: DataFrame, on_batch: OnBatch, checkpoint: str, mode: str = "append") -> None:
+    """Process all input there is, then stop. How much that was is for the target to tell: Spark keeps the progress of the last batches only."""
+    start(stream, on_batch, checkpoint, None, mode).awaitTermination()
 
 
 def frontier(raw: DataFrame) -> DataFrame:
@@ -52,14 +50,16 @@ def without_redelivery(stream: DataFrame, event_time: str = "ts", delay: str = "
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
 
 
-def each_table(handlers: Mapping[str, OnBatch], tag: str) -> OnBatch:
-    """One batch handler that splits a batch by ``tag`` and computes it once for all tables."""
+def each_table(handlers: Mapping[str, OnBatch], tag: str, others: OnBatch | None = None) -> OnBatch:
+    """One batch handler that splits a batch by ``tag`` and computes it once for all tables; ``others`` gets the whole batch."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
             for name, handle in handlers.items():
                 handle(held.filter(F.col(tag) == name), batch_id)
+            if others:
+                others(held, batch_id)
         finally:
             held.unpersist()
 
