@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.values import once, stable_uuid
-from tideline.session import pin_utc, scratch_path
+from tideline.session import pin_utc, scratch_path, split_skewed_joins
 from tideline.spec import Col, ForeignKey, TableSpec
 
 ORDERS = "shop.public.orders"
@@ -106,12 +106,18 @@ class Lake:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         pin_utc(spark)
+        split_skewed_joins(spark)
         self.spark = spark
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @staticmethod
+    def files_for(rows: DataFrame, least: int, rows_a_file: int = 500_000) -> int:
+        """How many files to write: as many as the rows ask for, and at least so many that a small input has several batches."""
+        return max(least, -(-rows.count() // rows_a_file))
+
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
@@ -445,12 +451,15 @@ class Lake:
         )
         return once(self.table("events"), line=line).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "line")
 
-    def raw_files(self, files: int = 6) -> str:
-        """The whole log written once as ``files`` files, oldest first, for streaming runs."""
-        key = (self.spark.sparkContext.applicationId, self.folder, files)
+    def raw_files(self, least: int = 6, rows_a_file: int = 500_000) -> str:
+        """The whole log written once, oldest first, for streaming runs.
+
+        As many files as its rows ask for, and ``least`` of them so that a small log has several batches too.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder, least)
         if key not in _RAW_FILES:
             path = self.scratch("raw")
-            self.raw().repartitionByRange(files, "ts", "offset").write.parquet(path)
+            self.raw().repartitionByRange(self.files_for(self.raw(), least, rows_a_file), "ts", "offset").write.parquet(path)
             _RAW_FILES[key] = path
         return _RAW_FILES[key]
 

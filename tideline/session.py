@@ -28,6 +28,12 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def split_skewed_joins(spark: SparkSession) -> None:
+    """Split a hot key's join even where that costs one more shuffle afterwards."""
+    if spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") != "true":
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
