@@ -20,9 +20,8 @@ from tokenizers import Tokenizer
 from tideline.llm.common import Vocabulary
 
 _CHUNK = re.compile(rb"[ \n]*[^ \n]+")
-_ODD = re.compile(r"[^\S \n]")
-_ODD_ASCII = b"\t\r\v\f\x1c\x1d\x1e\x1f"
-_ODD_LEADS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+# White space other than the space and the line feed, as UTF-8.
+_ODD = re.compile(rb"[\t\r\v\f\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 def default_path() -> str:
@@ -62,9 +61,7 @@ class Encoder:
             self.widths[i] = len(token)
 
     def is_plain(self, text: bytes) -> bool:
-        if any(s in text for s in self.special) or len(text.translate(None, _ODD_ASCII)) < len(text):
-            return False
-        return not any(x in text for x in _ODD_LEADS) or not _ODD.search(text.decode(errors="replace"))
+        return not any(s in text for s in self.special) and not _ODD.search(text)
 
     def chunks(self, text: bytes) -> list[bytes]:
         found = _CHUNK.findall(text)
@@ -74,19 +71,39 @@ class Encoder:
     def encode(self, text: bytes) -> np.ndarray:
         return np.array(self.whole.encode(text.decode(errors="replace"), add_special_tokens=False).ids, np.uint32)
 
+    def encode_flat(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks one after the other, and how many each has.
+
+        Chunks that start a word after white space are encoded as one text, and told apart by the bytes their ids stand for.
+        """
+        lengths, parts = np.zeros(len(chunks), np.int64), []
+        for i in range(0, len(chunks), 50_000):
+            block = chunks[i : i + 50_000]
+            joined = np.array([c[:1] in b" \n" and c[-1:] not in b" \n" for c in block], bool)
+            if not self.is_plain(b"".join(block)):
+                joined &= np.array([self.is_plain(c) for c in block], bool)
+            together = [c for c, ok in zip(block, joined, strict=True) if ok]
+            ids = np.array(self.ranks.encode_ordinary(b"".join(together).decode(errors="replace")), np.uint32)
+            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(np.fromiter(map(len, together), np.int64, len(together)))) + 1
+            alone = {k: np.array(self.ranks.encode_ordinary(block[k].decode(errors="replace")), np.uint32) for k in np.flatnonzero(~joined)}
+            own = np.zeros(len(block), np.int64)
+            own[joined] = np.diff(ends, prepend=0)
+            for k, x in alone.items():
+                own[k] = len(x)
+            begin = np.cumsum(own) - own
+            out = np.zeros(int(own.sum()), np.uint32)
+            taken = own[joined]
+            out[np.repeat(begin[joined] - np.cumsum(taken) + taken, taken) + np.arange(len(ids))] = ids
+            for k, x in alone.items():
+                out[begin[k] : begin[k] + len(x)] = x
+            lengths[i : i + len(block)] = own
+            parts.append(out)
+        return np.concatenate([*parts, np.zeros(0, np.uint32)]), lengths
+
     def encode_chunks(self, chunks: list[bytes]) -> list[np.ndarray]:
-        """Ids of each chunk. Chunks that start a word after white space are encoded as one text."""
-        out: list[np.ndarray | None] = [None] * len(chunks)
-        joined = [i for i, c in enumerate(chunks) if c[:1] in b" \n" and c[-1:] not in b" \n" and self.is_plain(c)]
-        for i in range(0, len(joined), 50_000):
-            part = joined[i : i + 50_000]
-            ids = np.array(self.ranks.encode_ordinary(b"".join(chunks[k] for k in part).decode(errors="replace")), np.uint32)
-            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(chunks[k]) for k in part]))
-            start = 0
-            for k, end in zip(part, ends + 1, strict=True):
-                out[k] = ids[start:end]
-                start = end
-        return [np.array(self.ranks.encode_ordinary(c.decode(errors="replace")), np.uint32) if x is None else x for c, x in zip(chunks, out, strict=True)]
+        """Ids of each chunk."""
+        flat, lengths = self.encode_flat(chunks)
+        return np.split(flat, np.cumsum(lengths)[:-1]) if len(chunks) else []
 
 
 class Chunks:
@@ -108,11 +125,10 @@ class Chunks:
         """Encode what has been numbered since the last call."""
         new = self.known.words[len(self.starts) :]
         if new:
-            ids = self.encoder.encode_chunks(new)
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids, lengths = self.encoder.encode_flat(new)
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.flat = np.concatenate([self.flat, *ids])
+            self.flat = np.concatenate([self.flat, ids])
 
     def gather(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of the numbered chunks, in order."""
