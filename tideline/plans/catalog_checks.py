@@ -136,7 +136,7 @@ def distribution(lake: Lake) -> DataFrame:
 def exact_decimal(lake: Lake) -> DataFrame:
     from tideline.plans.catalog_ingest import wide
 
-    return V.has_exact(wide(lake, "precise_qty"), "precise_qty", "17.000000000000000005", "decimal(28,18)")
+    return V.has_exact(wide(lake, "as_fine_decimal"), "as_fine_decimal", "17.000000000000000005", "decimal(28,18)")
 
 
 @query(

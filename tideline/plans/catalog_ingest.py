@@ -218,87 +218,87 @@ def wide(lake: Lake, *names: str) -> DataFrame:
 @query(
     "t01_decimal_text",
     """
-SELECT event_id, CAST(value AS DECIMAL(12,2)) AS amount,
-  CAST(event_id || '.' || lpad(CAST(user_id AS VARCHAR), 18, '0') AS DECIMAL(28,18)) AS precise_qty FROM events""",
+SELECT event_id, CAST(value AS DECIMAL(12,2)) AS as_decimal,
+  CAST(event_id || '.' || lpad(CAST(user_id AS VARCHAR), 18, '0') AS DECIMAL(28,18)) AS as_fine_decimal FROM events""",
 )
 def t_decimal(lake: Lake) -> DataFrame:
-    return wide(lake, "amount", "precise_qty")
+    return wide(lake, "as_decimal", "as_fine_decimal")
 
 
-@query("t02_decimal_bytes", "SELECT event_id, CAST(CAST(value AS DECIMAL(12,2)) - 50 AS DECIMAL(12,2)) AS balance FROM events")
+@query("t02_decimal_bytes", "SELECT event_id, CAST(CAST(value AS DECIMAL(12,2)) - 50 AS DECIMAL(12,2)) AS as_connect_decimal FROM events")
 def t_decimal_bytes(lake: Lake) -> DataFrame:
-    return wide(lake, "balance")
+    return wide(lake, "as_connect_decimal")
 
 
 @query(
     "t03_nested_json",
     """
-SELECT event_id, event_type AS name, CAST(json_extract_string(props, '$.k') AS INTEGER) AS qty, CAST(value AS DECIMAL(12,2)) AS price FROM events
-UNION ALL SELECT event_id, 'gift', 1, CAST(1 AS DECIMAL(12,2)) FROM events""",
+SELECT event_id, event_type AS name, CAST(json_extract_string(props, '$.k') AS INTEGER) AS count, CAST(value AS DECIMAL(12,2)) AS value FROM events
+UNION ALL SELECT event_id, 'user', CAST(user_id AS INTEGER), CAST(0 AS DECIMAL(12,2)) FROM events""",
 )
 def t_nested(lake: Lake) -> DataFrame:
-    shape = "products array<struct<name:string,qty:int,price:decimal(12,2)>>"
-    return wide(lake, "items").select("event_id", F.inline(F.from_json("items", shape)["products"]))
+    shape = "parts array<struct<name:string,count:int,value:decimal(12,2)>>"
+    return wide(lake, "as_json").select("event_id", F.inline(F.from_json("as_json", shape)["parts"]))
 
 
-@query("t04_bytes", "SELECT event_id, hex(encode(event_type)) AS doc_hash FROM events")
+@query("t04_bytes", "SELECT event_id, hex(encode(event_type)) AS as_bytes FROM events")
 def t_bytes(lake: Lake) -> DataFrame:
-    return wide(lake, "doc_hash").select("event_id", F.hex("doc_hash").alias("doc_hash"))
+    return wide(lake, "as_bytes").select("event_id", F.hex("as_bytes").alias("as_bytes"))
 
 
 @query(
     "t05_array",
-    "SELECT event_id, unnest([event_type, 'user' || user_id]) AS tag, event_type = 'error' AS has_error FROM events",
+    "SELECT event_id, unnest([event_type, 'user' || user_id]) AS part, event_type = 'error' AS has_error FROM events",
 )
 def t_array(lake: Lake) -> DataFrame:
-    return wide(lake, "tags").select("event_id", F.explode("tags").alias("tag"), F.array_contains("tags", "error").alias("has_error"))
+    return wide(lake, "as_array").select("event_id", F.explode("as_array").alias("part"), F.array_contains("as_array", "error").alias("has_error"))
 
 
-@query("t06_micro_timestamp", "SELECT event_id, ts AS archive_after FROM events")
+@query("t06_micro_timestamp", "SELECT event_id, ts AS as_micro_timestamp FROM events")
 def t_micro_timestamp(lake: Lake) -> DataFrame:
-    return wide(lake, "archive_after")
+    return wide(lake, "as_micro_timestamp")
 
 
-@query("t07_zoned_timestamp", "SELECT event_id, epoch_us(ts) AS promo_us FROM events")
+@query("t07_zoned_timestamp", "SELECT event_id, epoch_us(ts) AS us FROM events")
 def t_zoned_timestamp(lake: Lake) -> DataFrame:
-    return wide(lake, "promo_at").select("event_id", F.unix_micros("promo_at").alias("promo_us"))
+    return wide(lake, "as_zoned_timestamp").select("event_id", F.unix_micros("as_zoned_timestamp").alias("us"))
 
 
 @query(
     "t08_times",
     """
-SELECT event_id, epoch_us(ts) % 86400000000 AS pickup_time, strftime(ts, '%H:%M:%S.%f') AS pickup_text,
-  strftime(ts, '%H:%M:%S.%f') || 'Z' AS pickup_time_tz FROM events""",
+SELECT event_id, epoch_us(ts) % 86400000000 AS as_micro_time, strftime(ts, '%H:%M:%S.%f') AS shown,
+  strftime(ts, '%H:%M:%S.%f') || 'Z' AS as_zoned_time FROM events""",
 )
 def t_times(lake: Lake) -> DataFrame:
-    rows = wide(lake, "pickup_time", "pickup_time_tz")
-    return rows.withColumn("pickup_text", D.format_micros_of_day(F.col("pickup_time")))
+    rows = wide(lake, "as_micro_time", "as_zoned_time")
+    return rows.withColumn("shown", D.format_micros_of_day(F.col("as_micro_time")))
 
 
-@query("t09_date", "SELECT event_id, CAST(ts AS DATE) AS ship_by_date FROM events")
+@query("t09_date", "SELECT event_id, CAST(ts AS DATE) AS as_date FROM events")
 def t_date(lake: Lake) -> DataFrame:
-    return wide(lake, "ship_by_date")
+    return wide(lake, "as_date")
 
 
 @query(
     "t10_uuid_bool_int",
     """
-SELECT event_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS id,
-  user_id, value > 50 AS is_express FROM (SELECT *, md5(CAST(event_id AS VARCHAR)) AS h FROM events)""",
+SELECT event_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS uuid,
+  user_id AS as_int, value > 50 AS as_bool FROM (SELECT *, md5(CAST(event_id AS VARCHAR)) AS h FROM events)""",
 )
 def t_scalars(lake: Lake) -> DataFrame:
-    return wide(lake, "id", "user_id", "is_express")
+    return wide(lake, "uuid", "as_int", "as_bool")
 
 
 @query(
     "t11_defaults",
     """
-SELECT event_id, CASE event_type WHEN 'view' THEN 'normal' WHEN 'click' THEN NULL ELSE 'high' END AS priority FROM events""",
+SELECT event_id, CASE event_type WHEN 'view' THEN 'web' WHEN 'click' THEN NULL ELSE 'app' END AS channel FROM events""",
 )
 def t_defaults(lake: Lake) -> DataFrame:
-    spec = pruned(WIDE_SPEC, "priority")
+    spec = pruned(WIDE_SPEC, "channel")
     rows = E.apply_defaults(E.decode(E.parse_envelope(lake.wide_raw()), spec), spec)
-    return rows.select("id.event_id", "after.priority")
+    return rows.select("id.event_id", "after.channel")
 
 
 # F: filters --------------------------------------------------------------------------------------
@@ -391,10 +391,10 @@ def f_op(lake: Lake) -> DataFrame:
     return C.only_ops(data, ["r"]).select("offset", "op", "after.amount", "after.status")
 
 
-@query("f10_has_field", "SELECT event_id, CASE WHEN event_type <> 'click' THEN 'high' END AS priority FROM events WHERE event_type <> 'view'")
+@query("f10_has_field", "SELECT event_id, CASE WHEN event_type <> 'click' THEN 'app' END AS channel FROM events WHERE event_type <> 'view'")
 def f_has_field(lake: Lake) -> DataFrame:
-    rows = E.decode(E.parse_envelope(lake.wide_raw()), pruned(WIDE_SPEC, "priority"))
-    return rows.filter(C.has_field("priority")).select("id.event_id", "after.priority")
+    rows = E.decode(E.parse_envelope(lake.wide_raw()), pruned(WIDE_SPEC, "channel"))
+    return rows.filter(C.has_field("channel")).select("id.event_id", "after.channel")
 
 
 @query(

@@ -604,14 +604,14 @@ def case_in(lake: Lake) -> DataFrame:
 
 @query(
     "x10_json_path",
-    "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(value AS DECIMAL(12,2)) AS first_price FROM events",
+    "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(value AS DECIMAL(12,2)) AS first_value FROM events",
 )
 def json_path(lake: Lake) -> DataFrame:
     from tideline.plans.catalog_ingest import wide
 
-    rows = wide(lake, "items", "metadata")
-    price = F.try_variant_get(F.try_parse_json("items"), "$.products[0].price", "decimal(12,2)")
-    return rows.select("event_id", F.try_variant_get(F.try_parse_json("metadata"), "$.k", "bigint").alias("k"), price.alias("first_price"))
+    rows = wide(lake, "as_json", "as_string")
+    value = F.try_variant_get(F.try_parse_json("as_json"), "$.parts[0].value", "decimal(12,2)")
+    return rows.select("event_id", F.try_variant_get(F.try_parse_json("as_string"), "$.k", "bigint").alias("k"), value.alias("first_value"))
 
 
 @query(

@@ -222,23 +222,23 @@ def snapshot_flags(lake: Lake) -> DataFrame:
 
 @query(
     "st13_schema_change",
-    "SELECT event_id, event_type = 'view' AS lacked_field, CASE WHEN event_type NOT IN ('view', 'click') THEN 'high' END AS priority FROM events",
+    "SELECT event_id, event_type = 'view' AS lacked_field, CASE WHEN event_type NOT IN ('view', 'click') THEN 'app' END AS channel FROM events",
 )
 def schema_change(lake: Lake) -> DataFrame:
     """Events with and without a new field pass through one running stream; old rows hold null in it."""
     from tideline.plans.feeds import WIDE_SPEC
 
     path = lake.scratch("wide")
-    late = F.get_json_object("value", "$.after.priority").isNotNull()
+    late = F.get_json_object("value", "$.after.channel").isNotNull()
     rows = lake.wide_raw()
     rows.repartitionByRange(lake.files_for(rows, 4), late, "offset").write.parquet(path)
-    spec = pruned(WIDE_SPEC, "priority")
+    spec = pruned(WIDE_SPEC, "channel")
     kept = lake.scratch("evolved")
     keep = run.per_batch_folder(kept)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         rows = E.decode(E.parse_envelope(batch), spec)
-        keep(rows.select("id.event_id", E.is_absent("after", "priority").alias("lacked_field"), "after.priority"), batch_id)
+        keep(rows.select("id.event_id", E.is_absent("after", "channel").alias("lacked_field"), "after.channel"), batch_id)
 
     run.drain(read_log(lake.spark, path, streaming=True, max_files_per_trigger=1), on_batch, lake.scratch("checkpoint"))
     return run.read_batches(lake.spark, kept).drop("batch_id")

@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions.decode import WIRE_FORMS
 from tideline.functions.values import once, stable_uuid
 from tideline.session import pin_utc, scratch_path, split_skewed_joins
 from tideline.spec import Col, ForeignKey, TableSpec
@@ -57,27 +58,31 @@ STOCK_SPEC = TableSpec(
         Col("quantity", "bigint", "int", default="0"),
     ),
 )
+# The type each wire form is decoded to here.
+FORM_TYPES = {
+    "string": "string",
+    "int": "bigint",
+    "bool": "boolean",
+    "decimal": "decimal(12,2)",
+    "connect_decimal": "decimal(12,2)",
+    "json": "string",
+    "bytes": "binary",
+    "array": "array<string>",
+    "micro_timestamp": "timestamp_ntz",
+    "zoned_timestamp": "timestamp",
+    "micro_time": "bigint",
+    "zoned_time": "string",
+    "date": "date",
+}
 WIDE_SPEC = TableSpec(
     name="wide",
     keys=("event_id",),
     columns=(
         Col("event_id", "bigint", "int", nullable=False),
-        Col("id", "string"),
-        Col("user_id", "bigint", "int"),
-        Col("is_express", "boolean", "bool"),
-        Col("amount", "decimal(12,2)", "decimal"),
-        Col("precise_qty", "decimal(28,18)", "decimal"),
-        Col("balance", "decimal(12,2)", "connect_decimal", scale=2),
-        Col("doc_hash", "binary", "bytes"),
-        Col("tags", "array<string>", "array"),
-        Col("items", "string", "json"),
-        Col("metadata", "string", "json"),
-        Col("archive_after", "timestamp_ntz", "micro_timestamp"),
-        Col("promo_at", "timestamp", "zoned_timestamp"),
-        Col("pickup_time", "bigint", "micro_time"),
-        Col("pickup_time_tz", "string", "zoned_time"),
-        Col("ship_by_date", "date", "date"),
-        Col("priority", "string", default="normal"),
+        *(Col(f"as_{form}", FORM_TYPES[form], form, scale=2 if form == "connect_decimal" else 0) for form in WIRE_FORMS),
+        Col("as_fine_decimal", "decimal(28,18)", "decimal"),
+        Col("uuid", "string"),
+        Col("channel", "string", default="web"),  # not every event has it
     ),
 )
 
@@ -342,36 +347,28 @@ class Lake:
         cents = ((price - 50) * 100).cast("bigint")
         kind = F.col("event_type")
         k = F.get_json_object("props", "$.k").cast("int")
-        items = F.to_json(
-            F.struct(
-                F.array(
-                    F.struct(kind.alias("name"), k.alias("qty"), price.alias("price")),
-                    F.struct(F.lit("gift").alias("name"), F.lit(1).alias("qty"), F.lit(1).cast("decimal(12,2)").alias("price")),
-                ).alias("products")
-            )
-        )
-        fields = [
-            F.col("event_id"),
-            stable_uuid(F.col("event_id")).alias("id"),
-            F.col("user_id"),
-            (F.col("reading") > 50).alias("is_express"),
-            price.cast("string").alias("amount"),
-            F.concat(F.col("event_id").cast("string"), F.lit("."), F.lpad(F.col("user_id").cast("string"), 18, F.lit("0"))).alias("precise_qty"),
-            F.base64(F.unhex(F.lpad(F.hex(cents), 16, F.lit("0")))).alias("balance"),
-            F.base64(kind.cast("binary")).alias("doc_hash"),
-            F.array(kind, F.concat(F.lit("user"), F.col("user_id").cast("string"))).alias("tags"),
-            items.alias("items"),
-            F.col("props").alias("metadata"),
-            micros.alias("archive_after"),
-            F.concat(F.date_format(ahead, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00")).alias("promo_at"),
-            F.pmod(micros, F.lit(DAY_MS * 1000)).alias("pickup_time"),
-            F.concat(F.date_format(ahead, "HH:mm:ss.SSSSSS"), F.lit("+02:00")).alias("pickup_time_tz"),
-            F.unix_date(F.to_date("ts")).alias("ship_by_date"),
-        ]
-        after = F.struct(*fields)
-        priority = F.when(kind != "click", F.lit("high")).alias("priority")
-        bare = _json(F.lit("c").alias("op"), F.unix_millis(at).alias("ts_ms"), after.alias("after"))
-        full = _json(F.lit("c").alias("op"), F.unix_millis(at).alias("ts_ms"), F.struct(*fields, priority).alias("after"))
+        first = F.struct(kind.alias("name"), k.alias("count"), price.alias("value"))
+        second = F.struct(F.lit("user").alias("name"), F.col("user_id").cast("int").alias("count"), F.lit(0).cast("decimal(12,2)").alias("value"))
+        forms = {
+            "string": F.col("props"),
+            "int": F.col("user_id"),
+            "bool": F.col("reading") > 50,
+            "decimal": price.cast("string"),
+            "connect_decimal": F.base64(F.unhex(F.lpad(F.hex(cents), 16, F.lit("0")))),
+            "json": F.to_json(F.struct(F.array(first, second).alias("parts"))),
+            "bytes": F.base64(kind.cast("binary")),
+            "array": F.array(kind, F.concat(F.lit("user"), F.col("user_id").cast("string"))),
+            "micro_timestamp": micros,
+            "zoned_timestamp": F.concat(F.date_format(ahead, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00")),
+            "micro_time": F.pmod(micros, F.lit(DAY_MS * 1000)),
+            "zoned_time": F.concat(F.date_format(ahead, "HH:mm:ss.SSSSSS"), F.lit("+02:00")),
+            "date": F.unix_date(F.to_date("ts")),
+        }
+        fine = F.concat(F.col("event_id").cast("string"), F.lit("."), F.lpad(F.col("user_id").cast("string"), 18, F.lit("0")))
+        fields = [F.col("event_id"), *(forms[form].alias(f"as_{form}") for form in WIRE_FORMS), fine.alias("as_fine_decimal"), stable_uuid(F.col("event_id")).alias("uuid")]
+        channel = F.when(kind != "click", F.lit("app")).alias("channel")
+        head = [F.lit("c").alias("op"), F.unix_millis(at).alias("ts_ms")]
+        bare, full = (_json(*head, F.struct(*fields, *more).alias("after")) for more in ((), (channel,)))
         rows = once(e, key=F.to_json(F.struct("event_id")), value=F.when(kind == "view", bare).otherwise(full))
         return rows.select(
             F.lit("shop.public.wide").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), at.alias("ts"), "key", "value"
