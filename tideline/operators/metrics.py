@@ -107,9 +107,9 @@ def _template(line: Column, pattern: str, text: str) -> Column:
 def _required_text(pattern: str) -> str:
     """Literal text every match contains, or empty where that cannot be told simply.
 
-    Only plain characters outside groups and character classes count, and none that a quantifier may drop.
+    Only plain characters outside groups and character classes count, and no pattern with alternatives, optional parts or escapes.
     """
-    if "\\" in pattern or "(?" in pattern:
+    if re.search(r"[|?*{\\]", pattern):
         return ""
     runs, depth, at = [""], 0, 0
     while at < len(pattern):
@@ -119,12 +119,7 @@ def _required_text(pattern: str) -> str:
             if at < 0:
                 return ""
         depth += (c == "(") - (c == ")")
-        if c == "|" and not depth:
-            return ""
-        optional = pattern[at + 1 : at + 2] in tuple("*?{")
-        if depth or c in ".()[]^$+*?{}|" or optional:
-            if c == "{":
-                at = pattern.find("}", at)
+        if depth or c in ".()[]^$+":
             runs.append("")
         else:
             runs[-1] += c
