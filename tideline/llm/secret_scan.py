@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, pick, with_columns
+from tideline.llm.common import as_bytes, fresh, pick, with_columns
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "literal")
@@ -212,5 +212,6 @@ def redact(docs: DataFrame, *, text_col: str = "text", mask: str = "[removed]",
     def start():
         return lambda texts: [[clean(t) for t in as_bytes(texts)]]
 
-    made = with_columns(docs.withColumn(text_col, F.col(text_col).cast("string")).select(*names), [text_col], start, T.StructType([T.StructField("__redacted", T.StringType())]))
-    return made.select(*[F.col("__redacted").alias(c) if c == text_col else F.col(c) for c in names])
+    out = fresh(docs, "redacted")
+    made = with_columns(docs.withColumn(text_col, F.col(text_col).cast("string")), [text_col], start, T.StructType([T.StructField(out, T.StringType())]))
+    return made.select(*[F.col(out).alias(c) if c == text_col else F.col(c) for c in names])
