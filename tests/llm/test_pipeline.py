@@ -55,7 +55,8 @@ def test_stages(spark, folder):
     total = pieces.agg({"length": "sum"}).first()[0]
     assert total == pieces.where("start = 0").agg({"doc_tokens": "sum"}).first()[0]
     assert pieces.where("start = 0").count() == clean.count()
-    assert corpus_pipeline.run(spark, folder).count() == pieces.count()
+    # where tasks begin decides what is packed together, not what is packed
+    assert corpus_pipeline.run(spark, folder).agg({"length": "sum"}).first()[0] == total
 
 
 def test_empty_documents(spark, folder, tmp_path):
