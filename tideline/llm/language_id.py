@@ -49,7 +49,7 @@ def padded(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Gru:
     """Two gated recurrent layers, one for each direction, and a softmax over their states."""
 
-    def __init__(self, classes: int, hidden: int = 24, embed: int = 16, seed: int = 1):
+    def __init__(self, classes: int, hidden: int = 16, embed: int = 12, seed: int = 1):
         rng = np.random.default_rng(seed)
 
         def weights(*shape):
@@ -158,7 +158,7 @@ class Identifier:
         return out
 
 
-def train(rows: list[tuple[str, bytes, int]], *, longest: int = 24, steps: int = 700, batch: int = 384, rate: float = 0.01, seed: int = 1) -> Identifier:
+def train(rows: list[tuple[str, bytes, int]], *, longest: int = 24, steps: int = 400, batch: int = 256, rate: float = 0.01, seed: int = 1) -> Identifier:
     """``rows``: (language, word, times)."""
     rows = sorted(rows)
     languages = sorted({r[0] for r in rows})
