@@ -6,10 +6,14 @@ or left out, never looked at. Names of working columns are made fresh, so they c
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +22,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tideline.session import scratch_path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def pick(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` and ``text``, so that extra columns are neither read nor in the way."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -34,10 +41,17 @@ def fresh(df: DataFrame, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table under the folder all executors share, and read back.
 
-    Lineage ends there: a lost executor costs a re-read, not a re-run of what lies before.
+    Lineage ends there: a lost executor costs a re-read, not a re-run of what lies before. The shuffle files of
+    the run are given back when the table is written, rather than whenever the driver's memory is next cleaned.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -46,6 +60,21 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def tidied(run: Callable) -> Callable:
+    """``run`` over the batches of a task, after which the worker gives back the memory it no longer needs: other stages use it later."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def with_columns(
     df: DataFrame,
     inputs: list[str],
@@ -68,7 +97,7 @@ def with_columns(
             new = [x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def keep_rows(df: DataFrame, inputs: list[str], start: Callable[[], Callable[..., list[bool]]]) -> DataFrame:
@@ -80,7 +109,7 @@ def keep_rows(df: DataFrame, inputs: list[str], start: Callable[[], Callable[...
         for batch in batches:
             yield batch.filter(pa.array(work(*(batch.column(i) for i in places)), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidied(run), df.schema)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +122,7 @@ class Vocabulary:
     ``trim`` forgets everything once there are more than ``most`` words, so memory stays bounded; call it between batches.
     """
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         self.most, self.words, self.done = most, [], None
         self.number = _Numbers(self.words)
 
@@ -135,3 +164,72 @@ def split_hot(rows: DataFrame, keys: list[str], member: list[str], most: int, si
     own = F.pmod(F.xxhash64(*member), chunks).cast("int")
     spread = counted.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     return spread.withColumns({"c": F.least("own", "other"), "d": F.greatest("own", "other")}).drop("bucket_n", "own", "other")
+
+
+BITMAP_BITS = 27  # at most: 16 MB
+_BLOCK = 4096  # bytes of a bitmap that travel together
+
+
+def bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """Bits of the 64-bit hashes in ``column`` of ``rows``: 16 for each row, up to 2**BITMAP_BITS.
+
+    Whatever is in the column is in the bitmap; what is not may be, the more often the fuller the bitmap is.
+    """
+    bits = min(BITMAP_BITS, max(15, int(np.ceil(np.log2(max(rows.count(), 1) * 16)))))
+    width = 1 << bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(width >> 3, np.uint8)
+        for batch in batches:
+            place = batch.column(0).to_numpy() & (width - 1)
+            np.bitwise_or.at(out, place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
+        blocks = out.reshape(-1, _BLOCK)
+        used = np.flatnonzero(blocks.any(1))
+        yield pa.RecordBatch.from_pydict({"block": pa.array(used, pa.int64()), "bits": pa.array([b.tobytes() for b in blocks[used]], pa.binary())})
+
+    def either(table: pa.Table) -> pa.Table:
+        total = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in table.column("bits").to_pylist()])
+        return pa.table({"block": table.column("block")[:1], "bits": pa.array([total.tobytes()], pa.binary())})
+
+    # rows of one range of bits go to one task, so tasks do not all send all blocks
+    ranged = rows.select(column).where(F.col(column).isNotNull()).repartition(F.expr(f"pmod(`{column}`, {width}) div {_BLOCK * 8}"))
+    out = np.zeros((max(1, (width >> 3) // _BLOCK), _BLOCK), np.uint8)
+    for r in ranged.mapInArrow(tidied(run), "block bigint, bits binary").groupBy("block").applyInArrow(either, "block bigint, bits binary").collect():
+        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash may be one the bitmap was made of."""
+    place = hashes & (len(bits) * 8 - 1)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def text_keys(texts: list[bytes | None]) -> np.ndarray:
+    """A 64-bit hash of each text, 0 for a null."""
+    return np.array([0 if t is None else xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+
+
+def joined_by_text(
+    docs: DataFrame, found: DataFrame, id_col: str, text_col: str, found_id: str, found_key: str, count: str, count_of: Callable[[bytes], int]
+) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with the column ``count`` (``count_of`` the text, 0 for a null), in two parts: joined to ``found`` by id and text key, and the rest.
+
+    A bitmap of the keys in ``found`` tells most of the rest apart, whose texts are then not shuffled. In the first part
+    the columns of ``found`` are null where it has no such document.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(found, found_key))
+    own, may = fresh(docs, "own_key"), fresh(docs, "may_be_found")
+    fields = T.StructType([T.StructField(own, T.LongType()), T.StructField(may, T.BooleanType()), T.StructField(count, T.LongType())])
+
+    def start():
+        def work(column: pa.Array):
+            texts = as_bytes(column)
+            keys = text_keys(texts)
+            return keys.tolist(), in_bitmap(bits.value, keys).tolist(), [0 if t is None else count_of(t) for t in texts]
+
+        return work
+
+    keyed = with_columns(docs.withColumn(text_col, F.col(text_col).cast("string")), [text_col], start, fields)
+    some = keyed.where(F.col(may)).join(found, (keyed[id_col] == found[found_id]) & (keyed[own] == found[found_key]), "left")
+    return some.drop(own, may, found_id, found_key), keyed.where(~F.col(may)).drop(own, may)

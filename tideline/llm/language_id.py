@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import Vocabulary, as_bytes, with_columns
+from tideline.llm.common import Vocabulary, as_bytes, tidied, with_columns
 
 UNKNOWN = "und"
 
@@ -207,7 +207,7 @@ def sampled_words(docs: DataFrame, *, sample_docs: int, sample_words: int) -> li
                 {"label": pa.array([k[0] for k in tally], pa.string()), "word": pa.array([k[1] for k in tally], pa.binary()), "n": pa.array(tally.values(), pa.int64())}
             )
 
-    counted = drawn.select("label", "text").mapInArrow(run, "label string, word binary, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n"))
+    counted = drawn.select("label", "text").mapInArrow(tidied(run), "label string, word binary, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n"))
     table = counted.orderBy(F.xxhash64("word"), "label").limit(sample_words)
     return [(r["label"], bytes(r["word"]), r["n"]) for r in table.collect()]
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, pick, split_hot, stored, with_columns
+from tideline.llm.common import as_bytes, pick, split_hot, stored, tidied, with_columns
 from tideline.llm.components import components
 
 BITS = 64
@@ -98,7 +98,7 @@ def bit_statistics(prints: DataFrame) -> tuple[int, np.ndarray]:
                 n += len(rows)
         yield pa.RecordBatch.from_pydict({"i": pa.array(range(BITS), pa.int32()), "n": pa.array([n] * BITS, pa.int64()), "both": pa.array(total.astype(np.int64).tolist(), pa.list_(pa.int64()))})
 
-    parts = prints.select("bits").mapInArrow(run, "i int, n bigint, both array<bigint>")
+    parts = prints.select("bits").mapInArrow(tidied(run), "i int, n bigint, both array<bigint>")
     sums = parts.select("i", "n", F.posexplode("both").alias("j", "both")).groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("both").alias("both"))
     both, n = np.zeros((BITS, BITS)), 0
     for r in sums.collect():  # 64 x 64 rows at any size
@@ -146,7 +146,7 @@ def group_counts(prints: DataFrame, groups: list[list[int]]) -> np.ndarray:
                 counts[g] += np.bincount(value_of(bits, places).astype(np.int64), minlength=1 << GROUP)
         yield pa.RecordBatch.from_pydict({"g": pa.array(range(len(groups)), pa.int32()), "counts": pa.array(counts.tolist(), pa.list_(pa.int64()))})
 
-    rows = prints.select("bits").mapInArrow(run, "g int, counts array<bigint>")
+    rows = prints.select("bits").mapInArrow(tidied(run), "g int, counts array<bigint>")
     sums = rows.select("g", F.posexplode("counts").alias("v", "c")).groupBy("g", "v").agg(F.sum("c").alias("c"))
     out = np.zeros((len(groups), 1 << GROUP))
     for r in sums.collect():
@@ -308,7 +308,7 @@ def near_links(prints: DataFrame, *, radius: int = 3, most_rows: int = 50_000) -
                 part, key, print_, probe = how.rows(bits[i : i + 4096])
                 yield pa.RecordBatch.from_pydict({"part": pa.array(part), "key": pa.array(key), "bits": pa.array(print_), "probe": pa.array(probe)})
 
-    rows = prints.select("bits").mapInArrow(emit, "part int, key bigint, bits bigint, probe boolean")
+    rows = prints.select("bits").mapInArrow(tidied(emit), "part int, key bigint, bits bigint, probe boolean")
     # A bucket without an index row, or with a single row, has no candidates.
     counted = rows.groupBy("part", "key").agg(F.count("*").alias("n"), F.bool_or(~F.col("probe")).alias("indexed"))
     sizes = stored(counted.where("n > 1 AND indexed"), "buckets")
@@ -316,7 +316,7 @@ def near_links(prints: DataFrame, *, radius: int = 3, most_rows: int = 50_000) -
     hot = sizes.where(F.col("n") > most_rows).select("part", "key", F.col("n").alias("bucket_n"))
     cut = split_hot(live, ["part", "key"], ["bits"], most_rows, hot).select("part", "key", "c", "d", "bits")
     placed = cut.repartition("part", "key", "c", "d").sortWithinPartitions("part", "key", "c", "d")
-    return placed.mapInArrow(_search(radius), "a bigint, b bigint")
+    return placed.mapInArrow(tidied(_search(radius)), "a bigint, b bigint")
 
 
 def classes(prints: DataFrame, *, radius: int = 3, most_rows: int = 50_000) -> DataFrame:
