@@ -95,7 +95,7 @@ def test_neighbours_equal_plain_bm25():
     used = np.zeros(40, bool)
     used[[3, 5]] = True
     for q in (0, 7, 20):
-        got = index.neighbours(q, used).tolist()
+        got = [int(d) for d in index.neighbours(q, used)]
         own = index.by_doc[index.doc_starts[q] : index.doc_starts[q + 1]]
         terms = np.unique(np.concatenate(docs))
         query = sorted((t for t in set(docs[q].tolist()) if df[t] > 1), key=idf, reverse=True)
@@ -169,6 +169,13 @@ def test_windows_score_each_id_once():
     scorer.train([one, rng.integers(0, 199, 50).astype(np.uint32)], steps=5)
     # alone, a document's windows begin at its first id, as in the plain rule
     assert scorer.log10([one])[0] == pytest.approx(plain_score(scorer, one), rel=1e-4)
+    together = [one, *(rng.integers(0, 199, k).astype(np.uint32) for k in (1, 2, 40))]
+    ids, before, first = scorer.stream(together)
+    keys, queries = scorer.net.windows(len(ids))
+    logits, _ = scorer.net.forward(scorer.buckets[before], first, keys, queries, scorer.net.tables())
+    logits = logits.reshape(-1, logits.shape[2])[: len(ids)]
+    each = logits[np.arange(len(ids)), scorer.classes[ids]] - np.log(np.exp(logits).sum(1))
+    assert scorer.log10(together) == pytest.approx(np.add.reduceat(each / math.log(10) + scorer.within[ids], np.unique(first)), rel=1e-4)
     total = np.zeros(len(scorer.net.p["b"]))
     for c in range(len(total)):
         total[c] = (10 ** scorer.within[scorer.classes == c]).sum()

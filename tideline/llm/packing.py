@@ -20,17 +20,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm import subwords
-from tideline.llm.common import as_bytes, pick, stored
-
-_EDGE = b" \n.,;:!?\"'()[]{}"
-
+from tideline.llm.common import as_bytes, pick, stored, tidied
 
 class Index:
     """BM25 over the documents of a shard, given by the term numbers of each."""
@@ -52,21 +48,30 @@ class Index:
         order = np.argsort(self.doc, kind="stable")
         self.by_doc, self.doc_starts = self.term[order], np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=len(docs)))])
 
-    def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
+    few = 48
+
+    def neighbours(self, doc: int, used: np.ndarray) -> Iterator[int]:
         """Unused documents that share a query term with ``doc``, best first."""
         own = self.by_doc[self.doc_starts[doc] : self.doc_starts[doc + 1]]
         own = own[self.counts[own] > 1]
         if len(own) > self.query_terms:
             own = own[np.argpartition(-self.idf[own], self.query_terms)[: self.query_terms]]
         if not len(own):
-            return own
+            return
         spans = [slice(self.starts[t], self.starts[t + 1]) for t in own]
         found = np.concatenate([self.doc[s] for s in spans])
         weight = np.concatenate([self.weight[s] for s in spans])
-        free = ~used[found]
-        docs, place = np.unique(found[free], return_inverse=True)
-        scores = np.bincount(place, weights=weight[free], minlength=len(docs))
-        return docs[np.argsort(-scores, kind="stable")]
+        every = np.bincount(found, weights=weight, minlength=len(used))
+        every[used] = 0
+        docs = np.flatnonzero(every)
+        scores = every[docs]
+        if len(docs) > 2 * self.few:  # the best are nearly always enough
+            best = np.argpartition(-scores, self.few)
+            best, rest = best[: self.few], best[self.few :]
+            yield from docs[best[np.lexsort((best, -scores[best]))]]
+            yield from docs[rest[np.lexsort((rest, -scores[rest]))]]
+        else:
+            yield from docs[np.argsort(-scores, kind="stable")]
 
 
 class Packer:
@@ -106,7 +111,7 @@ def order_shard(packer: Packer, ids: list[np.ndarray], index: Index) -> None:
             seed, near = None, iter(())
         elif rolled or seed is None:
             seed = doc
-            near = iter(index.neighbours(seed, used))
+            near = index.neighbours(seed, used)
 
 
 _NUMBERS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -123,13 +128,13 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tok
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = subwords.Chunks(subwords.load(path))
         packer = Packer(window, TaskContext.get().partitionId() << 40)
-        terms = _Terms(chunks)
         for names, texts in _shards(batches, shard_bytes):
             ids, docs_terms = [], []
             for i in range(0, len(texts), 512):
                 some, numbers = chunks.encode_all(texts[i : i + 512])
                 ids += [np.append(x, np.uint32(end_id)) for x in some]
-                docs_terms += terms.of(numbers)
+                terms = chunks.term_numbers()
+                docs_terms += [terms[n] for n in numbers]
             order_shard(packer, ids, Index(docs_terms, query_terms=query_terms))
             yield from out(names, ids, packer)
 
@@ -145,25 +150,10 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tok
             columns.append(pa.array([ids[r[0]][r[1] : r[1] + r[2]].astype(np.int64) for r in rows], pa.list_(pa.int64())))
         yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    pieces = stored(chosen.mapInArrow(run, schema), "pieces")
+    pieces = stored(chosen.mapInArrow(tidied(run), schema), "pieces")
     return _join_last(pieces, window).drop("last")
 
 
-class _Terms:
-    """Term numbers of chunks: edges off, ASCII letters in lower case, by hash."""
-
-    def __init__(self, chunks: subwords.Chunks):
-        self.chunks, self.table = chunks, np.zeros(0, np.int64)
-
-    def of(self, numbers: list[np.ndarray]) -> list[np.ndarray]:
-        words = self.chunks.known.words
-        if len(words) < len(self.table):
-            self.table = np.zeros(0, np.int64)
-        new = [xxhash.xxh64_intdigest(w.strip(_EDGE).lower()) >> 1 for w in words[len(self.table) :]]
-        self.table = np.concatenate([self.table, np.array(new, np.int64)])
-        return [self.table[n] for n in numbers]
-
-
 def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
     names, texts, size = [], [], 0
     for batch in batches:

@@ -15,13 +15,17 @@ import re
 
 import numpy as np
 import tiktoken
+import xxhash
 from tokenizers import Tokenizer
 
 from tideline.llm.common import Vocabulary
 
+_EDGE = b" \n.,;:!?\"'()[]{}"
 _CHUNK = re.compile(rb"[ \n]*[^ \n]+")
 # White space other than the space and the line feed, as UTF-8.
 _ODD = re.compile(rb"[\t\r\v\f\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_ODD_ASCII = b"\t\r\v\f\x1c\x1d\x1e\x1f"
+_ODD_STARTS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 
 
 def default_path() -> str:
@@ -59,9 +63,15 @@ class Encoder:
         self.widths = np.zeros(self.size, np.int64)
         for token, i in ranks.items():
             self.widths[i] = len(token)
+        bare = [(token.strip(_EDGE).lower(), i) for token, i in ranks.items()]
+        self.bare = np.zeros(self.size, np.uint64)  # a hash of each id's letters, 0 if it has none
+        for token, i in bare:
+            self.bare[i] = xxhash.xxh64_intdigest(token) if token else 0
 
     def is_plain(self, text: bytes) -> bool:
-        return not any(s in text for s in self.special) and not _ODD.search(text)
+        if any(s in text for s in self.special) or len(text.translate(None, _ODD_ASCII)) < len(text):
+            return False
+        return not any(x in text for x in _ODD_STARTS) or not _ODD.search(text)
 
     def chunks(self, text: bytes) -> list[bytes]:
         found = _CHUNK.findall(text)
@@ -77,11 +87,12 @@ class Encoder:
         Chunks that start a word after white space are encoded as one text, and told apart by the bytes their ids stand for.
         """
         lengths, parts = np.zeros(len(chunks), np.int64), []
+        odd = re.compile(_ODD.pattern + b"".join(b"|" + re.escape(x) for x in self.special)).search
         for i in range(0, len(chunks), 50_000):
             block = chunks[i : i + 50_000]
             joined = np.array([c[:1] in b" \n" and c[-1:] not in b" \n" for c in block], bool)
             if not self.is_plain(b"".join(block)):
-                joined &= np.array([self.is_plain(c) for c in block], bool)
+                joined &= np.array([not odd(c) for c in block], bool)
             together = [c for c, ok in zip(block, joined, strict=True) if ok]
             ids = np.array(self.ranks.encode_ordinary(b"".join(together).decode(errors="replace")), np.uint32)
             ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(np.fromiter(map(len, together), np.int64, len(together)))) + 1
@@ -115,6 +126,7 @@ class Chunks:
 
     def _empty(self) -> None:
         self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.terms = np.zeros(0, np.int64)
 
     def trim(self) -> None:
         self.known.trim()
@@ -130,6 +142,17 @@ class Chunks:
             self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, ids])
 
+    def term_numbers(self) -> np.ndarray:
+        """A number for each chunk by the letters of its ids, in any case and without edge signs: chunks that differ in these alone are one term."""
+        have = len(self.terms)
+        if have < len(self.starts):
+            begin = self.starts[have:]
+            each = self.encoder.bare[self.flat[begin[0] :]]
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(each * np.uint64(0x9E3779B97F4A7C15) ^ (each >> np.uint64(31)))])
+            ends = begin - begin[0] + self.lengths[have:]
+            self.terms = np.concatenate([self.terms, ((sums[ends] - sums[begin - begin[0]]) >> np.uint64(1)).astype(np.int64)])
+        return self.terms
+
     def gather(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of the numbered chunks, in order."""
         lengths = self.lengths[numbers]
