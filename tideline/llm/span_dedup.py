@@ -20,13 +20,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, fresh, pick, stored, with_columns
+from tideline.llm.common import as_bytes, bitmap, fresh, in_bitmap, joined_by_text, pick, stored, text_keys, tidied, with_columns
 
 _PIECE = re.compile(rb"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+\s*")
@@ -77,8 +78,9 @@ def _long(b: bytes) -> int:
     return int.from_bytes(b, "big", signed=True)
 
 
-def span_rows(docs: DataFrame, least_sentences: int, least_words: int, long_words: int) -> DataFrame:
-    """(h1, h2, doc_id, text_key, first, end) of every span of ``docs`` (doc_id, text)."""
+def span_rows(docs: DataFrame, least_sentences: int, least_words: int, long_words: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(h1, h2, doc_id, text_key, first, end) of every span of ``docs`` (doc_id, text), or of those whose h1 may be in the bitmap ``wanted``."""
+    shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
     schema = T.StructType(
         [T.StructField(c, T.LongType()) for c in ("h1", "h2")]
         + [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
@@ -92,9 +94,12 @@ def span_rows(docs: DataFrame, least_sentences: int, least_words: int, long_word
             texts = as_bytes(batch.column(1))
             for i, text in enumerate([*texts, None]):
                 got = spans(sentences(text, long_words), least_sentences, least_words) if text else []
+                if got and shared is not None:
+                    may = in_bitmap(shared.value, np.fromiter((_long(h[:8]) for _, _, h in got), np.int64, len(got)))
+                    got = [g for g, ok in zip(got, may, strict=True) if ok]
                 if got:
                     row += [i] * len(got)
-                    keys += [xxhash.xxh64_intdigest(text) - (1 << 63)] * len(got)
+                    keys += [int(text_keys([text])[0])] * len(got)
                     found += got
                 if len(found) > 200_000 or (found and i == len(texts)):
                     yield pa.RecordBatch.from_arrays(
@@ -110,52 +115,50 @@ def span_rows(docs: DataFrame, least_sentences: int, least_words: int, long_word
                     )
                     row, keys, found = [], [], []
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, schema)
+    return docs.where("doc_id IS NOT NULL").mapInArrow(tidied(run), schema)
 
 
 def covered(docs: DataFrame, *, least_sentences: int = 2, least_words: int = 20, long_words: int = 24) -> DataFrame:
     """(doc_id, text_key, gone, first_docs) of each document with a repeated span: ranges of sentences to remove, and the documents where they stand first.
 
-    Spans are counted before they are shuffled, so a span in a third of the documents sends one row for each task; in the join
-    back its rows are a skewed side, which Spark splits.
+    Spans are counted before they are shuffled, so a span in a third of the documents sends one row for each task. Which
+    hashes repeat is stored, and a bitmap of fixed greatest size tells most other spans apart before they are shuffled for the join
+    back; there a hot span is a skewed side, which Spark splits.
     """
-    rows = span_rows(docs, least_sentences, least_words, long_words)
     place = F.struct("doc_id", "text_key", "first")
-    lead = rows.groupBy("h1", "h2").agg(F.min(place).alias("lead"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "lead")
+    counted = span_rows(docs, least_sentences, least_words, long_words).groupBy("h1", "h2").agg(F.min(place).alias("lead"), F.count("*").alias("n"))
+    lead = stored(counted.where("n > 1").select("h1", "h2", "lead"), "repeated-spans")
+    rows = span_rows(docs, least_sentences, least_words, long_words, bitmap(lead, "h1"))
     again = rows.join(lead, ["h1", "h2"]).where(place != F.col("lead"))
     return again.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "end")).alias("gone"), F.sort_array(F.collect_set("lead.doc_id")).alias("first_docs"))
 
 
-def _cut(text: bytes, gone: list[dict], long_words: int) -> tuple[str, int, int]:
-    parts = sentences(text, long_words)
+def _cut(text: bytes, gone: list[dict], long_words: int) -> tuple[str, int]:
     drop = {i for g in gone for i in range(g["first"], g["end"])}
-    return b"".join(p for i, (p, _) in enumerate(parts) if i not in drop).decode(errors="replace"), len(parts), len(drop)
+    return b"".join(p for i, (p, _) in enumerate(sentences(text, long_words)) if i not in drop).decode(errors="replace"), len(drop)
 
 
 def rewritten(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> tuple[DataFrame, dict[str, str]]:
     """All rows and columns of ``docs``, with clean text, n_sentences, n_removed and first_docs appended (the mapping says under which names)."""
     long_words = how.get("long_words", 24)
-    lead = stored(covered(pick(docs, id_col, text_col), **how), "spans")
     key, gid = fresh(docs, "span_text_key"), fresh(docs, "span_doc_id")
     names = {c: fresh(docs, f"span_{c}") for c in ("text", "n_sentences", "n_removed", "first_docs", "gone")}
+    lead = stored(covered(pick(docs, id_col, text_col), **how), "spans")
     lead = lead.select(F.col("doc_id").alias(gid), F.col("text_key").alias(key), F.col("gone").alias(names["gone"]), F.col("first_docs").alias(names["first_docs"]))
-    text_key = fresh(docs, "span_own_key")
-
-    def hash_start():
-        return lambda texts: [[None if t is None else xxhash.xxh64_intdigest(t) - (1 << 63) for t in as_bytes(texts)]]
-
-    keyed = with_columns(docs.withColumn(text_col, F.col(text_col).cast("string")), [text_col], hash_start, T.StructType([T.StructField(text_key, T.LongType())]))
-    joined = keyed.join(lead, (keyed[id_col] == lead[gid]) & (keyed[text_key] == lead[key]), "left").drop(gid, key, text_key)
+    some, rest = joined_by_text(docs, lead, id_col, text_col, gid, key, names["n_sentences"], lambda t: len(sentences(t, long_words)))
 
     def start():
         def work(texts: pa.Array, gone: pa.Array):
-            done = [(None, 0, 0) if t is None else _cut(t, g or [], long_words) for t, g in zip(as_bytes(texts), gone.to_pylist(), strict=True)]
-            return [[d[k] for d in done] for k in range(3)]
+            done = [(None, 0) if t is None else _cut(t, g or [], long_words) for t, g in zip(as_bytes(texts), gone.to_pylist(), strict=True)]
+            return [[d[k] for d in done] for k in range(2)]
 
         return work
 
-    fields = T.StructType([T.StructField(names["text"], T.StringType()), T.StructField(names["n_sentences"], T.LongType()), T.StructField(names["n_removed"], T.LongType())])
-    return with_columns(joined, [text_col, names["gone"]], start, fields).drop(names["gone"]), names
+    fields = T.StructType([T.StructField(names["text"], T.StringType()), T.StructField(names["n_removed"], T.LongType())])
+    cut = with_columns(some, [text_col, names["gone"]], start, fields).drop(names["gone"])
+    kind = cut.schema[names["first_docs"]].dataType
+    as_it_was = rest.withColumns({names["first_docs"]: F.lit(None).cast(kind), names["text"]: F.col(text_col), names["n_removed"]: F.lit(0).cast("bigint")})
+    return cut.unionByName(as_it_was), names
 
 
 def dedup_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
