@@ -5,7 +5,7 @@ class. A line is removed if an earlier line, in (doc_id, hash of the text, line
 similarity of ``similarity`` or more with it, whether or not that line is removed itself.
 
 1. Words are counted over the corpus into a table of fixed size by hash. The words of a line are ordered by that count,
-   then by hash: any one order is right, this one puts rare words first.
+   then by hash: any one order is right, this one puts rare words first (counts are compared by their powers of two).
 2. Two sets as similar as asked share a word among their first ``n - ceil(similarity * n) + 1``: the prefix. Each class
    sends one small row for each word of its prefix: size, position, the word before, and a 64-bit sketch.
 3. In the bucket of a word, two classes are candidates if the size filter, the positional filter (words left after the
@@ -23,6 +23,7 @@ document; with equal ids and other texts they are different documents. An empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,51 +32,91 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, fresh, pick, split_hot, stored, with_columns
+from tideline.llm.common import as_bytes, bitmap, fresh, in_bitmap, joined_by_text, pick, split_hot, stored, text_keys, tidied, with_columns
 
 TABLE_BITS = 18
-BITMAP_BITS = 27  # at most; 16 MB
+SLICES = 4
 _BLOCK = 4096
 
 
-class _Hashes(dict):
-    """Hashes of words, kept while there are fewer than ``most``."""
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(b" \t\n\v\f\r")] = True
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_OF_BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_LEVEL_SHIFT = np.uint64(59)
 
-    def __init__(self, most: int = 400_000):
-        self.most = most
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.most:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _flat(texts: list[bytes | None], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, line index) of every word, and (text index, line number) of every line with a word."""
-    words, counts, owner, number = [], [], [], []
-    for i, text in enumerate(texts):
-        if not text:
-            continue
-        for k, line in enumerate(text.lower().split(b"\n")):
-            own = line.split()
-            if own:
-                words += own
-                counts.append(len(own))
-                owner.append(i)
-                number.append(k)
-    flat = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    return flat, np.repeat(np.arange(len(counts)), counts), np.array(owner, np.int64), np.array(number, np.int32)
+class _Powers:
+    """Powers of the base and of its inverse modulo 2**64, as far as asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, b)])) for b in (_BASE, _BASE_INVERSE))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+
+
+def _flat(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hash, line index) of every word, and (text index, line number) of every line with a word.
+
+    All words of a batch are hashed together: bytes times powers of a base are summed up, and a word is a
+    difference of two sums, brought to a common power.
+    """
+    joined = b"\n".join(t or b"" for t in texts).lower()
+    buffer = np.frombuffer(joined, np.uint8)
+    if not len(buffer):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    space = np.ones(len(buffer) + 2, bool)
+    space[1:-1] = _IS_SPACE[buffer]
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    up, down = _POWERS.upto(len(buffer))
+    sums = np.zeros(len(buffer) + 1, np.uint64)
+    np.cumsum(_OF_BYTE[buffer] * up, out=sums[1:])
+    hashes = _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    breaks = np.flatnonzero(buffer == 10)
+    line = np.searchsorted(breaks, starts)
+    sizes = np.fromiter((0 if t is None else t.count(b"\n") for t in texts), np.int64, len(texts)) + 1
+    first = np.cumsum(sizes) - sizes
+    used, dense = np.unique(line, return_inverse=True)
+    owner = np.searchsorted(first, used, side="right") - 1
+    return hashes, dense, owner, (used - first[owner]).astype(np.int32)
+
+
+def groups(texts: list[bytes | None], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes together."""
+    begin = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or b"")
+        if size >= most:
+            yield begin, i + 1
+            begin, size = i + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
     """How often words stand in the corpus, by the low bits of their hash: an array of 2**TABLE_BITS counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = _Hashes(), np.zeros(1 << TABLE_BITS, np.int64)
+        counts = np.zeros(1 << TABLE_BITS, np.int64)
         for batch in batches:
-            flat, *_ = _flat(as_bytes(batch.column(0)), hashes)
-            counts += np.bincount((flat & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64), minlength=1 << TABLE_BITS)
+            texts = as_bytes(batch.column(0))
+            for begin, end in groups(texts):
+                flat, *_ = _flat(texts[begin:end])
+                np.add.at(counts, (flat & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64), 1)
         blocks = counts.reshape(-1, _BLOCK)
         used = np.flatnonzero(blocks.any(1))
         yield pa.RecordBatch.from_pydict({"block": pa.array(used, pa.int32()), "counts": pa.array([b.tobytes() for b in blocks[used]], pa.binary())})
@@ -84,7 +125,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
         total = sum(np.frombuffer(b, np.int64) for b in table.column("counts").to_pylist())
         return pa.table({"block": table.column("block")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    parts = docs.select("text").mapInArrow(run, "block int, counts binary")
+    parts = docs.select("text").mapInArrow(tidied(run), "block int, counts binary")
     # first sums within groups of tasks, then over groups, so that no task meets the blocks of all tasks
     grouped = parts.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(64)))
     sums = grouped.groupBy("block", "g").applyInArrow(lambda t: add(t), "block int, counts binary").groupBy("block").applyInArrow(add, "block int, counts binary")
@@ -95,22 +136,22 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 
 class Lines:
-    """Word sets of the lines of a batch."""
-
-    def __init__(self, texts: list[bytes | None], hashes: _Hashes, table: np.ndarray):
-        flat, line, self.owner, self.number = _flat(texts, hashes)
-        rank = table[(flat & np.uint64(len(table) - 1)).astype(np.int64)]
-        order = np.lexsort((flat, rank, line))
-        flat, line, rank = flat[order], line[order], rank[order]
-        new = np.ones(len(flat), bool)
-        new[1:] = (flat[1:] != flat[:-1]) | (line[1:] != line[:-1])
-        self.words, self.rank, line = flat[new], rank[new], line[new]
+    """Word sets of the lines of some texts. A word is its rarity (5 bits) before 59 bits of its hash, so numbers are in order of rarity."""
+
+    def __init__(self, texts: list[bytes | None], table: np.ndarray):
+        flat, line, self.owner, self.number = _flat(texts)
+        times = table[(flat & np.uint64(len(table) - 1)).astype(np.int64)]
+        level = np.minimum(np.frexp(times.astype(np.float64))[1], 31).astype(np.uint64)
+        words = level << _LEVEL_SHIFT | flat >> np.uint64(5)
+        order = np.lexsort((words, line))
+        words, line = words[order], line[order]
+        new = np.ones(len(words), bool)
+        new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
+        self.words, line = words[new], line[new]
         self.sizes = np.bincount(line, minlength=len(self.owner))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
         if len(self.words):
-            mixed = (self.words ^ (self.words >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-            self.classes = (np.add.reduceat(mixed, self.starts) * np.uint64(0x9E3779B97F4A7C15) + self.sizes.astype(np.uint64)).view(np.int64)
+            self.classes = _mix(np.add.reduceat(_mix(self.words), self.starts) + self.sizes.astype(np.uint64)).view(np.int64)
             self.sketches = sketches(self.words, self.starts)
         else:
             self.classes = self.sketches = np.zeros(0, np.int64)
@@ -118,7 +159,7 @@ class Lines:
 
 def sketches(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The parity of the words that fall on each of 64 bits: two sets differ in at least as many words as their sketches in bits."""
-    return np.bitwise_xor.reduceat(np.uint64(1) << (words >> np.uint64(58)), starts).view(np.int64)
+    return np.bitwise_xor.reduceat(np.uint64(1) << (words & np.uint64(63)), starts).view(np.int64)
 
 
 def least_overlap(total: np.ndarray, similarity: float) -> np.ndarray:
@@ -132,31 +173,36 @@ def prefix_length(n: np.ndarray, similarity: float) -> np.ndarray:
 
 def line_table(docs: DataFrame, table: np.ndarray, similarity: float, most_rows: int) -> DataFrame:
     """(doc_id, text_key, line, class, n, sketch, prefix, rare) of each line with a word. ``rare`` words of the prefix are too rare for a hot bucket."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared, common = docs.sparkSession.sparkContext.broadcast(table), int(np.log2(most_rows))
     fields = {"text_key": pa.int64(), "line": pa.int32(), "class": pa.int64(), "n": pa.int32(), "sketch": pa.int64(), "prefix": pa.list_(pa.int64()), "rare": pa.int32()}
     spark_kinds = {pa.int64(): T.LongType(), pa.int32(): T.IntegerType(), pa.list_(pa.int64()): T.ArrayType(T.LongType())}
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *(T.StructField(k, spark_kinds[v]) for k, v in fields.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = _Hashes(), shared.value
+        counts = shared.value
         for batch in batches:
             texts = as_bytes(batch.column(1))
-            keys = np.array([0 if t is None else xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
-            found = Lines(texts, hashes, counts)
-            n = found.sizes
-            smallest = np.ceil(similarity * n - 1e-9)  # sets that only equal sets can match send nothing
-            alone = (smallest >= n) & (np.floor(n / similarity + 1e-9) <= n)
-            length = np.where(alone, 0, prefix_length(n, similarity))
-            offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-            take = np.repeat(found.starts - offsets[:-1], length) + np.arange(offsets[-1])
-            prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.words[take].view(np.int64)))
-            hot = np.concatenate([[0], np.cumsum(found.rank[take] > most_rows)])
-            rare = length - (hot[offsets[1:]] - hot[offsets[:-1]])
-            made = {"text_key": keys[found.owner], "line": found.number, "class": found.classes, "n": n, "sketch": found.sketches, "prefix": prefix, "rare": rare}
-            columns = [batch.column(0).take(pa.array(found.owner)), *(v if isinstance(v, pa.Array) else pa.array(v, fields[k]) for k, v in made.items())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, schema)
+            for begin, end in groups(texts):
+                yield rows(batch.column(0).slice(begin, end - begin), texts[begin:end], counts)
+
+    def rows(ids: pa.Array, texts: list[bytes | None], counts: np.ndarray) -> pa.RecordBatch:
+        keys = text_keys(texts)
+        found = Lines(texts, counts)
+        n = found.sizes
+        smallest = np.ceil(similarity * n - 1e-9)  # sets that only equal sets can match send nothing
+        alone = (smallest >= n) & (np.floor(n / similarity + 1e-9) <= n)
+        length = np.where(alone, 0, prefix_length(n, similarity))
+        offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+        take = np.repeat(found.starts - offsets[:-1], length) + np.arange(offsets[-1])
+        prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.words[take].view(np.int64)))
+        # a word of level k stands fewer than 2**k times
+        hot = np.concatenate([[0], np.cumsum((found.words[take] >> _LEVEL_SHIFT).astype(np.int64) > common)])
+        rare = length - (hot[offsets[1:]] - hot[offsets[:-1]])
+        made = {"text_key": keys[found.owner], "line": found.number, "class": found.classes, "n": n, "sketch": found.sketches, "prefix": prefix, "rare": rare}
+        columns = [ids.take(pa.array(found.owner)), *(v if isinstance(v, pa.Array) else pa.array(v, fields[k]) for k, v in made.items())]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(tidied(run), schema)
 
 
 # Candidates -------------------------------------------------------------------------------------
@@ -263,58 +309,25 @@ def candidates(lines: DataFrame, similarity: float, most_rows: int) -> DataFrame
     hot = stored(rows.where("common").groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows), "hot-tokens")
     cut = split_hot(rows.drop("common"), ["token"], ["class"], most_rows, hot)
     placed = cut.select("token", "c", "d", "class", "prev", "n", "pos", "sketch").repartition("token", "c", "d").sortWithinPartitions("token", "c", "d")
-    return placed.mapInArrow(_candidates(similarity), "token bigint, class bigint")
+    return placed.mapInArrow(tidied(_candidates(similarity)), "token bigint, class bigint")
 
 
 # Verification -----------------------------------------------------------------------------------
 
 
-def bitmap(classes: DataFrame) -> np.ndarray:
-    """Bits of the classes, by hash: 16 for each, up to 2**BITMAP_BITS."""
-    n = classes.count()
-    bits = min(BITMAP_BITS, max(15, int(np.ceil(np.log2(max(n, 1) * 16)))))
-    width = 1 << bits
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = _place(batch.column(0).to_numpy(), width)
-            block = np.unique(place // (_BLOCK * 8))
-            for b in block:
-                own = np.zeros(_BLOCK * 8, bool)
-                own[place[place // (_BLOCK * 8) == b] % (_BLOCK * 8)] = True
-                yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int64()), "bits": pa.array([np.packbits(own).tobytes()], pa.binary())})
-
-    def either(table: pa.Table) -> pa.Table:
-        total = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in table.column("bits").to_pylist()])
-        return pa.table({"block": table.column("block")[:1], "bits": pa.array([total.tobytes()], pa.binary())})
-
-    by_block = classes.select("class").repartition(F.expr(f"pmod(class, {width}) div {_BLOCK * 8}"))
-    out = np.zeros((width // (_BLOCK * 8), _BLOCK), np.uint8)
-    for r in by_block.mapInArrow(run, "block bigint, bits binary").groupBy("block").applyInArrow(either, "block bigint, bits binary").collect():
-        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-    return out.ravel()
-
-
-def _place(classes: np.ndarray, width: int) -> np.ndarray:
-    return classes & (width - 1)
-
-
-def word_sets(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+def word_sets(docs: DataFrame, table: np.ndarray, bits: np.ndarray) -> DataFrame:
     """(class, words) of the lines whose class may be in the bitmap; ``words`` are sorted 64-bit hashes."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    flat_table = np.zeros(1, np.int64)  # no order by rarity: by hash alone
+    shared = docs.sparkSession.sparkContext.broadcast((table, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, wanted = _Hashes(), shared.value
-        for batch in batches:
-            found = Lines(as_bytes(batch.column(0)), hashes, flat_table)
-            place = _place(found.classes, len(wanted) * 8)
-            ok = np.flatnonzero(wanted[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
+        counts, wanted = shared.value
+        for found in (Lines(texts[i:j], counts) for batch in batches for texts in [as_bytes(batch.column(0))] for i, j in groups(texts)):
+            ok = np.flatnonzero(in_bitmap(wanted, found.classes))
             ok = ok[np.unique(found.classes[ok], return_index=True)[1]]
             sets = [found.words[found.starts[i] : found.starts[i] + found.sizes[i]].tobytes() for i in ok]
             yield pa.RecordBatch.from_pydict({"class": pa.array(found.classes[ok]), "words": pa.array(sets, pa.binary())})
 
-    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(run, "class bigint, words binary")
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(tidied(run), "class bigint, words binary")
     return rows.groupBy("class").agg(F.first("words").alias("words"))
 
 
@@ -352,17 +365,22 @@ def _verify(similarity: float):
 
 def removed_lines(docs: DataFrame, *, similarity: float = 0.8, most_rows: int = 20_000) -> DataFrame:
     """(doc_id, text_key, lines): sorted numbers of the lines to remove, of each document that loses one. ``docs`` has doc_id and text."""
-    lines = stored(line_table(docs, rarity(docs), similarity, most_rows), "lines")
+    table = rarity(docs)
+    lines = stored(line_table(docs, table, similarity, most_rows), "lines")
     place = F.struct("doc_id", "text_key", "line")
-    first = lines.groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times"))
+    first = stored(lines.groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times")), "first-lines")
     active = stored(candidates(lines, similarity, most_rows).distinct(), "candidates")
     chosen = stored(active.select("class").distinct(), "candidate-classes")
-    sets = word_sets(docs, bitmap(chosen))
+    sets = word_sets(docs, table, bitmap(chosen, "class"))
     known = stored(sets.join(chosen, "class").join(first, "class").select("class", "place", "words"), "word-sets")
-    sizes = active.groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows)
-    cut = split_hot(active, ["token"], ["class"], most_rows, sizes).join(known, "class")
-    ordered = cut.select("token", "c", "d", "class", "place", "words").repartition("token", "c", "d").sortWithinPartitions("token", "c", "d", "place")
-    matched = ordered.drop("place").mapInArrow(_verify(similarity), "class bigint").distinct()
+    found = []
+    for k in range(SLICES):  # a share of the buckets at a time, so that not all word sets are in the shuffle at once
+        own = active.where(F.pmod(F.xxhash64("token"), F.lit(SLICES)) == k)
+        sizes = own.groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows)
+        cut = split_hot(own, ["token"], ["class"], most_rows, sizes).join(known, "class")
+        ordered = cut.select("token", "c", "d", "class", "place", "words").repartition("token", "c", "d").sortWithinPartitions("token", "c", "d", "place")
+        found.append(stored(ordered.drop("place").mapInArrow(tidied(_verify(similarity)), "class bigint").distinct(), "matched-classes"))
+    matched = reduce(DataFrame.unionAll, found).distinct()
     decided = first.join(matched.withColumn("matched", F.lit(True)), "class", "left").where("times > 1 OR matched")
     gone = lines.select("class", "doc_id", "text_key", "line").join(decided, "class").where(F.col("matched").isNotNull() | (place != F.col("place")))
     return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line")).alias("lines"))
@@ -376,24 +394,20 @@ def _without(text: bytes, gone: list[int]) -> bytes:
 def rewritten(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> tuple[DataFrame, dict[str, str]]:
     """All rows and columns of ``docs``, with clean text, n_lines and removed (line numbers) appended under the names in the mapping."""
     gone = stored(removed_lines(pick(docs, id_col, text_col), **how), "removed-lines")
-    names = {c: fresh(docs, f"line_{c}") for c in ("text", "n_lines", "removed", "own_key", "gid", "gkey")}
+    names = {c: fresh(docs, f"line_{c}") for c in ("text", "n_lines", "removed", "gid", "gkey")}
     gone = gone.select(F.col("doc_id").alias(names["gid"]), F.col("text_key").alias(names["gkey"]), F.col("lines").alias(names["removed"]))
 
-    def key_start():
-        return lambda texts: [np.array([0 if t is None else xxhash.xxh64_intdigest(t) for t in as_bytes(texts)], np.uint64).view(np.int64).tolist()]
-
-    keyed = with_columns(docs.withColumn(text_col, F.col(text_col).cast("string")), [text_col], key_start, T.StructType([T.StructField(names["own_key"], T.LongType())]))
-    joined = keyed.join(gone, (keyed[id_col] == gone[names["gid"]]) & (keyed[names["own_key"]] == gone[names["gkey"]]), "left").drop(names["gid"], names["gkey"], names["own_key"])
+    some, rest = joined_by_text(docs, gone, id_col, text_col, names["gid"], names["gkey"], names["n_lines"], lambda t: t.count(b"\n") + 1)
 
     def start():
         def work(texts: pa.Array, removed: pa.Array):
-            pairs = list(zip(as_bytes(texts), removed.to_pylist(), strict=True))
-            return [None if t is None else _without(t, g or []).decode(errors="replace") for t, g in pairs], [0 if t is None else t.count(b"\n") + 1 for t, _ in pairs]
+            return [[None if t is None else _without(t, g or []).decode(errors="replace") for t, g in zip(as_bytes(texts), removed.to_pylist(), strict=True)]]
 
         return work
 
-    fields = T.StructType([T.StructField(names["text"], T.StringType()), T.StructField(names["n_lines"], T.LongType())])
-    return with_columns(joined, [text_col, names["removed"]], start, fields), names
+    cut = with_columns(some, [text_col, names["removed"]], start, T.StructType([T.StructField(names["text"], T.StringType())]))
+    as_it_was = rest.withColumns({names["removed"]: F.lit(None).cast("array<int>"), names["text"]: F.col(text_col)})
+    return cut.unionByName(as_it_was), names
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
