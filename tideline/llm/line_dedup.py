@@ -302,9 +302,9 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.T
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def candidates(lines: DataFrame, similarity: float, most_rows: int) -> DataFrame:
-    """(token, class) of each class with a candidate in the bucket of a token."""
-    rows = lines.where(F.size("prefix") > 0).select("class", "n", "sketch", "rare", "prefix", F.posexplode("prefix").alias("pos", "token"))
+def candidates(classes: DataFrame, similarity: float, most_rows: int) -> DataFrame:
+    """(token, class) of each class with a candidate in the bucket of a token. ``classes`` has one row for each class, so buckets count classes and not lines."""
+    rows = classes.where(F.size("prefix") > 0).select("class", "n", "sketch", "rare", "prefix", F.posexplode("prefix").alias("pos", "token"))
     rows = rows.select("token", "class", F.when(F.col("pos") > 0, F.element_at("prefix", F.greatest("pos", F.lit(1)))).otherwise(F.lit(0)).alias("prev"), "n", "pos", "sketch", (F.col("pos") >= F.col("rare")).alias("common"))
     hot = stored(rows.where("common").groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows), "hot-tokens")
     cut = split_hot(rows.drop("common"), ["token"], ["class"], most_rows, hot)
@@ -368,8 +368,10 @@ def removed_lines(docs: DataFrame, *, similarity: float = 0.8, most_rows: int =
     table = rarity(docs)
     lines = stored(line_table(docs, table, similarity, most_rows), "lines")
     place = F.struct("doc_id", "text_key", "line")
-    first = stored(lines.groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times")), "first-lines")
-    active = stored(candidates(lines, similarity, most_rows).distinct(), "candidates")
+    alike = [F.first(c).alias(c) for c in ("n", "sketch", "prefix", "rare")]  # the same in all lines of a class
+    classes = stored(lines.groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times"), *alike), "first-lines")
+    first = classes.select("class", "place", "times")
+    active = stored(candidates(classes, similarity, most_rows).distinct(), "candidates")
     chosen = stored(active.select("class").distinct(), "candidate-classes")
     sets = word_sets(docs, table, bitmap(chosen, "class"))
     known = stored(sets.join(chosen, "class").join(first, "class").select("class", "place", "words"), "word-sets")
