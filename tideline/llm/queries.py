@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, language_id, line_dedup, lm_score, packing, quality, secret_scan, sharding, simhash, span_dedup
+from tideline.llm import decontaminate, divergence, language_id, line_dedup, lm_score, packing, quality, secret_scan, sharding, simhash, span_dedup
 from tideline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,32 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder))
+
+
+_SHARE = "1 + CAST((CAST(1000000000 AS HUGEINT) * ({count} + 5)) // ({total} + 5 * v) AS BIGINT)"
+
+
+@_query(
+    "op13_divergence",
+    r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+w AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n_lang FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30),
+c AS (SELECT w.lang, w.source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+g AS (SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v, coalesce(total_lang, 0) AS total_lang FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2) USING (lang, source)
+  LEFT JOIN (SELECT lang, count(*) AS v, sum(n_lang) AS total_lang FROM k GROUP BY 1) USING (lang)),
+s AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, SHARE_OWN AS p, SHARE_LANG AS q
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+o AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(o.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN o ON o.lang = a.lang AND o.source = a.source AND o.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM s WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM x) WHERE part = 'pair' OR rank <= 50""".replace(
+        "SHARE_OWN", _SHARE.format(count="coalesce(c.n, 0)", total="g.total")
+    ).replace("SHARE_LANG", _SHARE.format(count="k.n_lang", total="g.total_lang")),
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(documents(spark, folder))
