@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, divergence, language_id, line_dedup, lm_score, packing, quality, secret_scan, sharding, simhash, span_dedup
+from tideline.llm import decontaminate, divergence, language_id, line_dedup, lm_score, packing, quality, secret_scan, sharding, simhash, span_dedup, whitening
 from tideline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder))
 
 
+@_query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 _SHARE = "1 + CAST((CAST(1000000000 AS HUGEINT) * ({count} + 5)) // ({total} + 5 * v) AS BIGINT)"
 
 
