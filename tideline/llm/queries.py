@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, divergence, language_id, line_dedup, lm_score, packing, quality, secret_scan, sharding, simhash, span_dedup, whitening
+from tideline.llm import decontaminate, divergence, language_id, line_dedup, lm_score, packing, quality, secret_scan, sharding, simhash, span_dedup, toxicity, whitening
 from tideline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,14 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder))
 
 
+@_query("op11_toxicity")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held = language_id.held_out("doc_id", 5, 0)
+    scorer = toxicity.learn(docs.where(~held), spark.read.parquet(f"{folder}/labels.parquet").where(~held))
+    return toxicity.score(docs.select("doc_id", held.alias("held_out"), "text"), scorer).drop("text")
+
+
 @_query("op12_whitening")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
