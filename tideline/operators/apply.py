@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.clock import hybrid_time
 from tideline.functions.names import parse_topic, quote
 from tideline.spec import TableSpec
 
@@ -216,12 +217,18 @@ def running_balance(
 def progress(raw: DataFrame) -> DataFrame:
     """Resume position and resolved frontier of every (topic, partition).
 
-    A mark may stand bare or inside ``payload``, as an integer or in the decimal text form of a logical clock, of
-    which the whole part is the time.
+    A mark may stand bare or inside ``payload``, as an integer or in the decimal text form of a hybrid clock. ``frontier`` is its
+    whole part, ``clock`` the latest mark with its counter.
     """
-    body = F.try_parse_json("value")
-    text = F.coalesce(F.try_variant_get(body, "$.resolved", "string"), F.try_variant_get(body, "$.payload.resolved", "string"))
-    mark = F.substring_index(text, ".", 1).try_cast("bigint")
     # Data rows far outnumber marks: only values that mention one are parsed.
-    resolved = F.when(F.contains(F.col("value"), F.lit('"resolved"')), mark)
-    return raw.groupBy("topic", "partition").agg(F.max("offset").alias("max_offset"), F.max(resolved).alias("frontier"))
+    resolved = F.when(F.contains(F.col("value"), F.lit('"resolved"')), resolved_text("value"))
+    mark = F.substring_index(resolved, ".", 1).try_cast("bigint")
+    return raw.groupBy("topic", "partition").agg(
+        F.max("offset").alias("max_offset"), F.max(mark).alias("frontier"), F.max(hybrid_time(resolved)).alias("clock")
+    )
+
+
+def resolved_text(value: str) -> Column:
+    """The mark that a log value carries, as text; NULL where it is none."""
+    body = F.try_parse_json(value)
+    return F.coalesce(F.try_variant_get(body, "$.resolved", "string"), F.try_variant_get(body, "$.payload.resolved", "string"))

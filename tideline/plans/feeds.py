@@ -24,6 +24,7 @@ STOCK = "shop.inventory.stock_items"
 SIGNALS = "shop.public.signals"
 DAY_MS = 86_400_000
 PARTITIONS = 4
+SLICE_YEARS = (1994, 1996, 1998)  # first years of the later slices of the log
 
 ORDERS_SPEC = TableSpec(
     name="orders",
@@ -198,8 +199,8 @@ class Lake:
         return self._order_events(wire=False).select("topic", "partition", "offset", "id", "op", "ts_ms", "before", "after")
 
     def order_raw(self) -> DataFrame:
-        """The order log as it travels: JSON keys and values, wrapped or bare, with tombstones,
-        resolved marks, and events that are broken in one way each."""
+        """The order log as it travels: JSON keys and values, wrapped or bare, with tombstones, resolved marks (some as the
+        text of a hybrid clock), and events that are broken in one way each."""
         rows = self._order_events(wire=True)
         wrapped = F.col("partition") < 2
         kind = F.col("kind")
@@ -230,11 +231,12 @@ class Lake:
         )
         content = (
             F.when(kind == 6, F.lit('{"op":"u","after":{"id":'))
+            .when((kind == 9) & (F.col("partition") == 1), F.to_json(F.struct(F.concat(F.col("ts_ms").cast("string"), F.lit(".0000000003")).alias("resolved"))))
             .when(kind == 9, F.to_json(F.struct(F.col("ts_ms").alias("resolved"))))
             .otherwise(event)
         )
         value = F.when(kind == 4, F.lit(None).cast("string")).when(
-            wrapped & ~kind.isin(6, 9), F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), content, F.lit("}"))
+            wrapped & (kind != 6), F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), content, F.lit("}"))
         ).otherwise(content)
         key_json = F.to_json(F.struct("id"))
         keyless = (
@@ -448,6 +450,16 @@ class Lake:
         )
         return once(self.table("events"), line=line).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "line")
 
+    def slices(self) -> int:
+        return len(SLICE_YEARS) + 1
+
+    def order_slice(self, k: int) -> DataFrame:
+        """The order log of one span of years by append time, as a source would hand it over."""
+        number = F.lit(0)
+        for year in SLICE_YEARS:
+            number = number + (F.year("ts") >= year).cast("int")
+        return self.order_raw().filter(number == k)
+
     def raw_files(self, least: int = 6, rows_a_file: int = 500_000) -> str:
         """The whole log written once, oldest first, for streaming runs.
 

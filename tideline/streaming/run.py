@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +14,11 @@ from tideline.operators.apply import progress
 OnBatch = Callable[[DataFrame, int], None]
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Nothing has been written yet; any other failure must not pass for that."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def start(stream: DataFrame, on_batch: OnBatch, checkpoint: str, every: str | None = None, mode: str = "append") -> StreamingQuery:
     """Hand every micro-batch to ``on_batch``; ``every`` is the commit interval, or None to drain and stop."""
     writer = stream.writeStream.foreachBatch(on_batch).outputMode(mode).option("checkpointLocation", checkpoint)
@@ -41,15 +47,6 @@ def released(changes: DataFrame, marks: DataFrame, event_ms: str = "ts_ms") -> D
     return changes.join(marks, "topic").filter(F.col(event_ms) <= F.col("frontier")).select(*changes.columns)
 
 
-def without_redelivery(stream: DataFrame, event_time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """Drop repeats of a log position; state is kept only for ``delay`` behind the newest event.
-
-    Spark also discards rows that arrive later than ``delay``, so it must exceed the disorder of the
-    input. Where that is unknown, store the log as it comes and deduplicate it when reading.
-    """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
-
-
 def each_table(handlers: Mapping[str, OnBatch], tag: str, others: OnBatch | None = None) -> OnBatch:
     """One batch handler that splits a batch by ``tag`` and computes it once for all tables; ``others`` gets the whole batch."""
 
