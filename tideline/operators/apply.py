@@ -52,6 +52,12 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, column: str, path: str) -> DataFrame:
+    """The same with a folder for each value of ``column``, so that a filter on it reads only its own."""
+    df.write.mode("overwrite").partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def apply_reduced(
     target: DataFrame | None, latest: DataFrame, keys: Sequence[str], pos: Sequence[str], op: str = "op"
 ) -> DataFrame:

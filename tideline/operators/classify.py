@@ -39,19 +39,13 @@ def action(op: Column, after: Column) -> Column:
     )
 
 
-def with_disposition(raw: DataFrame, spec: TableSpec, before: bool = False) -> DataFrame:
-    """Decode raw rows of one table and add ``disposition`` and, for quarantined rows, ``reason``.
-
-    Dispositions: tombstone, control, delete, upsert, skip, quarantine. Nothing raises: one bad
-    event costs one quarantine row and the rest of the batch goes on.
-    """
-    rows = decode(parse_envelope(raw), spec, before)
+def quarantine_reason(spec: TableSpec, key: Column, after: Column, bad: Column) -> Column:
+    """Why a decoded row cannot be used; NULL where it can, or is no data."""
     no_key = F.lit(False)
     for k in spec.keys:
-        no_key = no_key | F.col("id")[k].isNull()
-    bad = F.col("bad_columns")
-    act = action(F.col("op"), F.col("after"))
-    reason = (
+        no_key = no_key | key[k].isNull()
+    act = action(F.col("op"), after)
+    return (
         F.when(is_tombstone(), None)
         .when(F.col("event").isNull(), F.lit("unparsable"))
         .when(~has_op(), None)
@@ -59,19 +53,33 @@ def with_disposition(raw: DataFrame, spec: TableSpec, before: bool = False) -> D
         .when(act.isNull(), F.lit("unknown_op"))
         .when((act == "upsert") & (bad != ""), F.concat(F.lit("bad_value:"), bad))
     )
+
+
+def _kind(reason: Column, after: Column) -> Column:
     return (
-        rows.withColumn("reason", reason)
-        .withColumn(
-            "disposition",
-            F.when(is_tombstone(), F.lit("tombstone"))
-            .when(F.col("reason").isNotNull(), F.lit("quarantine"))
-            .when(~has_op(), F.lit("control"))
-            .otherwise(act),
-        )
-        .drop("bad_columns")
+        F.when(is_tombstone(), F.lit("tombstone"))
+        .when(reason.isNotNull(), F.lit("quarantine"))
+        .when(~has_op(), F.lit("control"))
+        .otherwise(action(F.col("op"), after))
     )
 
 
+def disposition(spec: TableSpec, key: Column, after: Column, bad: Column) -> Column:
+    """What is to be done with a row of ``spec`` decoded into these columns; see ``with_disposition``."""
+    return _kind(quarantine_reason(spec, key, after, bad), after)
+
+
+def with_disposition(raw: DataFrame, spec: TableSpec, before: bool = False) -> DataFrame:
+    """Decode raw rows of one table and add ``disposition`` and, for quarantined rows, ``reason``.
+
+    Dispositions: tombstone, control, delete, upsert, skip, quarantine. Nothing raises: one bad
+    event costs one quarantine row and the rest of the batch goes on.
+    """
+    rows = decode(parse_envelope(raw), spec, before)
+    reason = quarantine_reason(spec, F.col("id"), F.col("after"), F.col("bad_columns"))
+    return rows.withColumn("reason", reason).withColumn("disposition", _kind(F.col("reason"), F.col("after"))).drop("bad_columns")
+
+
 def classify(raw: DataFrame, spec: TableSpec, before: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(data, control, quarantine). Data holds upserts and deletes only."""
     rows = with_disposition(raw, spec, before)

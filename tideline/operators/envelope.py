@@ -115,12 +115,15 @@ def _bad_columns(spec: TableSpec) -> Column:
     return F.concat_ws(",", *marks) if marks else F.lit("")
 
 
-def decode(parsed: DataFrame, spec: TableSpec, before: bool = False) -> DataFrame:
+def decode(parsed: DataFrame, spec: TableSpec, before: bool = False, only: Column | None = None) -> DataFrame:
     """Parsed envelope rows -> change rows with ``id``, ``after`` (and ``before``) typed by ``spec``.
 
-    ``bad_columns`` lists, comma-separated, after-image fields that could not be used.
+    ``bad_columns`` lists, comma-separated, after-image fields that could not be used. Rows for which ``only`` does not hold are
+    not decoded; their new columns are null.
     """
     made = {"id": _found_key(spec), "after": _image("_a", spec), "bad_columns": _bad_columns(spec)}
+    if only is not None:
+        made = {name: F.when(only, column) for name, column in made.items()}
     rows = _after_text(_key_text(parsed, spec), spec)
     if before:
         rows = rows.withColumn("_b", F.try_variant_get("event", "$.before", _text_struct(spec.columns)))

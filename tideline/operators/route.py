@@ -101,9 +101,14 @@ def fan_out(batch: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> N
         held.unpersist()
 
 
+def fan_in_rows(df: DataFrame, pattern: str, replacement: str) -> DataFrame:
+    """Many topics through one renaming, the new name in ``target``."""
+    return df.withColumn("target", rename(F.col("topic"), pattern, replacement))
+
+
 def fan_in(df: DataFrame, specs: Mapping[str, TableSpec], pattern: str, replacement: str) -> dict[str, DataFrame]:
-    """Many topics through one renaming; the rows of each target table that has a spec."""
-    named = df.withColumn("target", rename(F.col("topic"), pattern, replacement))
+    """The rows of each target table that has a spec; one pass for all tables is ``plans.flow.apply_tables_once``."""
+    named = fan_in_rows(df, pattern, replacement)
     return {target: named.filter(F.col("target") == target) for target in specs}
 
 

@@ -339,6 +339,54 @@ class Lake:
             F.col("o_orderstatus").alias("status"),
         )
 
+    def partition_raw(self) -> DataFrame:
+        """The logs of the monthly topics. An order above 150000 moves to another month, for some an earlier one: a removal and a new row
+        within the same millisecond, told apart by nanoseconds or by the counter of a hybrid clock. Low-priority orders are removed
+        in the end, again within that millisecond."""
+        o = self.table("orders")
+        amount = F.col("o_totalprice").cast("decimal(12,2)")
+        base = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+        moved, dropped = amount > 150000, F.col("o_orderpriority") == "5-LOW"
+        away = F.add_months("o_orderdate", F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(-1))
+        rows = o.select(
+            F.col("o_orderkey").alias("id"), F.pmod("o_custkey", F.lit(3)).alias("turn"), base.alias("base_ms"),
+            amount.alias("a0"), F.col("o_orderstatus").alias("s0"), F.col("o_orderdate").alias("home"), F.when(moved, away).otherwise(F.col("o_orderdate")).alias("last"),
+            moved.alias("moved"), dropped.alias("dropped"),
+        )
+
+        def event(step: int, op: str, month: str, amount: Column, status: Column) -> Column:
+            return F.struct(
+                F.lit(step).alias("step"), F.lit(op).alias("op"), F.col(month).alias("month"),
+                amount.cast("decimal(12,2)").alias("amount"), status.alias("status"),
+            )
+
+        gone = F.lit(None).cast("string")
+        events = [
+            (F.lit(True), event(0, "c", "home", F.col("a0"), F.col("s0"))),
+            (F.col("moved"), event(1, "d", "home", F.lit(None), gone)),
+            (F.col("moved"), event(2, "c", "last", F.col("a0") + 1, F.lit("moved"))),
+            (F.col("dropped"), event(3, "d", "last", F.lit(None), gone)),
+        ]
+        made = _events(rows, events)
+        nanos = F.concat(F.col("base_ms").cast("string"), F.lit("000000"))
+        counted = F.concat(nanos, F.lit(".000000000"), F.col("step").cast("string"))
+        # a third of the rows each: nanoseconds, a counter at the top, a counter in the source block
+        clock = (
+            F.when(F.col("turn") == 0, F.concat(F.lit(',"ts_ns":'), F.col("base_ms").cast("string"), F.lit("00000"), F.col("step").cast("string")))
+            .when(F.col("turn") == 1, F.concat(F.lit(',"updated":"'), counted, F.lit('"')))
+            .otherwise(F.concat(F.lit(',"ts_ns":'), nanos, F.lit(',"source":{"ts_hlc":"'), counted, F.lit('"}')))
+        )
+        after = F.when(F.col("op") == "c", F.to_json(F.struct("id", F.col("amount").cast("string").alias("amount"), "status")))
+        value = F.concat(
+            F.lit('{"op":"'), F.col("op"), F.lit('","ts_ms":'), F.col("base_ms").cast("string"), clock, F.lit(',"after":'), F.coalesce(after, F.lit("null")), F.lit("}"),
+        )
+        named = once(made, key=F.to_json(F.struct("id")), value=value)
+        # an offset says nothing about another topic: here the later step of a move has the smaller one
+        return named.select(
+            F.concat(F.lit(f"{ORDERS}_"), F.date_format("month", "yyyy_MM")).alias("topic"), F.lit(0).alias("partition"),
+            (F.col("id") * 20 + 9 - F.col("step")).alias("offset"), F.timestamp_millis("base_ms").alias("ts"), "key", "value",
+        )
+
     def wide_raw(self) -> DataFrame:
         """One create event per row of ``events``, holding every wire form."""
         e = self.table("events").withColumnRenamed("value", "reading")

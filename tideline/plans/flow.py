@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tideline.functions.clock import HYBRID_TIME, event_clock
 from tideline.functions.names import quote, table_name
-from tideline.operators import route
-from tideline.operators.apply import apply_changes
-from tideline.operators.classify import classify, drop_tombstones, is_tombstone, with_disposition
+from tideline.operators import envelope, route
+from tideline.operators.apply import position, stage_by
+from tideline.operators.classify import classify, disposition, drop_tombstones, is_tombstone, with_disposition
 from tideline.sources.logs import subscribe
 from tideline.spec import FlowSpec, Step, TableSpec
 from tideline.streaming import run
@@ -57,14 +58,14 @@ def chain(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return df
 
 
-# Types of the columns that can order events. Offsets of different topics cannot be compared, so the event time leads there.
-POSITION_TYPES = {"ts_ms": "bigint", "topic": "string", "partition": "int", "offset": "bigint"}
+# Types of the columns that can order events. Offsets of different topics cannot be compared, so the hybrid time of the event leads there.
+POSITION_TYPES = {"clock": HYBRID_TIME, "ts_ms": "bigint", "topic": "string", "partition": "int", "offset": "bigint"}
 WITHIN_A_TOPIC = ("partition", "offset")
-ACROSS_TOPICS = ("ts_ms", "topic", "partition", "offset")
+ACROSS_TOPICS = ("clock", "topic", "partition", "offset")
 
 
 def order_of(flow: FlowSpec) -> tuple[str, ...]:
-    """What orders the events of a key: as declared, else by event time where a step may bring several topics into one table."""
+    """What orders the events of a key: as declared, else by hybrid time where a step may bring several topics into one table."""
     if flow.pos:
         return tuple(flow.pos)
     merges = any(s.fn in (route.merge_partitions, route.rename_topics, route.with_table) for s in flow.transforms)
@@ -100,13 +101,18 @@ def prepared(raw: DataFrame, flow: FlowSpec) -> DataFrame:
     return rows if "target" in rows.columns else rows.withColumn("target", table_name(F.col("topic"), flow.table_template))
 
 
+def place(name: str) -> Column:
+    """A position column of parsed rows; ``clock`` is worked out from the event."""
+    return event_clock(F.col("event"), F.col("ts_ms")).alias(name) if name == "clock" else F.col(name)
+
+
 def _flat(data: DataFrame, spec: TableSpec, pos: Sequence[str]) -> DataFrame:
     values = [n for n in spec.names if n not in spec.keys]
     return data.select(
         *[F.col("id")[k].alias(k) for k in spec.keys],
         *[F.col("after")[v].alias(v) for v in values],
         "op",
-        *pos,
+        *[place(p) for p in pos],
     )
 
 
@@ -115,16 +121,64 @@ def flat_changes(rows: DataFrame, spec: TableSpec, pos: Sequence[str] = ("partit
     return _flat(classify(rows, spec)[0], spec, pos)
 
 
-def run_batch(raw: DataFrame, flow: FlowSpec, pos: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Mirror of every declared table from a whole log."""
-    rows = prepared(raw, flow)
-    pos = pos or order_of(flow)
-    out = {}
-    for name, spec in flow.tables.items():
-        changes = flat_changes(rows.filter(F.col("target") == name), spec, pos)
-        out[name] = apply_changes(None, changes, spec.keys, pos)
+def reduce_tables(rows: DataFrame, specs: Mapping[str, TableSpec], pos: Sequence[str]) -> DataFrame:
+    """The last usable event of every key of every table, in one pass over ``rows`` (raw rows with ``target``).
+
+    An event is parsed once and decoded by the spec of its own table only, into a struct of that table (``_id0``, ``_after0`` for the
+    first, and so on; null in rows of other tables). Keys of all tables meet in one aggregation, typed as they are: ``(target, _id0, _id1,
+    ..)`` tells them apart.
+    """
+    names = list(specs)
+    parsed = envelope.parse_envelope(rows.filter(F.col("target").isin(*names)))
+    for k, name in enumerate(names):
+        parsed = envelope.decode(parsed, specs[name], only=F.col("target") == name).withColumnsRenamed({"id": f"_id{k}", "after": f"_after{k}", "bad_columns": f"_bad{k}"})
+    kinds = [F.when(F.col("target") == n, disposition(specs[n], F.col(f"_id{k}"), F.col(f"_after{k}"), F.col(f"_bad{k}"))) for k, n in enumerate(names)]
+    usable = parsed.filter(F.coalesce(*kinds).isin("upsert", "delete"))
+    ids, images = ([f"_{side}{k}" for k in range(len(names))] for side in ("id", "after"))
+    placed = usable.select("target", *ids, *images, "op", *[place(p).alias(f"_pos{i}") for i, p in enumerate(pos)])
+    where = [f"_pos{i}" for i in range(len(pos))]
+    # the table's name comes out of the aggregation, so that a filter on it stays above and all tables share what is below
+    last = F.max_by(F.struct(F.col("target").alias("table"), "op", *images, *where), position(where))
+    return placed.groupBy("target", *ids).agg(last.alias("_last")).select("_last.*", *ids)
+
+
+def latest_of(reduced: DataFrame, specs: Mapping[str, TableSpec], pos: Sequence[str], name: str) -> DataFrame:
+    """One table of ``reduce_tables``: key, values, ``op``, positions; deletes included."""
+    k, spec = list(specs).index(name), specs[name]
+    return reduced.filter(F.col("table") == name).select(
+        *[F.col(f"_id{k}")[c].alias(c) for c in spec.keys],
+        *[F.col(f"_after{k}")[c].alias(c) for c in spec.names if c not in spec.keys],
+        "op",
+        *[F.col(f"_pos{i}").alias(p) for i, p in enumerate(pos)],
+    )
+
+
+def apply_tables_once(
+    rows: DataFrame, specs: Mapping[str, TableSpec], pos: Sequence[str], staging: str | None = None, at_once: int = 16
+) -> dict[str, DataFrame]:
+    """Mirror of every table from raw rows with ``target``, read once for up to ``at_once`` tables.
+
+    Frames used in one query share the pass by themselves. With ``staging`` the reduced events are written there, a folder for each table,
+    so that queries run one after the other share it too.
+    """
+    out, names = {}, list(specs)
+    for first in range(0, len(names), at_once):
+        some = {n: specs[n] for n in names[first : first + at_once]}
+        reduced = reduce_tables(rows, some, pos)
+        if staging:
+            reduced = stage_by(reduced, "table", f"{staging}/{first}")
+        for name in some:
+            live = latest_of(reduced, some, pos, name).filter(F.col("op") != "d")
+            out[name] = live.select(*some[name].keys, *[c for c in some[name].names if c not in some[name].keys])
+    return out
+
+
+def run_batch(raw: DataFrame, flow: FlowSpec, pos: Sequence[str] | None = None, staging: str | None = None) -> dict[str, DataFrame]:
+    """Mirror of every declared table from a whole log, which is read and parsed once; see ``apply_tables_once``."""
+    out = apply_tables_once(prepared(raw, flow), flow.tables, pos or order_of(flow), staging)
+    for name, mirror in out.items():
         for sink in flow.sinks:
-            sink(name, out[name])
+            sink(name, mirror)
     return out
 
 
