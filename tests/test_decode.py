@@ -11,7 +11,6 @@ from tideline.functions.names import parse_topic, quote, rename, table_name
 from tideline.operators import classify as C
 from tideline.operators import envelope as E
 from tideline.operators.route import flatten
-from tideline.plans.feeds import CUSTOMERS_SPEC
 from tideline.spec import Col, TableSpec
 
 
@@ -112,9 +111,10 @@ def test_key_fallback_order(spark):
 
 
 def test_defaults_only_for_absent_fields(spark):
-    texts = [value("c", {"id": 1, "name": "a"}), value("c", {"id": 2, "name": "b", "tier": None}), value("c", {"id": 3, "name": "c", "tier": "gold"})]
-    df = E.apply_defaults(E.decode(E.parse_envelope(raw(spark, [(None, t) for t in texts])), CUSTOMERS_SPEC), CUSTOMERS_SPEC)
-    assert rows(df.select("id.id", "after.tier")) == [(1, "standard"), (2, None), (3, "gold")]
+    spec = TableSpec("t", ("id",), (Col("id", "bigint", "int"), Col("channel", default="web")))
+    texts = [value("c", {"id": 1}), value("c", {"id": 2, "channel": None}), value("c", {"id": 3, "channel": "app"})]
+    df = E.apply_defaults(E.decode(E.parse_envelope(raw(spark, [(None, t) for t in texts])), spec), spec)
+    assert rows(df.select("id.id", "after.channel")) == [(1, "web"), (2, None), (3, "app")]
 
 
 def test_numeric_and_boolean_wire_fields(spark):

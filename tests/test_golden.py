@@ -116,14 +116,13 @@ def test_reread_row_loses_to_change_in_window(spark):
 
 
 def test_other_schema(spark):
-    items = TableSpec("warehouse_items", ("sku",), (Col("sku", "bigint", "int"), Col("description"), Col("quantity", "bigint", "int")), "inventory")
-    seed = [(1001, "wireless headphones", 42), (1002, "mechanical keyboard", 18), (1003, "usb-c hub", 7)]
-    events = [({"sku": s}, value("r", {"sku": s, "description": d, "quantity": q})) for s, d, q in seed]
-    events += [({"sku": s}, value("c", {"sku": s, "description": d, "quantity": q})) for s, d, q in [(2001, "earbuds", 25), (2002, "monitor", 9)]]
-    events.append(({"sku": 1001}, value("u", {"sku": 1001, "description": "wireless headphones", "quantity": 50})))
-    df = raw(spark, events, topic="shop.inventory.warehouse_items")
-    got = flow.run_batch(df, FlowSpec(topics=("shop.inventory.warehouse_items",), tables={"inventory_warehouse_items": items}, table_template="${source.schema}_${source.table}"))
-    assert rows(got["inventory_warehouse_items"], "sku", "quantity") == [(1001, 50), (1002, 18), (1003, 7), (2001, 25), (2002, 9)]
+    quotes = TableSpec("quotes", ("part", "nation"), (Col("part", "bigint", "int"), Col("nation", "bigint", "int"), Col("price", "decimal(9,3)", "decimal")), "purchasing")
+    topic, table = "shop.purchasing.quotes", "purchasing_quotes"
+    events = [({"part": p, "nation": n}, value("r", {"part": p, "nation": n, "price": f"{p}.{n:03}"})) for p in (7, 8) for n in (1, 2, 3)]
+    events += [({"part": 7, "nation": 2}, value("d")), ({"part": 8, "nation": 1}, value("u", {"part": 8, "nation": 1, "price": "0.5"}))]
+    declared = FlowSpec(topics=(topic,), tables={table: quotes}, table_template="${source.schema}_${source.table}")
+    got = flow.run_batch(raw(spark, events, topic=topic), declared)[table]
+    assert [(p, n, str(v)) for p, n, v in rows(got)] == [(7, 1, "7.001"), (7, 3, "7.003"), (8, 1, "0.500"), (8, 2, "8.002"), (8, 3, "8.003")]
 
 
 def graph_logs(spark, with_updates=False, with_deletes=False):

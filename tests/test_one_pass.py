@@ -11,11 +11,11 @@ from tideline.operators import apply as A
 from tideline.operators import route as R
 from tideline.operators import verify as V
 from tideline.plans import flow
-from tideline.plans.feeds import CUSTOMERS_SPEC, ORDERS_SPEC, STOCK_SPEC, Lake
+from tideline.plans.feeds import CUSTOMERS_SPEC, ORDERS_SPEC, SUPPLIERS_SPEC, Lake
 from tideline.sources.logs import read_log
 from tideline.spec import Col, FlowSpec, Step, TableSpec
 
-SPECS = {"orders": ORDERS_SPEC, "customers": CUSTOMERS_SPEC, "stock_items": STOCK_SPEC}
+SPECS = {"orders": ORDERS_SPEC, "customers": CUSTOMERS_SPEC, "suppliers": SUPPLIERS_SPEC}
 
 
 def named(spark):

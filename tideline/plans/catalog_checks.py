@@ -210,10 +210,10 @@ def check(lake: Lake) -> DataFrame:
     return Q.check_violations(rows, "balance >= 0")
 
 
-@query("q02_not_null", shop_sql("SELECT id, name FROM cmirror WHERE email IS NULL"))
+@query("q02_not_null", shop_sql("SELECT id, name FROM cmirror WHERE segment IS NULL"))
 def not_null(lake: Lake) -> DataFrame:
     people = A.apply_changes(None, lake.customer_changes().drop("topic", "partition", "ts_ms"), ["id"], ["offset"])
-    return Q.null_violations(people, "email").select("id", "name")
+    return Q.null_violations(people, "segment").select("id", "name")
 
 
 @query(
@@ -254,10 +254,10 @@ def length(lake: Lake) -> DataFrame:
 @query(
     "q00_declared_audit",
     shop_sql("""
-SELECT 'not_null:email' AS rule, CAST(id AS VARCHAR) AS key, '' AS value FROM cmirror WHERE email IS NULL
+SELECT 'not_null:segment' AS rule, CAST(id AS VARCHAR) AS key, '' AS value FROM cmirror WHERE segment IS NULL
 UNION ALL SELECT 'length:name', CAST(id AS VARCHAR), CAST(length(name) AS VARCHAR) FROM cmirror WHERE length(name) > 17
-UNION ALL SELECT 'check:tier', CAST(id AS VARCHAR), 'tier <> ''gold''' FROM cmirror WHERE tier = 'gold'
-UNION ALL SELECT 'unique:tier', tier, CAST(count(*) AS VARCHAR) FROM cmirror GROUP BY tier HAVING count(*) > 1
+UNION ALL SELECT 'check:balance', CAST(id AS VARCHAR), 'balance <= 9000' FROM cmirror WHERE balance > 9000
+UNION ALL SELECT 'unique:segment', segment, CAST(count(*) AS VARCHAR) FROM cmirror WHERE segment IS NOT NULL GROUP BY segment HAVING count(*) > 1
 UNION ALL SELECT 'fk:id', CAST(id AS VARCHAR), CAST(id AS VARCHAR) FROM cmirror WHERE id NOT IN (SELECT o_custkey FROM orders)"""),
 )
 def declared_audit(lake: Lake) -> DataFrame:
@@ -265,9 +265,9 @@ def declared_audit(lake: Lake) -> DataFrame:
     spec = TableSpec(
         "customers",
         ("id",),
-        (Col("id", "bigint", nullable=False), Col("name", length=17), Col("email", nullable=False), Col("tier")),
-        checks={"tier": "tier <> 'gold'"},
-        unique=(("tier",),),
+        (Col("id", "bigint", nullable=False), Col("name", length=17), Col("segment", nullable=False), Col("balance", "decimal(12,2)")),
+        checks={"balance": "balance <= 9000"},
+        unique=(("segment",),),
         fks=(ForeignKey("id", "orders", "o_custkey"),),
     )
     return Q.audit(people, spec, {"orders": lake.table("orders")})

@@ -9,7 +9,7 @@ from tideline.operators import graph as G
 from tideline.plans.feeds import Lake, shop_sql
 from tideline.plans.registry import query
 
-CUSTOMER_PROPS = ["name", "email", "tier"]
+CUSTOMER_PROPS = ["name", "segment", "balance"]
 ORDER_PROPS = ["amount", "status"]
 
 # Topic names decide ties in event time: customers sort before orders.
@@ -17,8 +17,8 @@ _NODES = """, last_c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION B
 ref AS (SELECT customer_id AS id, max(ts_ms) AS ref_ms FROM ch WHERE op <> 'd' GROUP BY 1),
 gone AS (SELECT id, max(ts_ms) AS gone_ms FROM cch WHERE op = 'd' GROUP BY 1),
 cnode AS (
-  SELECT id, CASE WHEN l.op <> 'd' THEN name END AS name, CASE WHEN l.op <> 'd' THEN email END AS email,
-    CASE WHEN l.op <> 'd' THEN tier END AS tier, coalesce(l.op = 'd', true) AS placeholder
+  SELECT id, CASE WHEN l.op <> 'd' THEN name END AS name, CASE WHEN l.op <> 'd' THEN segment END AS segment,
+    CASE WHEN l.op <> 'd' THEN CAST(balance AS DECIMAL(12,2)) END AS balance, coalesce(l.op = 'd', true) AS placeholder
   FROM last_c l FULL JOIN ref USING (id) LEFT JOIN gone USING (id)
   WHERE coalesce(l.op <> 'd', false) OR (ref_ms IS NOT NULL AND (gone_ms IS NULL OR ref_ms >= gone_ms))),
 onode AS (SELECT id, amount, status FROM (
@@ -64,7 +64,7 @@ def nodes(lake: Lake) -> DataFrame:
     return orders(lake)
 
 
-@query("g01_nodes_null_clears", shop_sql("SELECT id, name, email, tier FROM cmirror"))
+@query("g01_nodes_null_clears", shop_sql("SELECT id, name, segment, balance FROM cmirror"))
 def null_clears(lake: Lake) -> DataFrame:
     return G.nodes(customer_log(lake), CUSTOMER_PROPS)
 
@@ -79,7 +79,7 @@ def edges_current(lake: Lake) -> DataFrame:
     return edges(lake, "current")
 
 
-@query("g03_placeholder_nodes", graph_sql("SELECT id, name, email, tier, placeholder FROM cnode"))
+@query("g03_placeholder_nodes", graph_sql("SELECT id, name, segment, balance, placeholder FROM cnode"))
 def placeholders(lake: Lake) -> DataFrame:
     return customers(lake)
 

@@ -25,7 +25,7 @@ from tideline.spec import Col, TableSpec
 SELECT topic, CAST(id % 4 AS INTEGER) AS "partition", count(*) AS n, max(seq) AS max_offset FROM (
   SELECT 'shop.public.orders' AS topic, id, seq FROM wire
   UNION ALL SELECT 'shop.public.customers', id, seq FROM cch
-  UNION ALL SELECT 'shop.inventory.stock_items', sku, seq FROM sch) GROUP BY 1, 2"""),
+  UNION ALL SELECT 'shop.purchasing.suppliers', supplier_id, seq FROM sch) GROUP BY 1, 2"""),
 )
 def read_log(lake: Lake) -> DataFrame:
     log = logs.read_log(lake.spark, lake.raw_files())
@@ -36,12 +36,12 @@ def read_log(lake: Lake) -> DataFrame:
     "s02_include_tables",
     shop_sql("""
 SELECT 'public' AS schema_name, 'customers' AS table_name, count(*) AS n FROM cch
-UNION ALL SELECT 'inventory', 'stock_items', count(*) FROM sch"""),
+UNION ALL SELECT 'purchasing', 'suppliers', count(*) FROM sch"""),
 )
 def include_tables(lake: Lake) -> DataFrame:
     where = parse_topic(F.col("topic"))
     named = lake.raw().select(where["schema"].alias("schema_name"), where["table"].alias("table_name"))
-    kept = C.include_tables(named, ["public.customers"], [r"inventory\.stock_[a-z]+"])
+    kept = C.include_tables(named, ["public.customers"], [r"purchasing\.sup[a-z]+"])
     return kept.groupBy("schema_name", "table_name").agg(F.count("*").alias("n"))
 
 
@@ -139,12 +139,12 @@ def earliest(lake: Lake) -> DataFrame:
     "s10_parse_signals",
     """
 SELECT 'supplier-' || s_suppkey AS id, 'shopdb' AS "database", x.schema_name, x.table_name || s_nationkey AS table_name
-FROM supplier, (VALUES ('public', 'orders_'), ('inventory', 'stock_')) x(schema_name, table_name) WHERE s_acctbal >= 0""",
+FROM supplier, (VALUES ('public', 'orders_'), ('purchasing', 'supplies_')) x(schema_name, table_name) WHERE s_acctbal >= 0""",
 )
 def signals(lake: Lake) -> DataFrame:
     nation = F.col("s_nationkey").cast("string")
     data = F.to_json(
-        F.struct(F.array(F.concat(F.lit("shopdb.public.orders_"), nation), F.concat(F.lit("shopdb.inventory.stock_"), nation)).alias("data-collections"))
+        F.struct(F.array(F.concat(F.lit("shopdb.public.orders_"), nation), F.concat(F.lit("shopdb.purchasing.supplies_"), nation)).alias("data-collections"))
     )
     rows = lake.table("supplier").select(
         F.concat(F.lit("supplier-"), F.col("s_suppkey").cast("string")).alias("id"),
@@ -188,15 +188,13 @@ def grid(lake: Lake) -> DataFrame:
 @query(
     "s14_literal_rows",
     """
-SELECT t.tier, count(*) AS n FROM customer c
-JOIN (VALUES ('AUTOMOBILE', 'gold'), ('BUILDING', 'standard'), ('MACHINERY', 'platinum')) t(segment, tier)
+SELECT t.desk, count(*) AS n FROM customer c
+JOIN (VALUES ('AUTOMOBILE', 1), ('BUILDING', 2), ('MACHINERY', 2)) t(segment, desk)
 ON c.c_mktsegment = t.segment GROUP BY 1""",
 )
 def literal_rows(lake: Lake) -> DataFrame:
-    tiers = logs.literal(
-        lake.spark, [("AUTOMOBILE", "gold"), ("BUILDING", "standard"), ("MACHINERY", "platinum")], "c_mktsegment string, tier string"
-    )
-    return lake.table("customer").join(tiers, "c_mktsegment").groupBy("tier").agg(F.count("*").alias("n"))
+    desks = logs.literal(lake.spark, [("AUTOMOBILE", 1), ("BUILDING", 2), ("MACHINERY", 2)], "c_mktsegment string, desk int")
+    return lake.table("customer").join(desks, "c_mktsegment").groupBy("desk").agg(F.count("*").alias("n"))
 
 
 @query("s15_read_target", order_sql("SELECT id, customer_id, amount, status FROM mirror"))
@@ -359,7 +357,7 @@ UNION ALL SELECT 'public', 'customers', count(*) FROM cch"""),
 def f_exclude(lake: Lake) -> DataFrame:
     where = parse_topic(F.col("topic"))
     named = lake.raw().select(where["schema"].alias("schema_name"), where["table"].alias("table_name"))
-    return C.exclude_tables(named, ["inventory.stock_items"]).groupBy("schema_name", "table_name").agg(F.count("*").alias("n"))
+    return C.exclude_tables(named, ["purchasing.suppliers"]).groupBy("schema_name", "table_name").agg(F.count("*").alias("n"))
 
 
 @query("f07_equality", "SELECT o_orderkey AS id, o_orderpriority AS priority FROM orders WHERE o_orderpriority = '1-URGENT'")

@@ -17,8 +17,8 @@ from tideline.plans.feeds import (
     CUSTOMERS_SPEC,
     ORDERS,
     ORDERS_SPEC,
-    STOCK,
-    STOCK_SPEC,
+    SUPPLIERS,
+    SUPPLIERS_SPEC,
     Lake,
     customer_sql,
     order_sql,
@@ -59,7 +59,7 @@ def delete_rewrite(lake: Lake) -> DataFrame:
     "d03_rename_topics",
     shop_sql("""
 SELECT 'public_orders' AS topic, count(*) AS n FROM wire UNION ALL SELECT 'public_customers', count(*) FROM cch
-UNION ALL SELECT 'shop.inventory.stock_items', count(*) FROM sch"""),
+UNION ALL SELECT 'shop.purchasing.suppliers', count(*) FROM sch"""),
 )
 def rename_topics(lake: Lake) -> DataFrame:
     return R.rename_topics(lake.raw(), r"shop\.public\.(.*)", "public_$1").groupBy("topic").agg(F.count("*").alias("n"))
@@ -122,7 +122,7 @@ def route_by_field(lake: Lake) -> DataFrame:
     shop_sql("""
 SELECT 'shop_public_orders' AS by_topic, 'public_orders' AS by_source, 'ORDERS_COPY' AS fixed, count(*) AS n FROM wire
 UNION ALL SELECT 'shop_public_customers', 'public_customers', 'ORDERS_COPY', count(*) FROM cch
-UNION ALL SELECT 'shop_inventory_stock_items', 'inventory_stock_items', 'ORDERS_COPY', count(*) FROM sch"""),
+UNION ALL SELECT 'shop_purchasing_suppliers', 'purchasing_suppliers', 'ORDERS_COPY', count(*) FROM sch"""),
 )
 def names_from_template(lake: Lake) -> DataFrame:
     topic = F.col("topic")
@@ -285,7 +285,7 @@ def batch_hook(lake: Lake) -> DataFrame:
     shop_sql("""
 SELECT 'public_orders' AS topic, 'shop.public.orders' AS _topic, count(*) AS n FROM wire
 UNION ALL SELECT 'public_customers', 'shop.public.customers', count(*) FROM cch
-UNION ALL SELECT 'shop.inventory.stock_items', 'shop.inventory.stock_items', count(*) FROM sch"""),
+UNION ALL SELECT 'shop.purchasing.suppliers', 'shop.purchasing.suppliers', count(*) FROM sch"""),
 )
 def transform_chain(lake: Lake) -> DataFrame:
     config = {
@@ -310,18 +310,18 @@ def gated(lake: Lake) -> DataFrame:
 @query(
     "e04_table_templates",
     shop_sql("""
-SELECT 'orders' AS table_name, count(*) AS n FROM mirror UNION ALL SELECT 'stock_items', count(*) FROM smirror"""),
+SELECT 'orders' AS table_name, count(*) AS n FROM mirror UNION ALL SELECT 'suppliers', count(*) FROM smirror"""),
 )
 def templates(lake: Lake) -> DataFrame:
     declared = FlowSpec(
-        topics=(ORDERS, STOCK), tables={"orders": ORDERS_SPEC, "stock_items": STOCK_SPEC}, table_template="${source.table}"
+        topics=(ORDERS, SUPPLIERS), tables={"orders": ORDERS_SPEC, "suppliers": SUPPLIERS_SPEC}, table_template="${source.table}"
     )
     return V.table_counts(flow.run_batch(lake.raw(), declared))
 
 
 @query(
     "e05_declared_flow",
-    shop_sql("SELECT id, name, email, tier FROM cmirror"),
+    shop_sql("SELECT id, name, segment, balance FROM cmirror"),
 )
 def declared_flow(lake: Lake) -> DataFrame:
     config = {

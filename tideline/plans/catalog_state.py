@@ -17,7 +17,7 @@ from tideline.plans import flow
 from tideline.plans.feeds import (
     CUSTOMERS_SPEC,
     ORDERS_SPEC,
-    STOCK_SPEC,
+    SUPPLIERS_SPEC,
     Lake,
     metric_sql,
     order_sql,
@@ -252,21 +252,21 @@ def batch_write(lake: Lake) -> DataFrame:
     "a14_apply_tables",
     shop_sql("""
 SELECT 'orders' AS table_name, count(*) AS n FROM mirror UNION ALL SELECT 'customers', count(*) FROM cmirror
-UNION ALL SELECT 'stock_items', count(*) FROM smirror"""),
+UNION ALL SELECT 'suppliers', count(*) FROM smirror"""),
 )
 def apply_tables(lake: Lake) -> DataFrame:
     logs_by_table = {
         "orders": changes(lake),
         "customers": lake.customer_changes().drop("topic", "partition", "ts_ms"),
-        "stock_items": lake.stock_changes().drop("topic", "partition", "ts_ms"),
+        "suppliers": lake.supplier_changes().drop("topic", "partition", "ts_ms"),
     }
-    specs = {"orders": ORDERS_SPEC, "customers": CUSTOMERS_SPEC, "stock_items": STOCK_SPEC}
+    specs = {"orders": ORDERS_SPEC, "customers": CUSTOMERS_SPEC, "suppliers": SUPPLIERS_SPEC}
     return V.table_counts(A.apply_tables(logs_by_table, specs, POS))
 
 
-@query("a14_other_schema", shop_sql("SELECT sku, description, quantity FROM smirror"))
+@query("a14_other_schema", shop_sql("SELECT supplier_id, nation_id, balance FROM smirror"))
 def other_schema(lake: Lake) -> DataFrame:
-    return A.apply_changes(None, flow.flat_changes(lake.stock_raw(), STOCK_SPEC), ["sku"], ["partition", "offset"])
+    return A.apply_changes(None, flow.flat_changes(lake.supplier_raw(), SUPPLIERS_SPEC), ["supplier_id"], ["partition", "offset"])
 
 
 @query(

@@ -169,7 +169,7 @@ def order_within_partition(lake: Lake) -> DataFrame:
     return table.read(lake.spark)
 
 
-@query("st08_late_parent", graph_sql("SELECT id, name, email, tier, placeholder FROM cnode"))
+@query("st08_late_parent", graph_sql("SELECT id, name, segment, balance, placeholder FROM cnode"))
 def late_parent(lake: Lake) -> DataFrame:
     """Orders are streamed before any customer; their customers start as bare nodes."""
     root = lake.scratch("graph")

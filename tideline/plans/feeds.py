@@ -1,6 +1,6 @@
 """Change logs that Spark derives from the given tables, and the same logs as SQL for checking.
 
-Every order, customer, part and event row takes part. Which rows are also updated, moved, deleted,
+Every order, customer, supplier and event row takes part. Which rows are also updated, moved, deleted,
 reopened or redelivered follows from their own column values.
 
 Log offsets are ``id * 20 + kind``; a redelivered event repeats its offset.
@@ -20,7 +20,7 @@ from tideline.spec import Col, ForeignKey, TableSpec
 
 ORDERS = "shop.public.orders"
 CUSTOMERS = "shop.public.customers"
-STOCK = "shop.inventory.stock_items"
+SUPPLIERS = "shop.purchasing.suppliers"
 SIGNALS = "shop.public.signals"
 DAY_MS = 86_400_000
 PARTITIONS = 4
@@ -43,20 +43,20 @@ CUSTOMERS_SPEC = TableSpec(
     keys=("id",),
     columns=(
         Col("id", "bigint", "int", nullable=False),
-        Col("name", "string", nullable=False, length=200),
-        Col("email", "string", length=200),
-        Col("tier", "string", default="standard"),
+        Col("name", "string", nullable=False, length=25),
+        Col("segment", "string", length=10),
+        Col("balance", "decimal(12,2)", "decimal"),
     ),
-    unique=(("email",),),
+    unique=(("name",),),
 )
-STOCK_SPEC = TableSpec(
-    name="stock_items",
-    schema="inventory",
-    keys=("sku",),
+SUPPLIERS_SPEC = TableSpec(
+    name="suppliers",
+    schema="purchasing",
+    keys=("supplier_id",),
     columns=(
-        Col("sku", "bigint", "int", nullable=False),
-        Col("description", "string", nullable=False),
-        Col("quantity", "bigint", "int", default="0"),
+        Col("supplier_id", "bigint", "int", nullable=False),
+        Col("nation_id", "bigint", "int", nullable=False),
+        Col("balance", "decimal(12,2)", "decimal", must_appear=True),
     ),
 )
 # The type each wire form is decoded to here.
@@ -248,26 +248,25 @@ class Lake:
         appended = F.timestamp_millis(F.col("ts_ms") + F.pmod("id", F.lit(1000)))
         return once(rows, ts=appended, key=key, value=value).select("topic", "partition", "offset", "ts", "key", "value")
 
-    # customers and stock --------------------------------------------------------------------
+    # customers and suppliers --------------------------------------------------------------------
 
     def _customer_events(self) -> DataFrame:
         seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
         late = seg == "BUILDING"
-        name = F.col("c_name")
-        email = F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com"))
-        tier = F.when(seg == "AUTOMOBILE", "premium").otherwise("standard")
-        gold = F.when(bal > 5000, F.lit("gold")).otherwise(tier)
+        name, owed = F.col("c_name"), bal.cast("decimal(12,2)")
+        rich = bal > 5000
+        raised = F.when(rich, owed + 100).otherwise(owed)
 
-        def event(kind: int, op: Column, ms: Column, *values: Column) -> Column:
-            fields = [v.cast("string").alias(n) for v, n in zip(values, ("name", "email", "tier"))]
-            return F.struct(F.lit(kind).alias("kind"), op.alias("op"), ms.cast("bigint").alias("ts_ms"), *fields)
+        def event(kind: int, op: Column, ms: Column, name: Column, segment: Column, balance: Column) -> Column:
+            values = (name.cast("string").alias("name"), segment.cast("string").alias("segment"), balance.cast("decimal(12,2)").alias("balance"))
+            return F.struct(F.lit(kind).alias("kind"), op.alias("op"), ms.cast("bigint").alias("ts_ms"), *values)
 
         gone = F.lit(None)
         made = F.when(late, F.lit(_ms(1996, 1, 1))).otherwise(F.lit(_ms(1994, 12, 1)))
         events = [
-            (F.lit(True), event(0, F.when(late, "c").otherwise("r"), made, name, email, tier)),
-            (bal > 5000, event(1, F.lit("u"), F.lit(_ms(1997, 1, 1)), name, email, gold)),
-            (seg == "MACHINERY", event(2, F.lit("u"), F.lit(_ms(1997, 6, 1)), name, gone, gold)),
+            (F.lit(True), event(0, F.when(late, "c").otherwise("r"), made, name, seg, owed)),
+            (rich, event(1, F.lit("u"), F.lit(_ms(1997, 1, 1)), name, seg, raised)),
+            (seg == "MACHINERY", event(2, F.lit("u"), F.lit(_ms(1997, 6, 1)), name, gone, raised)),
             (bal < 0, event(3, F.lit("d"), F.lit(_ms(1998, 1, 1)), gone, gone, gone)),
         ]
         return _events(self.table("customer"), events)
@@ -280,36 +279,40 @@ class Lake:
             F.col("c_custkey").alias("id"),
             "op",
             "name",
-            "email",
-            "tier",
+            "segment",
+            "balance",
             "ts_ms",
         )
 
-    def stock_changes(self) -> DataFrame:
-        def event(kind: int, op: str, ms: int, quantity: Column) -> Column:
-            return F.struct(
-                F.lit(kind).alias("kind"), F.lit(op).alias("op"), F.lit(ms).cast("bigint").alias("ts_ms"), quantity.cast("bigint").alias("quantity")
-            )
+    def supplier_changes(self) -> DataFrame:
+        """Suppliers of another schema: read once, debts settled to zero, those of one nation removed."""
+        owed = F.col("s_acctbal").cast("decimal(12,2)")
+
+        def event(kind: int, op: str, ms: int, balance: Column) -> Column:
+            at = F.lit(ms).cast("bigint").alias("ts_ms")
+            return F.struct(F.lit(kind).alias("kind"), F.lit(op).alias("op"), at, balance.cast("decimal(12,2)").alias("balance"))
 
         events = [
-            (F.lit(True), event(0, "r", _ms(1995, 1, 1), F.col("p_size"))),
-            (F.col("p_size") > 40, event(1, "u", _ms(1995, 2, 1), F.lit(50))),
+            (F.lit(True), event(0, "r", _ms(1995, 1, 1), owed)),
+            (owed < 0, event(1, "u", _ms(1995, 2, 1), F.lit(0))),
+            (F.col("s_nationkey") == 7, event(2, "d", _ms(1995, 3, 1), F.lit(None))),
         ]
-        return _events(self.table("part"), events).select(
-            F.lit(STOCK).alias("topic"),
-            F.pmod("p_partkey", F.lit(PARTITIONS)).cast("int").alias("partition"),
-            (F.col("p_partkey") * 20 + F.col("kind")).alias("offset"),
-            F.col("p_partkey").alias("sku"),
+        return _events(self.table("supplier"), events).select(
+            F.lit(SUPPLIERS).alias("topic"),
+            F.pmod("s_suppkey", F.lit(PARTITIONS)).cast("int").alias("partition"),
+            (F.col("s_suppkey") * 20 + F.col("kind")).alias("offset"),
+            F.col("s_suppkey").cast("bigint").alias("supplier_id"),
             "op",
-            F.col("p_name").alias("description"),
-            "quantity",
+            F.when(F.col("op") != "d", F.col("s_nationkey").cast("bigint")).alias("nation_id"),
+            "balance",
             "ts_ms",
         )
 
     @staticmethod
     def to_raw(changes: DataFrame, key: str, values: list[str]) -> DataFrame:
         """Flat changes as bare JSON log rows."""
-        after = F.when(F.col("op") != "d", F.struct(key, *values))
+        shown = [F.col(v).cast("string").alias(v) if changes.schema[v].dataType.typeName() == "decimal" else F.col(v) for v in values]
+        after = F.when(F.col("op") != "d", F.struct(key, *shown))
         return once(
             changes.select("topic", "partition", "offset", F.timestamp_millis("ts_ms").alias("ts"), "ts_ms", "op", key, *values),
             key=F.to_json(F.struct(key)),
@@ -317,14 +320,14 @@ class Lake:
         ).select("topic", "partition", "offset", "ts", "key", "value")
 
     def customer_raw(self) -> DataFrame:
-        return self.to_raw(self.customer_changes(), "id", ["name", "email", "tier"])
+        return self.to_raw(self.customer_changes(), "id", ["name", "segment", "balance"])
 
-    def stock_raw(self) -> DataFrame:
-        return self.to_raw(self.stock_changes(), "sku", ["description", "quantity"])
+    def supplier_raw(self) -> DataFrame:
+        return self.to_raw(self.supplier_changes(), "supplier_id", ["nation_id", "balance"])
 
     def raw(self) -> DataFrame:
         """All topics in one log."""
-        return self.order_raw().unionByName(self.customer_raw()).unionByName(self.stock_raw())
+        return self.order_raw().unionByName(self.customer_raw()).unionByName(self.supplier_raw())
 
     # other shapes ---------------------------------------------------------------------------
 
@@ -565,28 +568,28 @@ wire AS (
 _CUSTOMER_CTES = """
 cch AS (
   SELECT c_custkey * 20 AS seq, c_custkey AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'c' ELSE 'r' END AS op,
-         c_name AS name, lower(replace(c_name, '#', '.')) || '@example.com' AS email,
-         CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'premium' ELSE 'standard' END AS tier,
+         c_name AS name, c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(12,2)) AS balance,
          epoch_ms(CASE WHEN c_mktsegment = 'BUILDING' THEN TIMESTAMP '1996-01-01' ELSE TIMESTAMP '1994-12-01' END) AS ts_ms
   FROM customer
-  UNION ALL SELECT c_custkey * 20 + 1, c_custkey, 'u', c_name, lower(replace(c_name, '#', '.')) || '@example.com', 'gold',
+  UNION ALL SELECT c_custkey * 20 + 1, c_custkey, 'u', c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(12,2)) + 100,
          epoch_ms(TIMESTAMP '1997-01-01') FROM customer WHERE c_acctbal > 5000
   UNION ALL SELECT c_custkey * 20 + 2, c_custkey, 'u', c_name, NULL,
-         CASE WHEN c_acctbal > 5000 THEN 'gold' ELSE 'standard' END,
+         CAST(c_acctbal AS DECIMAL(12,2)) + CASE WHEN c_acctbal > 5000 THEN 100 ELSE 0 END,
          epoch_ms(TIMESTAMP '1997-06-01') FROM customer WHERE c_mktsegment = 'MACHINERY'
   UNION ALL SELECT c_custkey * 20 + 3, c_custkey, 'd', NULL, NULL, NULL,
          epoch_ms(TIMESTAMP '1998-01-01') FROM customer WHERE c_acctbal < 0),
 cmirror AS (
-  SELECT id, name, email, tier FROM (
+  SELECT id, name, segment, CAST(balance AS DECIMAL(12,2)) AS balance FROM (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM cch) WHERE rn = 1 AND op <> 'd')"""
 
-_STOCK_CTES = """
+_SUPPLIER_CTES = """
 sch AS (
-  SELECT p_partkey * 20 AS seq, p_partkey AS sku, 'r' AS op, p_name AS description, CAST(p_size AS BIGINT) AS quantity FROM part
-  UNION ALL SELECT p_partkey * 20 + 1, p_partkey, 'u', p_name, 50 FROM part WHERE p_size > 40),
+  SELECT s_suppkey * 20 AS seq, s_suppkey AS supplier_id, 'r' AS op, s_nationkey AS nation_id, CAST(s_acctbal AS DECIMAL(12,2)) AS balance FROM supplier
+  UNION ALL SELECT s_suppkey * 20 + 1, s_suppkey, 'u', s_nationkey, 0 FROM supplier WHERE s_acctbal < 0
+  UNION ALL SELECT s_suppkey * 20 + 2, s_suppkey, 'd', NULL, NULL FROM supplier WHERE s_nationkey = 7),
 smirror AS (
-  SELECT p_partkey AS sku, p_name AS description, CAST(CASE WHEN p_size > 40 THEN 50 ELSE p_size END AS BIGINT) AS quantity
-  FROM part)"""
+  SELECT CAST(s_suppkey AS BIGINT) AS supplier_id, CAST(s_nationkey AS BIGINT) AS nation_id, CAST(greatest(s_acctbal, 0) AS DECIMAL(12,2)) AS balance
+  FROM supplier WHERE s_nationkey <> 7)"""
 
 _METRIC_CTES = """
 ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(value AS DECIMAL(12,2)) AS shown FROM events),
@@ -626,8 +629,8 @@ def customer_sql(body: str) -> str:
 
 
 def shop_sql(body: str) -> str:
-    """SQL over the order, customer and stock logs together."""
-    return f"WITH {_ORDER_CTES},{_WIRE_CTES},{_CUSTOMER_CTES},{_STOCK_CTES}\n{body}"
+    """SQL over the order, customer and supplier logs together."""
+    return f"WITH {_ORDER_CTES},{_WIRE_CTES},{_CUSTOMER_CTES},{_SUPPLIER_CTES}\n{body}"
 
 
 def metric_sql(body: str) -> str:
