@@ -22,10 +22,12 @@ from tideline.plans.registry import query
 from tideline.sources.logs import read_log
 from tideline.spec import FlowSpec
 from tideline.streaming import run
+from tideline.streaming.bucketed import BucketedMirror
 from tideline.streaming.frontier import FrontierRelease
 from tideline.streaming.mirror import MirrorTable, mirrors
 
 POS = ("partition", "offset")
+BATCHES_A_BASE = 64_000  # bytes of pending changes: small, so that a base is made at any scale
 
 
 def order_stream(lake: Lake, files: int = 6, per_batch: int = 2) -> DataFrame:
@@ -71,6 +73,15 @@ def sliced_release(lake: Lake) -> tuple[FrontierRelease, DataFrame, int]:
     return release, decoded(read_log(lake.spark, log)), lake.slices() - 1
 
 
+@query("st01_bucketed_apply", order_sql("SELECT id, customer_id, amount, status FROM mirror"))
+def bucketed_apply(lake: Lake) -> DataFrame:
+    """The same stream into a bucketed mirror, which compacts itself on the way."""
+    columns = {c.name: c.type for c in ORDERS_SPEC.columns} | {"op": "string", "partition": "int", "offset": "bigint"}
+    table = BucketedMirror(lake.scratch("bucketed"), ("id",), POS, columns, buckets=8, compact_bytes=BATCHES_A_BASE)
+    run.drain(order_stream(lake), lambda batch, i: table.write_batch(flow.flat_changes(batch, ORDERS_SPEC, POS), i), lake.scratch("checkpoint"))
+    return table.read(lake.spark)
+
+
 @query(
     "st02_resolved_frontier",
     wire_sql(_SLICED.lstrip("\n") + """
