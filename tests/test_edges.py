@@ -9,7 +9,7 @@ from tideline.operators import apply as A
 from tideline.operators import metrics as M
 from tideline.operators import verify as V
 from tideline.operators.classify import drop_tombstones
-from tideline.operators.route import merge_partitions, stamp_topic
+from tideline.operators.route import merge_partitions, rename_topics, stamp_topic
 from tideline.plans import flow
 from tideline.spec import FlowSpec, Step
 
@@ -108,3 +108,13 @@ def test_rows_without_a_declared_table_are_kept_aside(spark, tmp_path):
     query.awaitTermination()
     assert tables["orders"].read(spark).count() == 1
     assert spark.read.parquet(flow.quarantine_path(f"{tmp_path}/out", flow.UNKNOWN_TABLE)).count() == 1
+
+
+def test_source_names_survive_a_rename(spark):
+    own = [({"id": 1}, value("c", {"id": 1, "amount": "1.00"}, wrapped=w, source={"schema": "public", "table": "orders"})) for w in (True, False)]
+    log = raw(spark, own, topic="renamed.before.it_came").union(raw(spark, [({"id": 2}, value("c", {"id": 2, "amount": "2.00"}))]))
+    declared = FlowSpec(
+        transforms=[Step("short", rename_topics, {"pattern": r".*\.(.*)", "replacement": "$1"})], tables={"public_orders": NARROW}, table_template="${source.schema}_${source.table}"
+    )
+    assert [r.target for r in flow.prepared(log, declared).collect()] == ["public_orders"] * 3
+    assert flow.run_batch(log, declared)["public_orders"].count() == 2

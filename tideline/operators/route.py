@@ -72,7 +72,7 @@ def route_tags(df: DataFrame, field: str, routes: Mapping[str, str], out: str =
 
 
 def with_table(df: DataFrame, template: str = "${topic}", out: str = "target") -> DataFrame:
-    return df.withColumn(out, table_name(F.col("topic"), template))
+    return df.withColumn(out, table_name(F.col("topic"), template, F.col("value") if "value" in df.columns else None))
 
 
 def key_columns(spec: TableSpec, requested: Iterable[str] = ()) -> list[str]:

@@ -120,18 +120,22 @@ def route_by_field(lake: Lake) -> DataFrame:
 @query(
     "d07_table_name",
     shop_sql("""
-SELECT 'shop_public_orders' AS by_topic, 'public_orders' AS by_source, 'ORDERS_COPY' AS fixed, count(*) AS n FROM wire
-UNION ALL SELECT 'shop_public_customers', 'public_customers', 'ORDERS_COPY', count(*) FROM cch
-UNION ALL SELECT 'shop_purchasing_suppliers', 'purchasing_suppliers', 'ORDERS_COPY', count(*) FROM sch"""),
+SELECT by_topic, by_source, by_source AS after_rename, 'ORDERS_COPY' AS fixed, CAST(sum(n) AS BIGINT) AS n FROM (
+SELECT 'shop_public_orders' AS by_topic, 'public_orders' AS by_source, count(*) AS n FROM wire
+UNION ALL SELECT 'shop_public_customers', 'public_customers', count(*) FROM cch
+UNION ALL SELECT 'shop_purchasing_suppliers', 'purchasing_suppliers', count(*) FROM sch) GROUP BY 1, 2"""),
 )
 def names_from_template(lake: Lake) -> DataFrame:
-    topic = F.col("topic")
-    named = lake.raw().select(
-        table_name(topic, "${topic}").alias("by_topic"),
-        table_name(topic, "${source.schema}_${source.table}").alias("by_source"),
+    """Names by topic and by source; the source's hold after a topic is renamed, from the event itself or from the topic it came by."""
+    topic, by_source = F.col("topic"), "${source.schema}_${source.table}"
+    renamed = R.rename_topics(lake.raw().withColumn("origin", topic), r"shop\.[a-z]+\.(.*)", "$1", column="topic")
+    named = renamed.select(
+        table_name(F.col("origin"), "${topic}").alias("by_topic"),
+        table_name(F.col("origin"), by_source, F.col("value")).alias("by_source"),
+        table_name(topic, by_source, F.col("value"), F.col("origin")).alias("after_rename"),
         table_name(topic, "ORDERS_COPY").alias("fixed"),
     )
-    return named.groupBy("by_topic", "by_source", "fixed").agg(F.count("*").alias("n"))
+    return named.groupBy("by_topic", "by_source", "after_rename", "fixed").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -96,9 +96,11 @@ def from_config(config: Mapping, tables: Mapping[str, TableSpec]) -> FlowSpec:
 
 def prepared(raw: DataFrame, flow: FlowSpec) -> DataFrame:
     """Subscribed, transformed rows with their target table in ``target``."""
-    rows = subscribe(raw, flow.topics or None, flow.topics_regex)
+    rows = subscribe(raw, flow.topics or None, flow.topics_regex).withColumn("_origin", F.col("topic"))
     rows = chain(rows, flow.transforms)
-    return rows if "target" in rows.columns else rows.withColumn("target", table_name(F.col("topic"), flow.table_template))
+    if "target" not in rows.columns:
+        rows = rows.withColumn("target", table_name(F.col("topic"), flow.table_template, F.col("value"), F.col("_origin")))
+    return rows.drop("_origin")
 
 
 def place(name: str) -> Column:
