@@ -76,6 +76,14 @@ def test_one_per_class_stays(docs):
     assert 17 not in ids and 5 in ids
 
 
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    a, b, c = ("the quick brown fox jumps over the lazy dog " * 3, "a wholly other text about rivers and their mouths " * 3, "some third thing without any partner at all " * 3)
+    rows = [(3, a, 1), (5, a, 2), (5, b, 3), (7, c, 4), (7, c, 4), (None, a, 5), (None, a, 5)]
+    kept = simhash.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, __row int"))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(0, a), (0, a), (3, a), (5, b), (7, c)])
+    assert kept.columns == ["doc_id", "text", "__row"]
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(5, 5)]

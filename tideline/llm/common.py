@@ -60,6 +60,18 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def groups(texts: list[bytes | None], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes together."""
+    begin = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or b"")
+        if size >= most:
+            yield begin, i + 1
+            begin, size = i + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def tidied(run: Callable) -> Callable:
     """``run`` over the batches of a task, after which the worker gives back the memory it no longer needs: other stages use it later."""
 

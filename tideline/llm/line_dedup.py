@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, bitmap, fresh, in_bitmap, joined_by_text, pick, split_hot, stored, text_keys, tidied, with_columns
+from tideline.llm.common import as_bytes, bitmap, fresh, groups, in_bitmap, joined_by_text, pick, split_hot, stored, text_keys, tidied, with_columns
 
 TABLE_BITS = 18
 SLICES = 4
@@ -95,18 +95,6 @@ def _flat(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return hashes, dense, owner, (used - first[owner]).astype(np.int32)
 
 
-def groups(texts: list[bytes | None], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``most`` bytes together."""
-    begin = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or b"")
-        if size >= most:
-            yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
 def rarity(docs: DataFrame) -> np.ndarray:
     """How often words stand in the corpus, by the low bits of their hash: an array of 2**TABLE_BITS counts."""
 

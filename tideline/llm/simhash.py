@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, pick, split_hot, stored, tidied, with_columns
+from tideline.llm.common import as_bytes, fresh, pick, split_hot, stored, tidied, with_columns
 from tideline.llm.components import components
 
 BITS = 64
@@ -338,10 +338,19 @@ def near_duplicates(docs: DataFrame, *, radius: int = 3, width: int = 3, id_col:
 
 
 def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One document of each class, the one with the smallest id, with all its columns.
+    """One document of each class, with all its columns.
 
-    Rows without an id stay; rows that repeat an id stay or go together.
+    A document is told by its id and a hash of its text, so texts that share an id are judged apart. The one with the least
+    (id, hash) stays; of rows that repeat it one stays. Rows without an id stay.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    key, own = fresh(docs, "near_text_key"), fresh(docs, "near_document")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
+    named = keyed.where(F.col(id_col).isNotNull()).withColumn(own, F.struct(F.col(id_col).alias("id"), F.col(key).alias("key")))
+    found = classes(fingerprints(named, id_col=own, text_col=text_col, **({"width": how.pop("width")} if "width" in how else {})), **how)
+    counted = found.groupBy("doc_id").agg(F.first("component_id").alias("lead"), F.count("*").alias("n")).where("doc_id <> lead OR n > 1")
+    marks = stored(counted.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.key").alias("__key"), (F.col("doc_id") == F.col("lead")).alias("__leads")), "near-copies")
+    same = (F.col("__id") == F.col("__doc.id")) & (F.col("__key") == F.col("__doc.key"))
+    row = keyed.select(F.struct(F.col(id_col).alias("id"), F.col(key).alias("key")).alias("__doc"), F.struct(*docs.columns).alias("__row"))
+    rest = row.join(marks, same, "left_anti").select("__row.*")
+    repeated = row.join(marks.where("__leads"), same, "left_semi")
+    return rest.unionAll(repeated.groupBy("__doc").agg(F.first("__row").alias("__row")).select("__row.*"))
