@@ -122,6 +122,34 @@ def test_spans_equal_plain_rule(spark, docs):
     assert next(r for r in got if r["doc_id"] == 141)["first_docs"] == [140]
 
 
+def test_spliced_passages_of_51_words_lose_their_copy(spark):
+    rng = np.random.default_rng(3)
+
+    def prose(n):
+        return " ".join(f"v{x}" for x in rng.integers(0, 100_000, n))
+
+    rows = []
+    for k in range(400):
+        passage = prose(51)
+        ends = [rng.choice(["", ".", "!"]) + rng.choice([" ", "\n"]) for _ in range(2)]
+        rows += [(2 * k, f"{prose(30)}{ends[0]}{passage} {prose(30)}"), (2 * k + 1, f"{prose(17)} {passage}{ends[1]}{prose(9)}")]
+    clean = [(10_000 + k, prose(90)) for k in range(100)]
+    got = {r["doc_id"]: r["n_removed"] for r in span_dedup.dedup_spans(spark.createDataFrame(rows + clean, "doc_id long, text string")).collect()}
+    assert all(got[2 * k + 1] > 0 and got[2 * k] == 0 for k in range(400))
+    assert not any(got[i] for i, _ in clean)
+
+
+def test_pieces_of_many_texts_are_those_of_each(docs):
+    texts = [None if r["text"] is None else r["text"].encode() for r in docs.collect()] + [b"A b. c", b"same " * 3000, b"\xc3\xa9. 3.14 x!\n\n y " * 70]
+    assert span_dedup.sentence_counts(texts) == [len(span_dedup.sentences(t or b"")) for t in texts]
+    assert max(len(words) for t in texts for _, words in span_dedup.sentences(t or b"")) <= 8
+    at, first, end, h1, h2 = span_dedup.Pieces(texts, 8).spans(2, 20)
+    by_words = {}
+    for t, a, b, *h in zip(at, first, end, h1.tolist(), h2.tolist(), strict=True):
+        by_words.setdefault(tuple(tuple(w) for _, w in span_dedup.sentences(texts[t])[a:b]), set()).add(tuple(h))
+    assert all(len(h) == 1 for h in by_words.values()) and len({h for hs in by_words.values() for h in hs}) == len(by_words)
+
+
 def test_spans_of_nothing(no_docs, null_docs):
     assert span_dedup.dedup_spans(no_docs).count() == 0
     assert [r["n_removed"] for r in span_dedup.dedup_spans(null_docs).collect()] == [0, 0, 0]

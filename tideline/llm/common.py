@@ -223,9 +223,9 @@ def text_keys(texts: list[bytes | None]) -> np.ndarray:
 
 
 def joined_by_text(
-    docs: DataFrame, found: DataFrame, id_col: str, text_col: str, found_id: str, found_key: str, count: str, count_of: Callable[[bytes], int]
+    docs: DataFrame, found: DataFrame, id_col: str, text_col: str, found_id: str, found_key: str, count: str, counts_of: Callable[[list[bytes | None]], list[int]]
 ) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with the column ``count`` (``count_of`` the text, 0 for a null), in two parts: joined to ``found`` by id and text key, and the rest.
+    """``docs`` with the column ``count`` (``counts_of`` the texts of a batch), in two parts: joined to ``found`` by id and text key, and the rest.
 
     A bitmap of the keys in ``found`` tells most of the rest apart, whose texts are then not shuffled. In the first part
     the columns of ``found`` are null where it has no such document.
@@ -238,7 +238,7 @@ def joined_by_text(
         def work(column: pa.Array):
             texts = as_bytes(column)
             keys = text_keys(texts)
-            return keys.tolist(), in_bitmap(bits.value, keys).tolist(), [0 if t is None else count_of(t) for t in texts]
+            return keys.tolist(), in_bitmap(bits.value, keys).tolist(), counts_of(texts)
 
         return work
 

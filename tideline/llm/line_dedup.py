@@ -47,7 +47,7 @@ _OF_BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) |
 _LEVEL_SHIFT = np.uint64(59)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -68,24 +68,36 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def _flat(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, line index) of every word, and (text index, line number) of every line with a word.
+def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of the words between ASCII white space in some bytes.
 
-    All words of a batch are hashed together: bytes times powers of a base are summed up, and a word is a
-    difference of two sums, brought to a common power.
+    All are hashed together: bytes times powers of a base are summed up, and a word is a difference of two sums, brought
+    to a common power.
     """
-    joined = b"\n".join(t or b"" for t in texts).lower()
-    buffer = np.frombuffer(joined, np.uint8)
-    if not len(buffer):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
     space = np.ones(len(buffer) + 2, bool)
     space[1:-1] = _IS_SPACE[buffer]
     edge = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edge[::2], edge[1::2]
-    up, down = _POWERS.upto(len(buffer))
+    up, down = _POWERS.upto(max(len(buffer), 1))
     sums = np.zeros(len(buffer) + 1, np.uint64)
-    np.cumsum(_OF_BYTE[buffer] * up, out=sums[1:])
-    hashes = _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(_OF_BYTE[buffer] * up[: len(buffer)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
+
+
+def run_hashes(numbers: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run ``numbers[start:end]``."""
+    up, down = _POWERS.upto(max(len(numbers), 1))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers * up[: len(numbers)])])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def _flat(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hash, line index) of every word, and (text index, line number) of every line with a word."""
+    joined = b"\n".join(t or b"" for t in texts).lower()
+    buffer = np.frombuffer(joined, np.uint8)
+    if not len(buffer):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    hashes, starts, _ = word_hashes(buffer)
     breaks = np.flatnonzero(buffer == 10)
     line = np.searchsorted(breaks, starts)
     sizes = np.fromiter((0 if t is None else t.count(b"\n") for t in texts), np.int64, len(texts)) + 1
@@ -139,7 +151,7 @@ class Lines:
         self.sizes = np.bincount(line, minlength=len(self.owner))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
         if len(self.words):
-            self.classes = _mix(np.add.reduceat(_mix(self.words), self.starts) + self.sizes.astype(np.uint64)).view(np.int64)
+            self.classes = mix(np.add.reduceat(mix(self.words), self.starts) + self.sizes.astype(np.uint64)).view(np.int64)
             self.sketches = sketches(self.words, self.starts)
         else:
             self.classes = self.sketches = np.zeros(0, np.int64)
@@ -387,7 +399,7 @@ def rewritten(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     names = {c: fresh(docs, f"line_{c}") for c in ("text", "n_lines", "removed", "gid", "gkey")}
     gone = gone.select(F.col("doc_id").alias(names["gid"]), F.col("text_key").alias(names["gkey"]), F.col("lines").alias(names["removed"]))
 
-    some, rest = joined_by_text(docs, gone, id_col, text_col, names["gid"], names["gkey"], names["n_lines"], lambda t: t.count(b"\n") + 1)
+    some, rest = joined_by_text(docs, gone, id_col, text_col, names["gid"], names["gkey"], names["n_lines"], lambda texts: [0 if t is None else t.count(b"\n") + 1 for t in texts])
 
     def start():
         def work(texts: pa.Array, removed: pa.Array):
