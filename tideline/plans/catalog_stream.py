@@ -13,7 +13,7 @@ from tideline.operators import envelope as E
 from tideline.operators import graph as G
 from tideline.operators import metrics as M
 from tideline.operators import verify as V
-from tideline.operators.apply import apply_changes, dedup, progress, resolved_text
+from tideline.operators.apply import apply_changes, progress, resolved_text
 from tideline.plans import flow
 from tideline.plans.catalog_graph import CUSTOMER_PROPS, graph_sql
 from tideline.plans.catalog_state import _RATE, changes, metric_samples
@@ -25,6 +25,7 @@ from tideline.streaming import run
 from tideline.streaming.bucketed import BucketedMirror
 from tideline.streaming.frontier import FrontierRelease
 from tideline.streaming.mirror import MirrorTable, mirrors
+from tideline.streaming.seen import SeenOffsets
 
 POS = ("partition", "offset")
 BATCHES_A_BASE = 64_000  # bytes of pending changes: small, so that a base is made at any scale
@@ -295,15 +296,37 @@ def drain_and_compare(lake: Lake) -> DataFrame:
 
 @query("st15_redelivery_dedup", order_sql("SELECT op, count(*) AS n FROM (SELECT DISTINCT seq, op FROM ch) GROUP BY op"))
 def redelivery_dedup(lake: Lake) -> DataFrame:
-    """Repeats of a log position are dropped within each batch before it is kept, and across batches when the log is
-    read. However late a row is, it is neither lost nor counted twice, and no state has to be held."""
-    kept = lake.scratch("unique")
-    keep = run.per_batch_folder(kept)
-    run.drain(order_stream(lake), lambda batch, i: keep(dedup(batch), i), lake.scratch("checkpoint"))
-    data = C.classify(dedup(run.read_batches(lake.spark, kept).drop("batch_id")), ORDERS_SPEC)[0]
+    """Repeats of a log position are dropped on the way in, by the offset ranges seen so far; what is kept is read without an exchange."""
+    seen = SeenOffsets(lake.scratch("unique"), compact_after=2)
+    run.drain(order_stream(lake), seen.write_batch, lake.scratch("checkpoint"))
+    data = C.classify(seen.read(lake.spark).drop("batch_id"), ORDERS_SPEC)[0]
     return data.groupBy("op").agg(F.count("*").alias("n"))
 
 
+@query(
+    "st15_seen_offsets",
+    wire_sql(_SLICED.lstrip("\n") + """
+SELECT k.slice AS batch, count(seq) AS arrived, count(*) FILTER (WHERE rn = 1) AS kept
+FROM k LEFT JOIN (SELECT slice, seq, row_number() OVER (PARTITION BY seq ORDER BY slice) AS rn FROM sl) r ON r.slice = k.slice
+GROUP BY 1 UNION ALL SELECT 4, count(*), 0 FROM sl WHERE slice = 1"""),
+)
+def seen_offsets(lake: Lake) -> DataFrame:
+    """The log in slices of years, each after a restart, and at the end the slice of 1994 and 1995 again, years late."""
+    log, checkpoint, arrived = lake.scratch("slices"), lake.scratch("checkpoint"), lake.scratch("arrived")
+    seen = SeenOffsets(lake.scratch("unique"), compact_after=2)
+    keep = run.per_batch_folder(arrived)
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        keep(batch.agg(F.count("*").alias("arrived")), batch_id)
+
+    for k in [*range(lake.slices()), 1]:
+        lake.order_slice(k).write.mode("append").parquet(log)
+        run.drain(read_log(lake.spark, log, streaming=True), run.tee([seen.write_batch, count]), checkpoint)
+    kept = seen.read(lake.spark).groupBy("batch_id").agg(F.count("*").alias("kept"))
+    both = run.read_batches(lake.spark, arrived).join(kept, "batch_id", "left")
+    return both.select(F.col("batch_id").cast("int").alias("batch"), "arrived", F.coalesce("kept", F.lit(0)).alias("kept"))
+
+
 @query(
     "f05_stream_goes_on",
     wire_sql("""
