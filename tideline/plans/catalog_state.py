@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.values import money_text, pick, stable_uuid
@@ -10,6 +10,7 @@ from tideline.operators import apply as A
 from tideline.operators import classify as C
 from tideline.operators import history as H
 from tideline.operators import metrics as M
+from tideline.operators import reread as RR
 from tideline.operators import route as R
 from tideline.operators import verify as V
 from tideline.operators.audit import fk_violations
@@ -211,28 +212,61 @@ def evolve(lake: Lake) -> DataFrame:
     return H.evolve(o.filter(~urgent).select("id", "status"), o.filter(urgent).select("id", "status", "priority"))
 
 
+CHUNK = 1000  # keys of orders read again together
+
+
 @query(
     "a12_resnapshot",
-    order_sql("""
-SELECT o_orderkey AS id, CASE WHEN m.id IS NOT NULL AND m.ts_ms >= epoch_ms(TIMESTAMP '1998-01-01') THEN m.customer_id ELSE o_custkey END AS customer_id,
-  CASE WHEN m.id IS NOT NULL AND m.ts_ms >= epoch_ms(TIMESTAMP '1998-01-01') THEN m.amount ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS amount,
-  CASE WHEN m.id IS NOT NULL AND m.ts_ms >= epoch_ms(TIMESTAMP '1998-01-01') THEN m.status ELSE o_orderstatus END AS status
-FROM orders LEFT JOIN mirror m ON m.id = o_orderkey
-WHERE m.id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM ch WHERE ch.id = o_orderkey AND ch.ts_ms >= epoch_ms(TIMESTAMP '1998-01-01'))"""),
+    order_sql(f"""
+SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_totalprice AS DECIMAL(12,2)) AS amount, o_orderstatus AS status FROM orders WHERE o_orderkey % {CHUNK} < {CHUNK // 4}
+UNION ALL SELECT id, customer_id, amount, status FROM mirror WHERE id % {CHUNK} >= {CHUNK // 4}"""),
 )
 def resnapshot(lake: Lake) -> DataFrame:
-    """Signals from every region ask for orders; re-read rows lose to changes inside the read window."""
+    """Signals from every region ask for orders, which are read again in chunks of keys while the log goes on. Keys of a chunk's first
+    quarter changed before its low mark: the re-read row stands. Others changed between the marks or later: the log stands."""
     data = '{"data-collections": ["shopdb.public.orders"]}'
+    signals = lake.table("region").select(F.col("r_name").alias("id"), F.lit("execute-snapshot").alias("type"), F.lit(data).alias("data"))
+    reread = A.resnapshot(signals, {"public.orders": lambda: source_rows(lake), "public.customers": lambda: lake.table("customer")})["public.orders"]
+    return A.apply_changes(None, RR.with_rereads(changes(lake), reread, chunk_marks(lake), ["id"], key_chunk()), ["id"], POS)
+
+
+def key_chunk() -> Column:
+    return F.expr(f"id div {CHUNK}")
+
+
+def chunk_marks(lake: Lake) -> DataFrame:
+    """Marks in the log around the reading of each chunk: before the offsets of its second quarter, and of its last."""
+    chunks = lake.table("orders").select(F.expr(f"o_orderkey div {CHUNK}").alias("chunk")).distinct()
+
+    def mark(type_: str, quarter: int) -> Column:
+        return F.struct(F.lit(type_).alias("type"), ((F.col("chunk") * CHUNK + quarter * CHUNK // 4) * 20 - 1).alias("offset"))
+
+    return chunks.select("chunk", F.inline(F.array(mark(RR.OPEN, 1), mark(RR.CLOSE, 3))))
+
+
+@query(
+    "a12_reread_rows",
+    order_sql(f"""
+SELECT o_orderkey // {CHUNK} AS chunk, count(*) AS n, max(((o_orderkey // {CHUNK}) * {CHUNK} + {CHUNK * 3 // 4}) * 20 - 1) AS "offset" FROM orders
+WHERE o_orderkey % {CHUNK} < {CHUNK // 4} OR o_orderkey % {CHUNK} >= {CHUNK * 3 // 4} GROUP BY 1"""),
+)
+def reread_rows(lake: Lake) -> DataFrame:
+    """How many rows of each chunk stand at its high mark: all whose key did not change between the marks."""
+    rows = RR.placed(source_rows(lake), changes(lake), chunk_marks(lake), ["id"], key_chunk())
+    return rows.groupBy(key_chunk().alias("chunk")).agg(F.count("*").alias("n"), F.max("offset").alias("offset"))
+
+
+@query(
+    "a12_requests",
+    "SELECT r_name AS id, unnest(['public.orders', 'public.' || lower(r_name)]) AS name, unnest([true, false]) AS known FROM region",
+)
+def reread_requests(lake: Lake) -> DataFrame:
+    """Every region asks for orders and for a table that nobody registered; the latter is reported, not dropped."""
+    names = F.array(F.lit("shopdb.public.orders"), F.concat(F.lit("shopdb.public."), F.lower("r_name")))
     signals = lake.table("region").select(
-        F.col("r_name").alias("id"), F.lit("execute-snapshot").alias("type"), F.lit(data).alias("data")
+        F.col("r_name").alias("id"), F.lit("execute-snapshot").alias("type"), F.to_json(F.struct(names.alias("data-collections"))).alias("data")
     )
-    late = 10**15
-    reread = A.resnapshot(signals, {"public.orders": lambda: source_rows(lake), "public.customers": lambda: lake.table("customer")})
-    log = lake.order_changes()
-    window_start = F.unix_millis(F.lit("1998-01-01 00:00:00").cast("timestamp"))
-    rows = A.drop_overtaken(reread["public.orders"], log, ["id"], F.col("ts_ms") >= window_start)
-    merged = changes(lake).unionByName(rows.withColumn("offset", F.lit(late)))
-    return A.apply_changes(None, merged, ["id"], POS)
+    return RR.requests(signals, ["public.orders", "public.customers"])
 
 
 @query(
