@@ -190,6 +190,38 @@ def row_diff(lake: Lake) -> DataFrame:
     return V.row_diff(source_rows(lake), mirror(lake), ["id"])
 
 
+# Orders of customers 1, 101, 201 ... were written late: these alone differ.
+_LATE = "o_custkey % 100 = 1"
+
+
+@query(
+    "v16_row_diff_by_slice",
+    f"""
+SELECT CAST(o_orderkey AS BIGINT) AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'missing' WHEN o_orderkey % 3 = 1 THEN 'changed' END AS difference
+FROM orders WHERE {_LATE} AND o_orderkey % 3 < 2 UNION ALL SELECT -o_orderkey, 'extra' FROM orders WHERE {_LATE} AND o_orderkey % 3 = 2""",
+)
+def row_diff_by_slice(lake: Lake) -> DataFrame:
+    """A stored copy with some rows left out, some changed and some added; only rows of key slices that hold them are compared."""
+    rows = source_rows(lake)
+    late, turn = F.col("customer_id") % 100 == 1, F.pmod("id", F.lit(3))
+    copy = rows.filter(~(late & (turn == 0))).withColumn("status", F.when(late & (turn == 1), F.lit("late")).otherwise(F.col("status")))
+    extra = rows.filter(late & (turn == 2)).withColumn("id", -F.col("id"))
+    target = A.stage(copy.unionByName(extra), lake.scratch("copy"))
+    return V.row_diff_by_slice(rows, target, ["id"], slices=65_536)
+
+
+@query(
+    "v16_equal_slices",
+    "SELECT count(*) AS n, CAST(count(*) AS BIGINT) AS same, CAST(0 AS BIGINT) AS slices FROM orders",
+)
+def equal_slices(lake: Lake) -> DataFrame:
+    """Two copies in another order and layout: no slice differs."""
+    rows = source_rows(lake)
+    copy = A.stage(rows.repartition(5, "customer_id"), lake.scratch("copy"))
+    sizes = rows.agg(F.count("*").alias("n")).crossJoin(copy.agg(F.count("*").alias("same")))
+    return sizes.crossJoin(V.differing_slices(rows, copy, ["id"]).agg(F.count("*").alias("slices")))
+
+
 @query(
     "v17_fan_in_parity",
     shop_sql("""
