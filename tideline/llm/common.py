@@ -44,6 +44,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Lineage ends there: a lost executor costs a re-read, not a re-run of what lies before. The shuffle files of
     the run are given back when the table is written, rather than whenever the driver's memory is next cleaned.
     """
+    return written(df, name)[0]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stored`` and the path of the table, for ``emptied``."""
     path = scratch_path(df.sparkSession, name)
     conf = df.sparkSession.conf
     before = conf.get(_CLEANUP)
@@ -52,7 +57,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         conf.set(_CLEANUP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def emptied(spark: SparkSession, path: str) -> None:
+    """Gives back the space of the table at ``path``, a path of ``written``, once nothing that is still to run reads it."""
+    spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:

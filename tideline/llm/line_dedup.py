@@ -28,11 +28,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import as_bytes, bitmap, fresh, groups, in_bitmap, joined_by_text, pick, split_hot, stored, text_keys, tidied, with_columns
+from tideline.llm.common import as_bytes, bitmap, emptied, fresh, groups, in_bitmap, joined_by_text, pick, split_hot, stored, text_keys, tidied, with_columns, written
 
 TABLE_BITS = 18
 SLICES = 4
@@ -303,13 +303,21 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.T
 
 
 def candidates(classes: DataFrame, similarity: float, most_rows: int) -> DataFrame:
-    """(token, class) of each class with a candidate in the bucket of a token. ``classes`` has one row for each class, so buckets count classes and not lines."""
+    """(token, class), once each, of each class with a candidate in the bucket of a token. ``classes`` has one row for each class, so buckets count classes and not lines."""
     rows = classes.where(F.size("prefix") > 0).select("class", "n", "sketch", "rare", "prefix", F.posexplode("prefix").alias("pos", "token"))
     rows = rows.select("token", "class", F.when(F.col("pos") > 0, F.element_at("prefix", F.greatest("pos", F.lit(1)))).otherwise(F.lit(0)).alias("prev"), "n", "pos", "sketch", (F.col("pos") >= F.col("rare")).alias("common"))
     hot = stored(rows.where("common").groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows), "hot-tokens")
-    cut = split_hot(rows.drop("common"), ["token"], ["class"], most_rows, hot)
-    placed = cut.select("token", "c", "d", "class", "prev", "n", "pos", "sketch").repartition("token", "c", "d").sortWithinPartitions("token", "c", "d")
-    return placed.mapInArrow(tidied(_candidates(similarity)), "token bigint, class bigint")
+    cut = split_hot(rows.drop("common"), ["token"], ["class"], most_rows, hot).select("token", "c", "d", "class", "prev", "n", "pos", "sketch")
+    found = []
+    for k in range(SLICES):
+        placed = cut.where(in_slice(F.col("token"), k)).repartition("token", "c", "d").sortWithinPartitions("token", "c", "d")
+        found.append(stored(placed.mapInArrow(tidied(_candidates(similarity)), "token bigint, class bigint").distinct(), "candidates"))
+    return reduce(DataFrame.unionAll, found)
+
+
+def in_slice(token: Column, k: int) -> Column:
+    """Whether a bucket is in the k-th share. Shares are gone through one after another, so that not all rows of all buckets are in the shuffle at once."""
+    return F.pmod(F.xxhash64(token), F.lit(SLICES)) == k
 
 
 # Verification -----------------------------------------------------------------------------------
@@ -363,23 +371,30 @@ def _verify(similarity: float):
     return run
 
 
+def _tokens_in_slice(k: int) -> Column:
+    return F.filter("tokens", lambda token: in_slice(token, k))
+
+
 def removed_lines(docs: DataFrame, *, similarity: float = 0.8, most_rows: int = 20_000) -> DataFrame:
     """(doc_id, text_key, lines): sorted numbers of the lines to remove, of each document that loses one. ``docs`` has doc_id and text."""
     table = rarity(docs)
-    lines = stored(line_table(docs, table, similarity, most_rows), "lines")
+    made, made_path = written(line_table(docs, table, similarity, most_rows), "lines")
     place = F.struct("doc_id", "text_key", "line")
     alike = [F.first(c).alias(c) for c in ("n", "sketch", "prefix", "rare")]  # the same in all lines of a class
-    classes = stored(lines.groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times"), *alike), "first-lines")
-    first = classes.select("class", "place", "times")
-    active = stored(candidates(classes, similarity, most_rows).distinct(), "candidates")
-    chosen = stored(active.select("class").distinct(), "candidate-classes")
+    classes, classes_path = written(made.groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times"), *alike), "first-lines")
+    lines = stored(made.select("class", "doc_id", "text_key", "line"), "line-places")
+    emptied(docs.sparkSession, made_path)
+    active = candidates(classes, similarity, most_rows)
+    first = stored(classes.select("class", "place", "times"), "first-places")
+    emptied(docs.sparkSession, classes_path)
+    chosen = stored(active.groupBy("class").agg(F.collect_list("token").alias("tokens")), "candidate-classes")
     sets = word_sets(docs, table, bitmap(chosen, "class"))
-    known = stored(sets.join(chosen, "class").join(first, "class").select("class", "place", "words"), "word-sets")
+    known = stored(sets.join(chosen, "class").join(first, "class").select("class", "place", "words", "tokens"), "word-sets")
     found = []
-    for k in range(SLICES):  # a share of the buckets at a time, so that not all word sets are in the shuffle at once
-        own = active.where(F.pmod(F.xxhash64("token"), F.lit(SLICES)) == k)
-        sizes = own.groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows)
-        cut = split_hot(own, ["token"], ["class"], most_rows, sizes).join(known, "class")
+    for k in range(SLICES):
+        sizes = active.where(in_slice(F.col("token"), k)).groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows)
+        own = known.select("class", "place", "words", F.explode(_tokens_in_slice(k)).alias("token"))
+        cut = split_hot(own, ["token"], ["class"], most_rows, sizes)
         ordered = cut.select("token", "c", "d", "class", "place", "words").repartition("token", "c", "d").sortWithinPartitions("token", "c", "d", "place")
         found.append(stored(ordered.drop("place").mapInArrow(tidied(_verify(similarity)), "class bigint").distinct(), "matched-classes"))
     matched = reduce(DataFrame.unionAll, found).distinct()
