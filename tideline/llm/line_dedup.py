@@ -267,10 +267,10 @@ def _candidates(similarity: float, most_small: int = 48, block: int = 2048):
         return hit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_buckets(batches, 3):
-            keys = np.stack([table.column(i).to_numpy().astype(np.int64) for i in range(3)], 1)
+        for table in whole_buckets(batches, 1):
+            keys = table.column(0).to_numpy()[:, None]
             hit = look(keys, {c: table.column(c).to_numpy().astype(np.int64) for c in names})
-            yield pa.RecordBatch.from_pydict({"token": pa.array(keys[hit, 0]), "class": pa.array(table.column("class").to_numpy()[hit])})
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(keys[hit, 0]), "class": pa.array(table.column("class").to_numpy()[hit])})
 
     return run
 
@@ -303,21 +303,27 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.T
 
 
 def candidates(classes: DataFrame, similarity: float, most_rows: int) -> DataFrame:
-    """(token, class), once each, of each class with a candidate in the bucket of a token. ``classes`` has one row for each class, so buckets count classes and not lines."""
+    """(bucket, class), once each, of each class with a candidate in that bucket. ``classes`` has one row for each class, so buckets count classes and not lines.
+
+    A bucket is a word, or for a hot word the hash of it and of two chunks. Should two hashes be equal, two buckets are one, which costs
+    comparisons and loses none.
+    """
     rows = classes.where(F.size("prefix") > 0).select("class", "n", "sketch", "rare", "prefix", F.posexplode("prefix").alias("pos", "token"))
     rows = rows.select("token", "class", F.when(F.col("pos") > 0, F.element_at("prefix", F.greatest("pos", F.lit(1)))).otherwise(F.lit(0)).alias("prev"), "n", "pos", "sketch", (F.col("pos") >= F.col("rare")).alias("common"))
     hot = stored(rows.where("common").groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows), "hot-tokens")
-    cut = split_hot(rows.drop("common"), ["token"], ["class"], most_rows, hot).select("token", "c", "d", "class", "prev", "n", "pos", "sketch")
+    cut = split_hot(rows.drop("common"), ["token"], ["class"], most_rows, hot)
+    whole = (F.col("c") == 0) & (F.col("d") == 0)
+    cut = cut.select(F.when(whole, F.col("token")).otherwise(F.xxhash64("token", "c", "d")).alias("bucket"), "class", "prev", "n", "pos", "sketch")
     found = []
     for k in range(SLICES):
-        placed = cut.where(in_slice(F.col("token"), k)).repartition("token", "c", "d").sortWithinPartitions("token", "c", "d")
-        found.append(stored(placed.mapInArrow(tidied(_candidates(similarity)), "token bigint, class bigint").distinct(), "candidates"))
+        placed = cut.where(in_slice(F.col("bucket"), k)).repartition("bucket").sortWithinPartitions("bucket")
+        found.append(stored(placed.mapInArrow(tidied(_candidates(similarity)), "bucket bigint, class bigint").distinct(), "candidates"))
     return reduce(DataFrame.unionAll, found)
 
 
-def in_slice(token: Column, k: int) -> Column:
+def in_slice(bucket: Column, k: int) -> Column:
     """Whether a bucket is in the k-th share. Shares are gone through one after another, so that not all rows of all buckets are in the shuffle at once."""
-    return F.pmod(F.xxhash64(token), F.lit(SLICES)) == k
+    return F.pmod(F.xxhash64(bucket), F.lit(SLICES)) == k
 
 
 # Verification -----------------------------------------------------------------------------------
@@ -371,8 +377,8 @@ def _verify(similarity: float):
     return run
 
 
-def _tokens_in_slice(k: int) -> Column:
-    return F.filter("tokens", lambda token: in_slice(token, k))
+def _buckets_in_slice(k: int) -> Column:
+    return F.filter("buckets", lambda bucket: in_slice(bucket, k))
 
 
 def removed_lines(docs: DataFrame, *, similarity: float = 0.8, most_rows: int = 20_000) -> DataFrame:
@@ -387,15 +393,15 @@ def removed_lines(docs: DataFrame, *, similarity: float = 0.8, most_rows: int =
     active = candidates(classes, similarity, most_rows)
     first = stored(classes.select("class", "place", "times"), "first-places")
     emptied(docs.sparkSession, classes_path)
-    chosen = stored(active.groupBy("class").agg(F.collect_list("token").alias("tokens")), "candidate-classes")
+    chosen = stored(active.groupBy("class").agg(F.collect_list("bucket").alias("buckets")), "candidate-classes")
     sets = word_sets(docs, table, bitmap(chosen, "class"))
-    known = stored(sets.join(chosen, "class").join(first, "class").select("class", "place", "words", "tokens"), "word-sets")
+    known = stored(sets.join(chosen, "class").join(first, "class").select("class", "place", "words", "buckets"), "word-sets")
+    hot = stored(active.groupBy("bucket").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows), "hot-candidates")
     found = []
     for k in range(SLICES):
-        sizes = active.where(in_slice(F.col("token"), k)).groupBy("token").agg(F.count("*").alias("bucket_n")).where(F.col("bucket_n") > most_rows)
-        own = known.select("class", "place", "words", F.explode(_tokens_in_slice(k)).alias("token"))
-        cut = split_hot(own, ["token"], ["class"], most_rows, sizes)
-        ordered = cut.select("token", "c", "d", "class", "place", "words").repartition("token", "c", "d").sortWithinPartitions("token", "c", "d", "place")
+        own = known.select("class", "place", "words", F.explode(_buckets_in_slice(k)).alias("bucket"))
+        cut = split_hot(own, ["bucket"], ["class"], most_rows, hot)
+        ordered = cut.select("bucket", "c", "d", "class", "place", "words").repartition("bucket", "c", "d").sortWithinPartitions("bucket", "c", "d", "place")
         found.append(stored(ordered.drop("place").mapInArrow(tidied(_verify(similarity)), "class bigint").distinct(), "matched-classes"))
     matched = reduce(DataFrame.unionAll, found).distinct()
     decided = first.join(matched.withColumn("matched", F.lit(True)), "class", "left").where("times > 1 OR matched")
