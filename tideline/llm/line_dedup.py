@@ -321,9 +321,9 @@ def candidates(classes: DataFrame, similarity: float, most_rows: int) -> DataFra
     return reduce(DataFrame.unionAll, found)
 
 
-def in_slice(bucket: Column, k: int) -> Column:
-    """Whether a bucket is in the k-th share. Shares are gone through one after another, so that not all rows of all buckets are in the shuffle at once."""
-    return F.pmod(F.xxhash64(bucket), F.lit(SLICES)) == k
+def in_slice(key: Column, k: int) -> Column:
+    """Whether a bucket or class is in the k-th share. Shares are gone through one after another, so that not all rows are in the shuffle at once."""
+    return F.pmod(F.xxhash64(key), F.lit(SLICES)) == k
 
 
 # Verification -----------------------------------------------------------------------------------
@@ -387,12 +387,14 @@ def removed_lines(docs: DataFrame, *, similarity: float = 0.8, most_rows: int =
     made, made_path = written(line_table(docs, table, similarity, most_rows), "lines")
     place = F.struct("doc_id", "text_key", "line")
     alike = [F.first(c).alias(c) for c in ("n", "sketch", "prefix", "rare")]  # the same in all lines of a class
-    classes, classes_path = written(made.groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times"), *alike), "first-lines")
+    grouped = [written(made.where(in_slice(F.col("class"), k)).groupBy("class").agg(F.min(place).alias("place"), F.count("*").alias("times"), *alike), "first-lines") for k in range(SLICES)]
+    classes = reduce(DataFrame.unionAll, [part for part, _ in grouped])
     lines = stored(made.select("class", "doc_id", "text_key", "line"), "line-places")
     emptied(docs.sparkSession, made_path)
     active = candidates(classes, similarity, most_rows)
     first = stored(classes.select("class", "place", "times"), "first-places")
-    emptied(docs.sparkSession, classes_path)
+    for _, path in grouped:
+        emptied(docs.sparkSession, path)
     chosen = stored(active.groupBy("class").agg(F.collect_list("bucket").alias("buckets")), "candidate-classes")
     sets = word_sets(docs, table, bitmap(chosen, "class"))
     known = stored(sets.join(chosen, "class").join(first, "class").select("class", "place", "words", "buckets"), "word-sets")
