@@ -218,8 +218,10 @@ def equal_slices(lake: Lake) -> DataFrame:
     """Two copies in another order and layout: no slice differs."""
     rows = source_rows(lake)
     copy = A.stage(rows.repartition(5, "customer_id"), lake.scratch("copy"))
-    sizes = rows.agg(F.count("*").alias("n")).crossJoin(copy.agg(F.count("*").alias("same")))
-    return sizes.crossJoin(V.differing_slices(rows, copy, ["id"]).agg(F.count("*").alias("slices")))
+    parts = [(rows, "n"), (copy, "same"), (V.differing_slices(rows, copy, ["id"]), "slices")]
+    counts = [df.agg(F.count("*").alias(name)) for df, name in parts]
+    together = counts[0].unionByName(counts[1], allowMissingColumns=True).unionByName(counts[2], allowMissingColumns=True)
+    return together.agg(*[F.sum(name).alias(name) for _, name in parts])
 
 
 @query(
