@@ -64,3 +64,30 @@ def test_bands_narrow_smoothly(spark):
         widths.append(high - low - (np.quantile(own, 0.75) - np.quantile(own, 0.25)))
     assert widths[0] > widths[1] > widths[3] > widths[4]
     assert widths[2] == pytest.approx(widths[3], rel=0.03)
+
+
+def test_bytes_of_one_symbol_are_told_apart(spark):
+    """Letters of another script that fall on the same symbols, and other case, are not the language's own words."""
+    rng = np.random.default_rng(8)
+    letters = "абвгдеж"
+    other = "".join(chr(ord(c) - 24) for c in letters)  # the same leading byte, and another of the same symbol after it
+    stock = ["".join(rng.choice(list(letters), rng.integers(2, 6))) for _ in range(200)]
+    rows = [(i, " ".join(rng.choice(stock, 120)), "q") for i in range(200)]
+    rows += [(900, rows[0][1].translate(str.maketrans(letters, other)), "q")]
+    latin = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 6))) for _ in range(200)]
+    rows += [(1000 + i, " ".join(rng.choice(latin, 120)), "r") for i in range(200)]
+    rows += [(1900, "".join(c.upper() if k % 2 else c for k, c in enumerate(rows[-1][1])), "r")]
+    assert rows[0][1].encode().translate(quality._FOLD) == rows[200][1].encode().translate(quality._FOLD)
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[900]["log10_prob"] < got[0]["log10_prob"] - 100
+    assert not got[900]["kept"] and not got[1900]["kept"]
+    assert sum(got[i]["kept"] for i in (*range(200), *range(1000, 1200))) >= 396
+
+
+def test_bytes_of_a_symbol_share_its_chance(spark):
+    words = ["aAbé", "éa", "b2Ç", "ab.", "ba!?", "aab"]
+    spelling = quality.learn(spark.createDataFrame([(" ".join(words),)], "text string")).spelling
+    symbols = np.frombuffer(quality._FOLD, np.uint8)
+    for before in (b"  ", b" a", b"aA", b"\xc3\xa9", b"zz"):
+        chances = 10 ** spelling.log10(np.array([before[0] << 16 | before[1] << 8 | b for b in range(256)]))
+        assert np.bincount(symbols, weights=chances)[np.unique(symbols)] == pytest.approx(1, rel=1e-5)

@@ -3,9 +3,11 @@
 Words stand between ASCII white space. A text fails the base rules with fewer than ``least_words`` words, or when
 more than ``most_repeat`` percent of its words lie in windows of eight words found twice or more.
 
-The model is an interpolated modified Kneser-Ney model of order four over the letters of words. Each byte becomes
-one of 64 symbols (letters in one case, digits, kinds of punctuation, classes of other bytes), and a word
-is read with its edges. The model thus has at most 64**4 n-grams however large the corpus is. All words of
+The model is an interpolated modified Kneser-Ney model of order four over the letters of words, in two factors. Each byte
+has one of 64 symbols (letters in one case, digits, kinds of punctuation, classes of other bytes), and a word
+is read with its edges: the first factor is the chance of a symbol after three symbols. The second is the chance of the very byte among
+those of its symbol, after the two bytes before it, so that no two bytes are alike to the model in any script or case; together they are
+the chance of the text's bytes. The model thus has at most 64**4 n-grams of symbols and 256**3 of bytes however large the corpus is. All words of
 all different texts are counted on Spark, as a text in many copies would else look too predictable; discounts come from the counts of counts. Probabilities of the seen n-grams of
 the highest order stand in arrays sorted by hash; the hash is one-to-one, so a look-up is exact. Lower orders fit
 dense tables.
@@ -57,6 +59,9 @@ def _symbol(b: int) -> int:
 
 
 _FOLD = bytes(_symbol(b) for b in range(256))
+_SYMBOL_OF = np.frombuffer(_FOLD, np.uint8).astype(np.int64)
+_SPELLED = 1 << WIDTH * ORDER  # codes of three bytes stand from here on, after those of symbols
+_GAP = b"  "  # before a word: no word has a space
 
 
 # Model ------------------------------------------------------------------------------------------
@@ -75,13 +80,20 @@ def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes[read], np.repeat(np.arange(len(words)), lengths + 1)
 
 
+def spellings(words: list[bytes]) -> np.ndarray:
+    """The code of each byte of each word with the two bytes before it: three bytes in a number."""
+    s = np.frombuffer(_GAP + _GAP.join(words) if words else b"", np.uint8).astype(np.int64)
+    at = np.flatnonzero(s != _GAP[0])
+    return s[at - 2] << 16 | s[at - 1] << 8 | s[at]
+
+
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     unique, place = np.unique(codes, return_inverse=True)
     return unique, np.bincount(place, weights=counts, minlength=len(unique)).astype(np.int64)
 
 
 def count_ngrams(docs: DataFrame, text_col: str) -> DataFrame:
-    """(code, count) over the words of all different texts; each task sends one row for each code it has seen.
+    """(code, count) over the words of all different texts, of symbols and (from ``_SPELLED`` on) of bytes; each task sends one row for each code it has seen.
 
     Texts that stand more than once are told from most others by a bitmap of hashes. They alone are shuffled, once for each task.
     """
@@ -108,9 +120,12 @@ def count_ngrams(docs: DataFrame, text_col: str) -> DataFrame:
         def flushed() -> tuple[np.ndarray, np.ndarray]:
             all_codes, all_counts = [codes], [counts]
             for k in range(0, len(tally), _WORDS):
-                code, word = ngrams(seen.words[k : k + _WORDS])
-                for kept, part in zip((all_codes, all_counts), _summed(code, tally[k : k + _WORDS][word]), strict=True):
-                    kept.append(part)
+                words, times = seen.words[k : k + _WORDS], tally[k : k + _WORDS]
+                code, word = ngrams(words)
+                spelled = np.repeat(times, np.fromiter(map(len, words), np.int64, len(words)))
+                for more in (_summed(code, times[word]), _summed(_SPELLED + spellings(words), spelled)):
+                    for kept, part in zip((all_codes, all_counts), more, strict=True):
+                        kept.append(part)
             return _summed(np.concatenate(all_codes), np.concatenate(all_counts))
 
         for batch in batches:
@@ -140,10 +155,52 @@ def _discounts(counts: np.ndarray) -> np.ndarray:
     return np.array([0.0, *(min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1))])
 
 
+class Spelling:
+    """log10 probabilities of bytes among those of their symbol, after up to two bytes: interpolated as the symbols are."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        pairs, pair_counts = np.unique(codes & 0xFFFF, return_counts=True)  # lower orders count the different bytes before
+        singles, single_counts = np.unique(pairs & 0xFF, return_counts=True)
+        every = np.arange(1 << 16)
+        lower = 1 / np.bincount(_SYMBOL_OF, minlength=SYMBOLS)[_SYMBOL_OF]  # below order one: every byte of the symbol alike
+        for seen, times, n in ((singles, single_counts, 8), (pairs, pair_counts, 16)):
+            own, left_over = self._order(seen, times, lower, n - 8)
+            wide = every[: 1 << n]
+            lower = left_over[self._head(wide)] * lower[wide & ((1 << max(n - 8, 8)) - 1)]
+            lower[seen] = own
+        self.lower = lower  # dense: two bytes
+        top, left_over = self._order(codes, counts, lower, 16)
+        self.left_over = left_over.astype(np.float32)
+        self.codes, self.seen = codes.astype(np.uint32), np.log10(top).astype(np.float32)
+
+    @staticmethod
+    def _head(codes: np.ndarray) -> np.ndarray:
+        """The bytes before and the symbol."""
+        return codes >> 8 << WIDTH | _SYMBOL_OF[codes & 0xFF]
+
+    @classmethod
+    def _order(cls, codes: np.ndarray, counts: np.ndarray, lower: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
+        off = _discounts(counts)[np.minimum(counts, 3)]
+        heads, contexts = cls._head(codes), 1 << before + WIDTH
+        total = np.bincount(heads, weights=counts, minlength=contexts)
+        left_over = np.where(total > 0, np.bincount(heads, weights=off, minlength=contexts) / np.maximum(total, 1), 1.0)
+        return (counts - off) / total[heads] + left_over[heads] * lower[codes & ((1 << max(before, 8)) - 1)], left_over
+
+    def log10(self, codes: np.ndarray) -> np.ndarray:
+        out = np.log10(self.left_over[self._head(codes)] * self.lower[codes & 0xFFFF])
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, codes.astype(np.uint32)), len(self.codes) - 1)
+            out = np.where(self.codes[at] == codes, self.seen[at], out)
+        return out
+
+
 class Model:
-    """log10 probabilities of symbols after up to three symbols."""
+    """log10 probabilities of symbols after up to three symbols, and of the bytes of symbols (``spelling``)."""
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        cut = np.searchsorted(codes, _SPELLED)
+        self.spelling = Spelling(codes[cut:] - _SPELLED, counts[cut:])
+        codes, counts = codes[:cut], counts[:cut]
         by_order = {ORDER: (codes, counts)}
         for n in range(ORDER - 1, 0, -1):  # lower orders count the different symbols before an n-gram
             kept = by_order[n + 1][0] & ((1 << WIDTH * n) - 1)
@@ -186,19 +243,21 @@ class Model:
         missing = np.log10(self.left_over[codes >> WIDTH] * self.lower[codes & ((1 << WIDTH * (ORDER - 1)) - 1)])
         return np.where(self.hashes[at] == hashes, self.seen[at], missing)
 
-    def of_words(self, words: list[bytes]) -> np.ndarray:
-        """[word, (sum of log10, sum of squares, symbols)]."""
+    def of_words(self, words: list[bytes], spelled: bool = False) -> np.ndarray:
+        """[word, (sum of log10, sum of squares, symbols)], of the symbols alone or with their bytes."""
         out = np.zeros((len(words), 3))
         for k in range(0, len(words), _WORDS):
             part = words[k : k + _WORDS]
             codes, word = ngrams(part)
             p = self.log10(codes)
+            if spelled:
+                p[(codes & (SYMBOLS - 1)) != 0] += self.spelling.log10(spellings(part))
             out[k : k + len(part)] = np.stack([np.bincount(word, weights=x, minlength=len(part)) for x in (p, p * p, np.ones(len(p)))], 1)
         return out
 
 
 def learn(docs: DataFrame, text_col: str = "text") -> Model:
-    """The model of all texts. At most 64**4 rows reach the driver, at any size of the corpus."""
+    """The model of all texts. At most 64**4 + 256**3 rows reach the driver, at any size of the corpus."""
     table = count_ngrams(docs, text_col).toArrow()
     codes, counts = table.column("code").to_numpy(), table.column("count").to_numpy()
     order = np.argsort(codes)
@@ -271,7 +330,7 @@ def measured(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[Dat
                     text = text or b""
                     ids = known.ids(text.split())
                     rows.append((ids, *counts_of(text, ids)))
-                scores = known.scored(model.of_words)
+                scores = known.scored(lambda words: model.of_words(words, spelled=True))
                 for ids, *counts in rows:
                     p, square, symbols = scores[ids].sum(0)
                     measures.append((len(ids), *counts, float(p), float(square), int(symbols)))
