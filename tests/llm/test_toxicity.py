@@ -143,3 +143,34 @@ def test_registered_query_holds_out_a_fifth(spark):
     assert len(got) == docs.count()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
     assert all(r["predicted"] == int(r["score"] >= 0.5) for r in got)
+
+
+def test_every_labelled_text_counts(spark):
+    """Words and cuts that stand outside the bounded start are learned from; copies count once."""
+    rng = np.random.default_rng(5)
+    rows, labels = corpus(rng, 900)
+    labels = [(i, 1 if i >= 300 and i % 2 else t) for i, t in labels]
+    rows = [(i, f"{t} zornig{i % 9}ka" if i >= 300 and i % 2 else t, *rest) for i, t, *rest in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    small = toxicity.learn(frame, marks, sample_docs=20, steps=200)
+    asked = spark.createDataFrame([(k, f"{t} zornig{k % 9}ka", "x", "s") for k, (_, t, *_) in enumerate(r for r, m in zip(rows, labels, strict=True) if not m[1])], frame.schema)
+    plain = spark.createDataFrame([(r[0], r[1], "x", "s") for r, m in zip(rows, labels, strict=True) if not m[1]], frame.schema)
+    marked = [np.mean([r["predicted"] for r in toxicity.score(f, small).collect()]) for f in (asked, plain)]
+    assert marked[0] > 0.9 and marked[1] < 0.1
+    # counts of languages: all words of the texts that teach, each text once
+    copies = frame.unionAll(frame.where("doc_id < 400").withColumn("doc_id", frame["doc_id"] + 5000))
+    own = copies.select("doc_id", "text", "lang")
+    pairs = marks.withColumnRenamed("toxic", "label")
+    more = pairs.unionAll(pairs.where("doc_id < 400").selectExpr("doc_id + 5000", "label"))
+    got = toxicity.texts_of(own, toxicity.labelled(own, more)).collect()
+    assert sorted((r["text"], r["label"]) for r in got) == sorted({(r[1], m[1]) for r, m in zip(rows, labels, strict=True)})
+    table = toxicity.Languages.learned(spark.createDataFrame([(r["text"], r["lang"]) for r in got], "text string, lang string"), ["x", "y"]).table
+    n = sum(len(r["text"].split()) for r in got if r["lang"] == "x")
+    assert np.exp(-table[:, 0].min()) == pytest.approx((n + 0.5 * len(table)) / 0.5, rel=1e-4)
+
+
+def test_cut_by_counts():
+    x, y = np.array([0.0, 1.0, 2.0, 3.0]), np.array([0, 1, 0, 1])
+    counts = np.array([5, 1, 9, 30])
+    assert toxicity.best_cut(x, y, counts) == toxicity.best_cut(np.repeat(x, counts), np.repeat(y, counts)) == 2.5

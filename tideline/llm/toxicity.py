@@ -11,8 +11,11 @@ drawn towards the cut of all languages where there are few texts. The language o
 for each language, learned from the training rows), since no column but the text may enter a score. ``score`` is the logistic function of the
 distance to the threshold, so that 0.5 is the calibrated cut in every language.
 
-The sample is bounded: ``sample_docs`` labelled rows of each label, chosen by a hash of their id, of at most ``sample_bytes``
-together; equal texts count once. A text is read whole, however long, in pieces that overlap by a window.
+All labelled texts are learned from, equal texts with equal labels once: a quarter of them, by a hash, sets the thresholds, the others teach the network and
+the languages. The network begins on the driver with a start of bounded size (``sample_docs`` texts of each label, chosen by a hash of their id, of at most
+``sample_bytes`` together); then every task goes through all its own texts from there (a small corpus up to eight times), and the mean of what the tasks have learned is taken, for each
+bucket by how often a task met it. Each language's thresholds come from the counts of all held back texts on a grid of 1/1024 of a logit. A text is read whole,
+however long, in pieces that overlap by a window.
 
 A null text is an empty one; a text without words has the score of the empty window. Without labelled rows of both labels every score is the share of label 1 among
 them, 0 without any. Labels other than 0 and 1 are ignored, labels of unknown ids too; a row counts once for each of its labels.
@@ -21,6 +24,7 @@ Scores are rounded to six places, so that equal texts score alike in any batch;
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,11 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import Vocabulary, fresh, with_columns
+from tideline.llm.common import Vocabulary, fresh, mixed, stored, sum_of, tidied, with_columns
 
 BEGINNINGS, ENDINGS = (4, 5, 6), (4, 5)
 BLANK = b""  # no text has this word
 FEATURES = 1 + len(BEGINNINGS) + len(ENDINGS)
+GRID, FARTHEST = 1024, 64  # steps in a logit, and the farthest cut
 _SPACED = bytes(c if chr(c).isalnum() and c < 128 or c > 127 else 32 for c in range(256))
 
 
@@ -108,8 +113,8 @@ class Network:
     def logits(self, largest: np.ndarray) -> np.ndarray:
         return np.maximum(largest, 0) @ self.p["v"] + self.p["c"][0]
 
-    def gradients(self, texts: list[np.ndarray], labels: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
-        """Mean loss, gradients of the layers, and buckets with the gradient of each; ``texts`` are [word, feature] buckets."""
+    def gradients(self, texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | float = 1.0) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """Mean loss, gradients of the layers, and buckets with the gradient of each; ``texts`` are [word, feature] buckets, which count by their ``weights``."""
         d, f, pad = self.embed, self.filters, self.pad
         empty = np.zeros((pad, d), np.float32)
         inside = [np.concatenate([self.vectors(t) if len(t) else empty[:1], empty]) for t in texts]
@@ -121,8 +126,8 @@ class Network:
         at, largest = np.array(at), np.array(largest)
         logits = self.logits(largest)
         probs = 1 / (1 + np.exp(-logits))
-        loss = float(np.mean(np.logaddexp(0, logits) - labels * logits))
-        d_logit = ((probs - labels) / len(texts)).astype(np.float32)
+        loss = float(np.mean(weights * (np.logaddexp(0, logits) - labels * logits)))
+        d_logit = (weights * (probs - labels) / len(texts)).astype(np.float32)
         g = {"v": np.maximum(largest, 0).T @ d_logit, "c": np.array([d_logit.sum()], np.float32)}
         d_value = d_logit[:, None] * self.p["v"] * (largest > 0)
         starts = np.cumsum([0, *[len(x) for x in inside]])[:-1]
@@ -145,26 +150,79 @@ class Network:
         return loss, g, found, d_buckets
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None], *, steps: int = 2000, batch: int = 32, rate: float = 0.004, embed_rate: float = 0.08, seed: int = 1, **shape) -> Network:
+class Descent:
+    """Adam for the layers of a network and Adagrad for its buckets."""
+
+    def __init__(self, net: Network, rate: float = 0.004, embed_rate: float = 0.08):
+        self.net, self.rate, self.embed_rate, self.steps = net, rate, embed_rate, 0
+        self.first, self.second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
+        self.squares = np.full(len(net.e), 1e-4, np.float32)
+
+    def step(self, texts: list[np.ndarray], labels: np.ndarray, pace: float, weights: np.ndarray | float = 1.0) -> np.ndarray:
+        """One step; returns the buckets that were met."""
+        net = self.net
+        self.steps += 1
+        _, grads, found, d_buckets = net.gradients(texts, labels, weights)
+        self.squares[found] += (d_buckets**2).mean(1)
+        net.e[found] -= self.embed_rate * pace * d_buckets / np.sqrt(self.squares[found])[:, None]
+        for k, g in grads.items():
+            self.first[k] = 0.9 * self.first[k] + 0.1 * g
+            self.second[k] = 0.999 * self.second[k] + 0.001 * g * g
+            move = self.first[k] / (1 - 0.9**self.steps) / (np.sqrt(self.second[k] / (1 - 0.999**self.steps)) + 1e-7)
+            net.p[k] -= (self.rate * pace * move).astype(np.float32)
+        return found
+
+
+LAST_PACE, MOST_PASSES = 0.2, 8
+
+
+def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None], *, steps: int = 2000, batch: int = 32, rate: float = 0.004, embed_rate: float = 0.08, seed: int = 1, **shape) -> Descent:
     """``texts`` are [word, feature] buckets; both labels occur. Labels are drawn equally often and, within each, languages more evenly than they occur."""
     rng = np.random.default_rng(seed)
-    net = Network(seed=seed, **shape)
+    descent = Descent(Network(seed=seed, **shape), rate, embed_rate)
     sides = [np.flatnonzero(labels == 0), np.flatnonzero(labels == 1)]
     _, lang = np.unique([x or "" for x in langs], return_inverse=True)
     chance = [1 / np.sqrt(np.bincount(lang[s])[lang[s]]) for s in sides]
-    first, second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
-    squares = np.full(len(net.e), 1e-4, np.float32)
     for step in range(1, steps + 1):
         drawn = np.concatenate([rng.choice(s, batch // 2, p=c / c.sum()) for s, c in zip(sides, chance, strict=True)])
-        _, grads, found, d_buckets = net.gradients([texts[i] for i in drawn], labels[drawn])
-        pace = min(1.0, 1.2 - step / steps)
-        squares[found] += (d_buckets**2).mean(1)
-        net.e[found] -= embed_rate * pace * d_buckets / np.sqrt(squares[found])[:, None]
-        for k, g in grads.items():
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.999 * second[k] + 0.001 * g * g
-            move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-7)
-            net.p[k] -= (rate * pace * move).astype(np.float32)
+        descent.step([texts[i] for i in drawn], labels[drawn], min(1.0, 1 + LAST_PACE - step / steps))
+    return descent
+
+
+def trained_on_all(rows: DataFrame, start: Descent, weights: dict[tuple[str | None, int], float], *, passes: int = 1, batch: int = 32) -> Network:
+    """The network after every task has gone through its own ``rows`` (text, lang, label) from ``start``, ``passes`` times through each batch; ``weights`` are by language and label."""
+    shared = rows.sparkSession.sparkContext.broadcast((start, weights))
+    layers = sum(v.size for v in start.net.p.values())
+    width, buckets = start.net.embed, len(start.net.e)
+
+    def matrix(net: Network) -> np.ndarray:
+        flat = np.concatenate([v.ravel() for v in net.p.values()])
+        return np.concatenate([net.e, np.resize(np.concatenate([flat, np.zeros(-len(flat) % width)]), (-(-layers // width), width))]).astype(np.float64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+        first, weights = shared.value
+        descent, known, met = copy.deepcopy(first), Vocabulary(60_000), np.zeros(buckets)
+        rng = np.random.default_rng(1)
+        for rows in batches:
+            at, texts = 0, rows.column(0)
+            for end in ends_of(texts):
+                known.trim()
+                ids = [known.ids(w) for w in words_of(texts[at:end])]
+                table = known.scored(lambda words: buckets_of(words, descent.net.bits)) if known.words else np.zeros((0, FEATURES), np.int32)
+                labels = rows.column(2)[at:end].to_numpy()
+                langs = rows.column(1)[at:end].to_pylist()
+                weight = np.array([weights[k] for k in zip(langs, labels.tolist(), strict=True)])
+                for own in (o[i : i + batch] for o in (rng.permutation(end - at) for _ in range(passes)) for i in range(0, len(o), batch)):
+                    met[descent.step([table[ids[k]] for k in own], labels[own], LAST_PACE, weight[own])] += 1
+                at = end
+        return matrix(descent.net), np.concatenate([met, np.full(-(-layers // width), descent.steps - first.steps)])
+
+    found = mixed(rows, matrix(start.net), work).astype(np.float32)
+    net = copy.deepcopy(start.net)
+    net.e, flat, at = found[:buckets], found[buckets:].ravel(), 0
+    for k, v in net.p.items():
+        net.p[k] = flat[at : at + v.size].reshape(v.shape)
+        at += v.size
     return net
 
 
@@ -175,23 +233,38 @@ class Languages:
         self.names, self.table = names, table
 
     @classmethod
-    def learned(cls, texts: list[np.ndarray], langs: list[str | None], bits: int = 14) -> Languages:
-        names = sorted({x for x in langs if x is not None})
-        table = np.full((1 << bits, max(1, len(names))), 0.5)
-        for t, x in zip(texts, langs, strict=True):
-            if x is not None:
-                np.add.at(table[:, names.index(x)], t[:, 0] & ((1 << bits) - 1), 1.0)
+    def learned(cls, rows: DataFrame, names: list[str], bits: int = 14) -> Languages:
+        """From all ``rows`` (text, lang)."""
+        table = np.zeros((1 << bits, max(1, len(names))))
+        number = {x: k for k, x in enumerate(names)}
+
+        def work(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            counts, known = np.zeros(table.shape), Vocabulary(60_000)
+            for batch in batches:
+                at, texts, langs = 0, batch.column(0), batch.column(1).to_pylist()
+                for end in ends_of(texts):
+                    known.trim()
+                    for words, lang in zip(words_of(texts[at:end]), langs[at:end], strict=True):
+                        ids = known.ids(words)
+                        own = known.scored(lambda new: np.array([xxhash.xxh3_64_intdigest(w) & ((1 << bits) - 1) for w in new], np.int32)) if known.words else ids
+                        np.add.at(counts[:, number[lang]], own[ids], 1.0)
+                    at = end
+            return counts
+
+        table = sum_of(rows.where("lang IS NOT NULL").select("text", "lang"), work, table) + 0.5
         return cls(names, np.log(table / table.sum(0)).astype(np.float32))
 
     def of_buckets(self, buckets: np.ndarray) -> np.ndarray:
         return self.table[buckets[:, 0] & (len(self.table) - 1)]
 
 
-def best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the best balanced accuracy, in the middle of its gap; of equally good ones the middle one."""
+def best_cut(logits: np.ndarray, labels: np.ndarray, counts: np.ndarray | None = None) -> float:
+    """The cut with the best balanced accuracy, in the middle of its gap; of equally good ones the middle one. Each pair stands for ``counts`` texts."""
     order = np.argsort(logits, kind="stable")
     x, y = logits[order], labels[order] == 1
-    right = np.concatenate([[0], np.cumsum(~y)]) / max(1, (~y).sum()) + (y.sum() - np.concatenate([[0], np.cumsum(y)])) / max(1, y.sum())
+    times = np.ones(len(x)) if counts is None else counts[order]
+    ones, zeros = times * y, times * ~y
+    right = np.concatenate([[0], np.cumsum(zeros)]) / max(1, zeros.sum()) + (ones.sum() - np.concatenate([[0], np.cumsum(ones)])) / max(1, ones.sum())
     edges = np.concatenate([[x[0] - 1], (x[1:] + x[:-1]) / 2, [x[-1] + 1]])
     ties = np.concatenate([[False], x[1:] == x[:-1], [False]])
     right[ties] = -1
@@ -270,25 +343,52 @@ class Scorer:
         return np.round(0.5 * (1 + np.tanh(0.5 * (logits.astype(float) - cuts))), 6)
 
 
-def calibrated(net: Network, languages: Languages, texts: list[str], labels: np.ndarray, *, pull: int = 40) -> Scorer:
-    """Thresholds from labelled texts; that of a language counts ``pull`` texts of the common one with its own. The last is the common one."""
+def calibrated(net: Network, languages: Languages, rows: DataFrame, *, pull: int = 40) -> Scorer:
+    """Thresholds from all labelled ``rows`` (text, label); that of a language counts ``pull`` texts of the common one with its own. The last is the common one."""
     count = len(languages.table[0])
-    scorer = Scorer(0.0, net, languages, np.arange(count + 1.0))
-    known = Vocabulary()
-    whole = pa.array(texts, pa.large_string())
-    cut = [0, *ends_of(whole)]
-    found = [scorer.judged(whole[a:b], known) for a, b in zip(cut, cut[1:], strict=False)]
-    logits, told = (np.concatenate([f[k] for f in found]) for k in (0, 1))  # the cuts are still the numbers of the languages
-    common = best_cut(logits, labels) if len(set(labels.tolist())) == 2 else 0.0
-    scorer.cuts[:] = common
+    scorer = Scorer(0.0, net, languages, np.arange(count + 1.0))  # the cuts are still the numbers of the languages
+    shared = rows.sparkSession.sparkContext.broadcast(scorer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Vocabulary(60_000)
+        for batch in batches:
+            texts, at = batch.column(0), 0
+            for end in ends_of(texts):
+                logits, told = shared.value.judged(texts[at:end], known)
+                place = np.round(np.clip(logits.astype(float), -FARTHEST, FARTHEST) * GRID).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({"told": pa.array(told.astype(np.int32)), "place": pa.array(place), "label": batch.column(1)[at:end]})
+                known.trim()
+                at = end
+
+    # at most 2 * GRID * FARTHEST places of each language and label
+    found = rows.select("text", "label").mapInArrow(tidied(run), "told int, place int, label int").groupBy("told", "place", "label").agg(F.count("*").alias("times"))
+    found = stored(found, "places").orderBy("told", "place", "label").toArrow()
+    told, place, labels, times = (found.column(c).to_numpy() for c in ("told", "place", "label", "times"))
+    logits = place / GRID
+    common = best_cut(logits, labels, times) if len(set(labels.tolist())) == 2 else 0.0
+    scorer.cuts = np.full(count + 1, common)
     for k in range(count):
         own = told == k
         if len(set(labels[own].tolist())) == 2:
-            fewer = 2 * min((labels[own] == 1).sum(), (labels[own] == 0).sum())
-            scorer.cuts[k] = (fewer * best_cut(logits[own], labels[own]) + pull * common) / (fewer + pull)
+            fewer = 2 * min(times[own & (labels == 1)].sum(), times[own & (labels == 0)].sum())
+            scorer.cuts[k] = (fewer * best_cut(logits[own], labels[own], times[own]) + pull * common) / (fewer + pull)
     return scorer
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, key, label, lang): of the rows of ``docs`` (doc_id, text, lang) that share a text and a label (doc_id, label) only the first. ``key`` is the hash of the text."""
+    keys = docs.select("doc_id", F.xxhash64("text").alias("key"), "lang").join(labels.where("label IN (0, 1)"), "doc_id")
+    return keys.groupBy("key", "label").agg(F.min(F.struct("doc_id", "lang")).alias("first")).select("first.doc_id", "key", "label", "first.lang")
+
+
+def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(text, lang, label) of ``chosen`` rows of ``labelled``, once each."""
+    own = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    # both sides are shuffled at any size: the list of rows grows with the corpus, and the plan with it
+    rows = own.join(chosen.hint("merge"), ["doc_id", "key"]).groupBy("doc_id", "key", "label").agg(F.first("text").alias("text"), F.first("lang").alias("lang"))
+    return rows.select("text", "lang", "label")
+
+
 def sampled(docs: DataFrame, labels: DataFrame, *, sample_docs: int, sample_bytes: int) -> list[tuple[str, str | None, int]]:
     """(text, lang, label) of the training sample of ``docs`` (doc_id, text, lang) by ``labels`` (doc_id, label); equal texts once."""
     known = labels.where("label IN (0, 1)").join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -317,20 +417,36 @@ def sampled(docs: DataFrame, labels: DataFrame, *, sample_docs: int, sample_byte
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic",
           sample_docs: int = 3_000, sample_bytes: int = 24_000_000, **how) -> Scorer:
-    """From the rows of ``docs`` that have a label in ``labels``; a quarter of the sample only sets the thresholds."""
+    """From all rows of ``docs`` that have a label in ``labels``; a quarter of the texts only sets the thresholds. The sample is where the network starts."""
     pairs = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).distinct()
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = sampled(own, pairs, sample_docs=sample_docs, sample_bytes=sample_bytes)
+    chosen = stored(labelled(own, pairs).withColumn("aside", F.pmod("key", F.lit(4)) == 0), "labelled")
+    sizes = chosen.groupBy("aside", "lang", "label").count().collect()  # a row for each language
+    times = [sum(r["count"] for r in sizes if r["label"] == label) for label in (0, 1)]
+    if not all(times):
+        return Scorer(times[1] / max(1, sum(times)))
+    both = all({r["label"] for r in sizes if r["aside"] == part} == {0, 1} for part in (True, False))
+    fit = chosen.where(~F.col("aside")) if both else chosen  # too few rows to set some aside
+    seen = {}
+    for r in sizes:
+        if not (both and r["aside"]):
+            seen[r["lang"], r["label"]] = seen.get((r["lang"], r["label"]), 0) + r["count"]
+    place = F.pmod(F.xxhash64("text"), F.lit(4))
+    teach, hold = (own.where(place != 0), own.where(place == 0)) if both else (own, own)
+    rows = sampled(teach, pairs, sample_docs=sample_docs, sample_bytes=sample_bytes)
     y = np.array([r[2] for r in rows])
-    if len(set(y.tolist())) < 2:
-        return Scorer(float(y.mean()) if len(y) else 0.0)
-    aside = np.array([xxhash.xxh3_64_intdigest(r[0].encode()) % 4 == 0 for r in rows])
-    both = all(len(set(y[part].tolist())) == 2 for part in (aside, ~aside))
-    fit, kept = (np.flatnonzero(~aside), np.flatnonzero(aside)) if both else (np.arange(len(rows)),) * 2  # too few rows to set some aside
-    langs = [rows[i][1] for i in fit]
-    buckets = [buckets_of(w, how.get("bits", 18)) for i in fit for w in words_of(pa.array([rows[i][0]], pa.large_string()))]
-    net = train(buckets, y[fit], langs, **how)
-    return calibrated(net, Languages.learned(buckets, langs), [rows[i][0] for i in kept], y[kept])
+    bits = how.get("bits", 18)
+    buckets = [buckets_of(w, bits) for r in rows for w in words_of(pa.array([r[0]], pa.large_string()))]
+    how = how if len(set(y.tolist())) == 2 else how | {"steps": 0}  # a start that saw one label teaches nothing
+    start = train(buckets, y, [r[1] for r in rows], **how)
+    # labels count equally and, within each, languages more evenly than they occur
+    evenly = {k: 1 / np.sqrt(n) for k, n in seen.items()}
+    share = [sum(n * evenly[k] for k, n in seen.items() if k[1] == label) for label in (0, 1)]
+    weights = {k: 0.5 * sum(seen.values()) * w / share[k[1]] for k, w in evenly.items()}
+    passes = min(MOST_PASSES, max(1, -(-how.get("steps", 2000) * how.get("batch", 32) // sum(seen.values()))))
+    net = trained_on_all(texts_of(teach, fit), start, weights, passes=passes)
+    languages = Languages.learned(texts_of(teach, fit), sorted({k[0] for k in seen if k[0] is not None}))
+    return calibrated(net, languages, texts_of(hold, chosen.where("aside") if both else chosen))
 
 
 def score(docs: DataFrame, scorer: Scorer, *, text_col: str = "text") -> DataFrame:
