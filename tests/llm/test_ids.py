@@ -214,3 +214,41 @@ def test_base_scores(spark, docs, no_docs, null_docs):
         assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
     assert lm_score.score(no_docs, held, steps=5).count() == 0
     assert lm_score.score(null_docs, F.lit(True), steps=5).count() == null_docs.count()
+
+
+@pytest.mark.parametrize(("context", "stride"), [(3, 4), (4, 4), (7, 3)])
+def test_gradients_of_neighbouring_windows(context, stride):
+    net = lm_score.Attention(20, 7, width=4, context=context, stride=stride)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    rng = np.random.default_rng(2)
+    inputs, targets = rng.integers(0, 20, 22), rng.integers(0, 7, 22)
+    first = np.repeat([0, 9, 10], [9, 1, 12])
+    keys, queries = net.windows(22)
+    for begin, end in ((0, len(keys)), (1, 3), (2, len(keys))):
+        loss, want = net.gradients(inputs, first, targets, keys[begin:end], queries[begin:end])
+        again, got, found = net.gradients_of(inputs, first, targets, begin, end - begin)
+        assert again == pytest.approx(loss) and set(np.flatnonzero(want["E"].any(1))) <= set(found)
+        for name, g in want.items():
+            assert got[name] == pytest.approx(g, abs=1e-7)
+
+
+def test_every_training_document_teaches(spark):
+    """The start sees documents of one kind alone; what follows what in the others is learned from all of them."""
+    rng = np.random.default_rng(1)
+    words = [f"{a}{b}" for a in ("sun", "tree", "river", "stone") for b in ("s", "ing", "light", "side")]
+    texts = [" ".join(x for k in rng.integers(0, 16, 60) for x in (words[k], words[(k + 5) % 16], words[(k + 10) % 16])) for _ in range(240)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    path = subwords.default_path()
+    counts = lm_score.subword_counts(lm_score.count_words(frame), path)
+    encoder = subwords.load(path)
+    counts[0] += len(texts)
+    scorer = lm_score.Scorer(counts, np.array([(encoder.whole.id_to_token(i) or "")[:1] == "Ġ" for i in range(encoder.size)]), 0)
+
+    def ids(ts):
+        return [np.append(encoder.encode_flat([b" " + w for w in t.encode().split()])[0], np.uint32(0)) for t in ts]
+
+    scorer.train(ids(["sunside"] * 3), steps=5)
+    before = scorer.log10(ids(texts[:20])).mean()
+    after = lm_score.trained_on_all(frame, scorer, path)
+    assert after.log10(ids(texts[:20])).mean() > before + 5
+    assert scorer.log10(ids(texts[:20])).mean() == pytest.approx(before)
