@@ -91,3 +91,19 @@ def test_bytes_of_a_symbol_share_its_chance(spark):
     for before in (b"  ", b" a", b"aA", b"\xc3\xa9", b"zz"):
         chances = 10 ** spelling.log10(np.array([before[0] << 16 | before[1] << 8 | b for b in range(256)]))
         assert np.bincount(symbols, weights=chances)[np.unique(symbols)] == pytest.approx(1, rel=1e-5)
+
+
+def test_kept_rows_are_those_judged_and_texts_are_not_stored(spark, monkeypatch):
+    """Equal texts under other labels are told apart, rows may repeat, and scratch holds no copy of the texts."""
+    rng = np.random.default_rng(11)
+    rows = [(i, t, "x", "s") for i, t in enumerate(prose(rng, SYLLABLES["x"], 80))] + [(100 + i, t, None, "s") for i, t in enumerate(prose(rng, SYLLABLES["y"], 80))]
+    rows += [(300, rows[100][1], "x", "s"), (100, rows[100][1], None, "s"), (301, None, None, "s"), (302, "x", None, "s"), (303, None, "x", "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, pair string").coalesce(2)
+    judged = {(r["doc_id"]): r["kept"] for r in quality.judge(frame).collect()}
+    tables, write = [], quality.stored
+    monkeypatch.setattr(quality, "stored", lambda df, name: tables.append(df.columns) or write(df, name))
+    kept = quality.without_poor(frame)
+    got = sorted((r["doc_id"], r["text"], r["lang"] or "") for r in kept.collect())
+    assert got == sorted((i, t, lang or "") for i, t, lang, _ in rows if judged[i]) and kept.columns == frame.columns
+    assert 1 < len(got) < len(rows)
+    assert tables and not any("text" in columns for columns in tables)
