@@ -252,3 +252,47 @@ def test_every_training_document_teaches(spark):
     after = lm_score.trained_on_all(frame, scorer, path)
     assert after.log10(ids(texts[:20])).mean() > before + 5
     assert scorer.log10(ids(texts[:20])).mean() == pytest.approx(before)
+
+
+def test_texts_are_cut_into_ids_once(spark, tmp_path):
+    """Passes over the texts: counts of words, number of documents, the start of the network, ids."""
+    noted = str(tmp_path / "passes")
+
+    def note(batches):
+        with open(noted, "a") as f:
+            f.write("x")
+        yield from batches
+
+    texts = [(k, f"river stone {k} light{k % 7}" if k else None) for k in range(40)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).mapInArrow(note, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm_score.score(frame, F.col("doc_id") % 5 == 1, steps=5).collect()}
+    assert len(got) == 40 and got[0]["n_tokens"] == 1 and got[3]["n_tokens"] == 5
+    with open(noted) as f:
+        assert len(f.read()) <= 4
+
+
+def test_stored_ids_teach_and_score_as_texts_do(spark):
+    path = subwords.default_path()
+    encoder = subwords.load(path)
+    frame = spark.createDataFrame([(f"sun river {k % 9} stone{k}",) for k in range(60)] + [(None,), ("",)], "text string").coalesce(1)
+    scorer = lm_score.Scorer(np.ones(encoder.size), np.arange(encoder.size) % 2 == 0, 1, classes=9, buckets=64)
+    rows = lm_score.id_rows(frame, path, 1)
+    ids = [lm_score.unpacked(r["ids"]) for r in rows.collect()]
+    assert [len(x) for x in ids[-2:]] == [1, 1] and all(x[-1] == 1 for x in ids)
+    taught = lm_score.trained_on_ids(rows, scorer)
+    for name, v in lm_score.trained_on_all(frame, scorer, path).net.p.items():
+        assert taught.net.p[name] == pytest.approx(v)
+    got = [r["score"] for r in lm_score.scores_of_ids(rows, taught).collect()]
+    assert got == pytest.approx(taught.log10(ids).tolist(), rel=1e-5)
+    for size in (10, 65_535, 65_536, 100_000):
+        assert lm_score.unpacked(lm_score.packed(np.array([0, size], np.uint32))).tolist() == [0, size]
+
+
+def test_exponentials_of_any_size():
+    """Sums do not overflow or vanish where scores are far from zero."""
+    scores = np.array([[1.0, 2.0, -1e9], [300.0, 299.0, 0.0], [-300.0, -301.0, -1e9]], np.float32)
+    for rows in (scores, scores[:1], scores[2:]):
+        out, total, most = lm_score.exponentials(rows)
+        want = np.exp(rows.astype(float) - rows.max(1, keepdims=True))
+        assert out / total[:, None] == pytest.approx(want / want.sum(1, keepdims=True), rel=1e-5)
+        assert most + np.log(total) == pytest.approx(rows.max(1) + np.log(want.sum(1)), rel=1e-5)
